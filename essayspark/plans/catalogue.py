@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from essayspark.functions import text as T
 from essayspark.operators import features as FT
-from essayspark.plans import profile_queries, text_queries  # noqa: F401  (registers)
+from essayspark.plans import profile_queries, text_queries, vocab_queries  # noqa: F401  (registers)
 from essayspark.plans.registry import ORACLE, QUERIES, r6, r6_sql, register
 from essayspark.sources.tables import ESSAYS_SQL, essays
 
