@@ -112,13 +112,26 @@ def _map_lit(d: dict[str, str]) -> Column:
     return F.create_map(*args)
 
 
+def _words_by_tag() -> dict[str, list[str]]:
+    out: dict[str, list[str]] = {}
+    for w, t in sorted(LEX_TAG.items()):
+        out.setdefault(t, []).append(w)
+    return out
+
+
 def pos_tag(word: Column) -> Column:
-    """Tag of one lower-cased token: lexicon, then suffix rules, then noun."""
-    rule = F.when(word.rlike("^[0-9]+$"), F.lit("O"))
+    """Tag of one lower-cased token: lexicon, then suffix rules, then noun.
+
+    The lexicon is one ``isin`` set per tag (hash lookups, planned as
+    ``InSet``) rather than a map literal, whose lookup scans its keys."""
+    rule = None
+    for tag, words in _words_by_tag().items():
+        cond = word.isin(*words)
+        rule = F.when(cond, F.lit(tag)) if rule is None else rule.when(cond, F.lit(tag))
+    rule = rule.when(word.rlike("^[0-9]+$"), F.lit("O"))
     for suf, tag in SUFFIX_TAGS:
         rule = rule.when((F.length(word) > len(suf) + 2) & word.endswith(suf), F.lit(tag))
-    rule = rule.otherwise(F.lit(DEFAULT_TAG))
-    return F.coalesce(F.try_element_at(_map_lit(LEX_TAG), word), rule)
+    return rule.otherwise(F.lit(DEFAULT_TAG))
 
 
 def pos_tag_sql(word: str) -> str:
@@ -138,7 +151,10 @@ def lemma(word: Column, tag: Column) -> Column:
         val = F.concat(word.substr(F.lit(1), F.length(word) - len(suf)), F.lit(rep))
         rule = F.when(cond, val) if rule is None else rule.when(cond, val)
     rule = rule.otherwise(word)
-    return F.coalesce(F.try_element_at(_map_lit(LEX_LEMMA), word), rule)
+    irregular = {w: lem for w, lem in LEX_LEMMA.items() if lem != w}
+    lexical = F.when(word.isin(*sorted(LEX_LEMMA)),
+                     F.coalesce(F.try_element_at(_map_lit(irregular), word), word))
+    return F.coalesce(lexical, rule)
 
 
 def lemma_sql(word: str, tag: str) -> str:

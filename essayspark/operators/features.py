@@ -36,17 +36,27 @@ def lower_tokens(text: str | Column) -> Column:
     return F.transform(T.alnum_tokens(text), lambda w: F.lower(w))
 
 
-def pos_lemma_columns(text: str = "essay") -> dict[str, Column]:
-    """Noun/adjective/verb/adverb counts and distinct-lemma count."""
-    toks = lower_tokens(text)
-    tagged = F.transform(toks, lambda w: F.struct(w.alias("w"), L.pos_tag(w).alias("t")))
-    tags = F.transform(tagged, lambda s: s["t"])
-    lemmas = F.transform(tagged, lambda s: L.lemma(s["w"], s["t"]))
+POS_LEMMA = ["noun_count", "adj_count", "verb_count", "adv_count", "lemma_count", "lemmatised"]
+
+
+def with_pos_lemmas(df: DataFrame, text: str = "essay", keep: list[str] | None = None) -> DataFrame:
+    """Noun/adjective/verb/adverb counts, distinct-lemma count and the
+    lemmatised text (T7, T8, T20, A10, A11), all row-local.
+
+    The tagged token array is projected once; the counts read it in a
+    second projection (the optimizer keeps an expensive expression that is
+    used several times in its own projection instead of inlining it)."""
+    tagged = F.transform(lower_tokens(text),
+                         lambda w: F.struct(w.alias("w"), L.pos_tag(w).alias("t")))
+    with_lemma = F.transform(tagged, lambda s: F.struct(s["t"].alias("t"), L.lemma(s["w"], s["t"]).alias("l")))
+    base = df.select("*", with_lemma.alias("__tl"))
+    tl = F.col("__tl")
 
     def n_tag(t: str) -> Column:
-        return F.size(F.filter(tags, lambda x: x == t)).cast("bigint")
+        return F.size(F.filter(tl, lambda x: x["t"] == t)).cast("bigint")
 
-    return {
+    lemmas = F.transform(tl, lambda x: x["l"])
+    cols = {
         "noun_count": n_tag("N"),
         "adj_count": n_tag("J"),
         "verb_count": n_tag("V"),
@@ -54,11 +64,12 @@ def pos_lemma_columns(text: str = "essay") -> dict[str, Column]:
         "lemma_count": F.size(F.array_distinct(lemmas)).cast("bigint"),
         "lemmatised": F.array_join(lemmas, " "),
     }
+    wanted = keep or POS_LEMMA
+    return base.select(*[c for c in df.columns], *[cols[k].alias(k) for k in wanted])
 
 
 def pos_lemma_features(df: DataFrame, text: str = "essay") -> DataFrame:
-    cols = pos_lemma_columns(text)
-    return df.select("*", *[c.alias(n) for n, c in cols.items() if n != "lemmatised"])
+    return with_pos_lemmas(df, text, [k for k in POS_LEMMA if k != "lemmatised"])
 
 
 # ---------------------------------------------------------------- dictionary

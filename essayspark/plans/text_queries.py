@@ -235,9 +235,8 @@ GROUP BY e.essay_id
 @register("pos_counts", _POS_SQL)
 def pos_counts(spark, sf):
     """T7 + A11: noun, adjective, verb, adverb counts by lexicon and rules."""
-    c = FT.pos_lemma_columns(E)
-    return essays(spark, sf).select("essay_id", *[c[k].alias(k) for k in
-                                                  ("noun_count", "adj_count", "verb_count", "adv_count")])
+    return FT.with_pos_lemmas(essays(spark, sf).select("essay_id", E), E,
+                              ["noun_count", "adj_count", "verb_count", "adv_count"]).drop(E)
 
 
 _LEMMA_COUNT_SQL = f"""
@@ -251,7 +250,7 @@ GROUP BY e.essay_id
 @register("lemma_count", _LEMMA_COUNT_SQL)
 def lemma_count(spark, sf):
     """T8 + A10 + U1: distinct lemmas per essay."""
-    return essays(spark, sf).select("essay_id", FT.pos_lemma_columns(E)["lemma_count"].alias("lemma_count"))
+    return FT.with_pos_lemmas(essays(spark, sf).select("essay_id", E), E, ["lemma_count"]).drop(E)
 
 
 _LEMMATISED_SQL = f"""
@@ -265,7 +264,7 @@ GROUP BY e.essay_id
 @register("lemmatised_text", _LEMMATISED_SQL)
 def lemmatised_text(spark, sf):
     """T20 (D6 fixed): each token replaced by its lemma, re-joined."""
-    return essays(spark, sf).select("essay_id", FT.pos_lemma_columns(E)["lemmatised"].alias("lemmatised"))
+    return FT.with_pos_lemmas(essays(spark, sf).select("essay_id", E), E, ["lemmatised"]).drop(E)
 
 
 # ------------------------------------------------------------------ ten_features
