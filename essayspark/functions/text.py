@@ -211,9 +211,9 @@ def ngrams_upto(tokens: Column, n_max: int) -> Column:
     token array is evaluated once per copy, never per element."""
     parts = [tokens]
     for n in range(2, n_max + 1):
-        shifted = [tokens] + [F.slice(tokens, k + 1, F.greatest(F.size(tokens), F.lit(1)))
-                              for k in range(1, n)]
-        z = F.arrays_zip(*shifted)
+        shifted = [tokens.alias("g0")] + [
+            F.slice(tokens, k + 1, F.greatest(F.size(tokens), F.lit(1))).alias(f"g{k}") for k in range(1, n)]
+        z = F.arrays_zip(*shifted)  # fields named g0..g{n-1} by the aliases
         grams = F.transform(z, _gram_joiner(n))
         parts.append(F.filter(grams, lambda g: g.isNotNull()))
     return F.concat(*parts)
@@ -221,7 +221,7 @@ def ngrams_upto(tokens: Column, n_max: int) -> Column:
 
 def _gram_joiner(n: int):
     def join(s: Column) -> Column:
-        return F.when(s[str(n - 1)].isNotNull(), F.concat_ws(" ", *[s[str(k)] for k in range(n)]))
+        return F.when(s[f"g{n - 1}"].isNotNull(), F.concat_ws(" ", *[s[f"g{k}"] for k in range(n)]))
     return join
 
 

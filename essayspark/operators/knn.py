@@ -54,7 +54,13 @@ def _block_topk(k: int, qkey: str, tkey: str, vec: str, label: str, keys: list[s
     def fn(qp: pd.DataFrame, tp: pd.DataFrame) -> pd.DataFrame:
         cols = keys + [qkey, tkey, "dist", label]
         if len(qp) == 0 or len(tp) == 0:
-            return pd.DataFrame({c: [] for c in cols})
+            # typed empty frame (a group present on one side only)
+            empty = {c: qp[c].iloc[:0].reset_index(drop=True) for c in keys}
+            empty[qkey] = qp[qkey].iloc[:0].reset_index(drop=True)
+            empty[tkey] = tp[tkey].iloc[:0].reset_index(drop=True)
+            empty["dist"] = pd.Series([], dtype="float64")
+            empty[label] = tp[label].iloc[:0].reset_index(drop=True)
+            return pd.DataFrame(empty)[cols]
         Q = np.stack(qp[vec].to_numpy()).astype(np.float64)
         T = np.stack(tp[vec].to_numpy()).astype(np.float64)
         # fast approximate distances (BLAS), used only to find candidates

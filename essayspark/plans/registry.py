@@ -29,11 +29,12 @@ def register(name: str, sql: str | None = None):
 
 
 def r6(c: Column | str, name: str | None = None) -> Column:
-    """Round a double to 6 decimals so both engines hash the same value."""
+    """Round a double to 6 decimals so both engines hash the same value
+    (adding 0.0 turns a negative zero into zero)."""
     col = F.col(c) if isinstance(c, str) else c
-    out = F.round(col.cast("double"), 6)
+    out = F.round(col.cast("double"), 6) + F.lit(0.0)
     return out.alias(name) if name else out
 
 
 def r6_sql(e: str) -> str:
-    return f"round(CAST({e} AS DOUBLE), 6)"
+    return f"(round(CAST({e} AS DOUBLE), 6) + 0.0)"
