@@ -78,12 +78,17 @@ def test_same_result_for_1_and_8_shuffle_partitions(spark):
 
 
 def test_topic_shares_sum_to_one(spark):
-    import __spark_entry__ as entry
-
-    dt = entry.queries()["document_topics"](spark, SF001)
-    sums = dt.groupBy("essay_id").agg(F.sum("p").alias("s")).collect()
-    # each of the k shares is rounded to 6 decimals in the output
-    assert sums and all(abs(r["s"] - 1.0) < 8 * 5e-7 + 1e-9 for r in sums)
-    tw = entry.queries()["topic_words"](spark, SF001)
+    from essayspark.operators import topics as TP
+    from essayspark.plans import topic_queries as TQ
+
+    terms, docs, model = TQ.lda_fit(spark, SF001)
+    from pyspark.ml.functions import vector_to_array
+
+    dt = TP.document_topics(model, docs, ["essay_id"])
+    nnz = docs.select("essay_id", F.size(F.filter(vector_to_array("features"), lambda x: x > 0)).alias("nnz"))
+    sums = dt.groupBy("essay_id").agg(F.sum("p").alias("s")).join(nnz, "essay_id").collect()
+    # a text with no vocabulary term gets an all-zero distribution
+    assert sums and all(abs(r["s"] - (1.0 if r["nnz"] else 0.0)) < 1e-9 for r in sums)
+    tw = TP.topic_terms(model, terms, spark)
     for r in tw.groupBy("topic").agg(F.sum("weight").alias("s")).collect():
-        assert abs(r["s"] - 1.0) < 1e-3  # rounded weights over the vocabulary
+        assert abs(r["s"] - 1.0) < 1e-9
