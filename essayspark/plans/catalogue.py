@@ -10,7 +10,7 @@ from essayspark.operators import features as FT
 from essayspark.plans import (model_queries, profile_queries, text_queries,  # noqa: F401
                               topic_queries, vector_queries, vocab_queries)
 from essayspark.plans.registry import ORACLE, QUERIES, r6, r6_sql, register
-from essayspark.sources.tables import ESSAYS_SQL, essays
+from essayspark.sources.tables import ESSAYS_SQL, essay_texts
 
 _FLAGSHIP_SQL = f"""
 SELECT essay_set, CAST(count(*) AS BIGINT) AS n_essays,
@@ -25,7 +25,7 @@ FROM {ESSAYS_SQL} e GROUP BY essay_set
 @register("set_feature_means", _FLAGSHIP_SQL)
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """essays -> T5, T3, T6, T4 per text -> mean per essay_set (A3), sorted."""
-    f = FT.basic_features(essays(spark, sf).select("essay_set", "essay"))
+    f = FT.basic_features(essay_texts(spark, sf).select("essay_set", "essay"))
     return (f.groupBy("essay_set")
             .agg(F.count(F.lit(1)).alias("n_essays"),
                  r6(F.avg("char_count"), "mean_char_count"),

@@ -14,7 +14,7 @@ from essayspark.operators import split as S
 from essayspark.operators import features as FT
 from essayspark.plans.registry import r6, r6_sql, register
 from essayspark.plans.text_queries import _TEN_SQL
-from essayspark.sources.tables import essays, table
+from essayspark.sources.tables import attach_scores, essay_texts, table
 
 KNN_K = 23
 TEST = FV.TEST_FRACTION
@@ -189,8 +189,8 @@ def _k_for_set(c):
 def knn_by_set(spark, sf):
     """ML15 + ML5 + M1: per essay set, KNN on the ten features with the set's k."""
     dictionary = FT.dictionary_counts(table(spark, sf, "benchmark"), "text")
-    tf = FT.ten_features(essays(spark, sf).select("essay_id", "essay_set", "domain1_score", "essay")
-                         .filter(F.col("domain1_score").isNotNull()), dictionary)
+    tf = FT.ten_features(essay_texts(spark, sf).select("essay_id", "essay_set", "essay"), dictionary)
+    tf = attach_scores(tf, spark, sf).filter(F.col("domain1_score").isNotNull())
     tf = tf.withColumn("avg_word_len", r6("avg_word_len"))
     base = tf.select("essay_id", "essay_set", F.col("domain1_score").cast("int").alias("label"),
                      F.array(*[F.col(c).cast("double") for c in FT.TEN_FEATURES]).alias("vec"))

@@ -11,7 +11,8 @@ from essayspark.operators import features as FT
 from essayspark.operators import profile as PR
 from essayspark.plans.registry import r6, r6_sql, register
 from essayspark.plans.text_queries import _TEN_SQL
-from essayspark.sources.tables import ESSAYS_RATERS_SQL, ESSAYS_SQL, essays, essays_with_raters, table
+from essayspark.sources.tables import (ESSAYS_RATERS_SQL, ESSAYS_SQL, attach_scores, essay_texts, essays,
+                                       essays_with_raters, table)
 
 RATER_COLS = ["essay_id", "essay_set", "lang", "essay", "domain1_score",
               "rater1_domain1", "rater3_domain1", "rater3_trait1"]
@@ -154,8 +155,8 @@ _CORR_SQL = f"WITH tf AS ({_TEN_SQL}) " + " UNION ALL ".join(
 
 def _ten(spark, sf):
     dictionary = FT.dictionary_counts(table(spark, sf, "benchmark"), "text")
-    f = FT.ten_features(essays(spark, sf).select("essay_id", "essay_set", "domain1_score", "essay"),
-                        dictionary)
+    f = FT.ten_features(essay_texts(spark, sf).select("essay_id", "essay_set", "essay"), dictionary)
+    f = attach_scores(f, spark, sf)
     return f.withColumn("avg_word_len", r6("avg_word_len"))  # as reported by ten_features
 
 

@@ -11,7 +11,7 @@ from essayspark.functions.patterns import sql_str as q
 from essayspark.operators import features as FT
 from essayspark.operators import grammar as G
 from essayspark.plans.registry import r6, r6_sql, register
-from essayspark.sources.tables import ESSAYS_SQL, essays, table
+from essayspark.sources.tables import ESSAYS_SQL, attach_scores, essay_texts, essays, table
 
 E = "essay"
 
@@ -32,7 +32,7 @@ FROM {ESSAYS_SQL} e
 @register("text_basic_features", _BASIC_SQL)
 def text_basic_features(spark, sf):
     """T3 T4 T5 T6 T11 T22 T26 per essay."""
-    return essays(spark, sf).select(
+    return essay_texts(spark, sf).select(
         "essay_id",
         T.char_count(E).alias("char_count"),
         T.word_count(E).alias("word_count"),
@@ -55,7 +55,7 @@ FROM {ESSAYS_SQL} e GROUP BY essay_set
 @register("mean_words_by_set", _MEAN_WORDS_SQL)
 def mean_words_by_set(spark, sf):
     """A3 / V2: the bar data of mean white-space word count per set."""
-    return (essays(spark, sf)
+    return (essay_texts(spark, sf)
             .withColumn("word_count", T.ws_word_count(E))
             .groupBy("essay_set")
             .agg(r6(F.avg("word_count"), "mean_word_count"),
@@ -87,7 +87,7 @@ FROM (SELECT essay_id, {T.sentence_tokens_sql(E)} AS toks FROM {ESSAYS_SQL} e)
 @register("sentence_tokens", _SENT_SQL)
 def sentence_tokens(spark, sf):
     """T1 + T2: each sentence as its alphanumeric tokens, one row per sentence."""
-    return (essays(spark, sf)
+    return (essay_texts(spark, sf)
             .select("essay_id", F.posexplode(T.sentence_tokens(E)).alias("pos", "toks"))
             .select("essay_id", (F.col("pos") + 1).cast("bigint").alias("sent_no"),
                     F.size("toks").cast("bigint").alias("n_tokens"),
@@ -105,7 +105,7 @@ FROM (SELECT essay_id, {T.raw_tokens_sql(E)} AS t FROM {ESSAYS_SQL} e)
 @register("raw_tokens", _RAW_SQL)
 def raw_tokens(spark, sf):
     """Words and single punctuation symbols, in order."""
-    return (essays(spark, sf).select("essay_id", T.raw_tokens(E).alias("t"))
+    return (essay_texts(spark, sf).select("essay_id", T.raw_tokens(E).alias("t"))
             .select("essay_id", F.size("t").cast("bigint").alias("n_raw_tokens"),
                     F.array_join("t", " ").alias("raw_tokens"),
                     F.size(F.filter("t", lambda x: ~x.rlike(P.WORD))).cast("bigint").alias("n_symbols")))
@@ -124,7 +124,7 @@ FROM (SELECT essay_id, w, {T.remove_words_sql('w', _STOPS)} AS k
 @register("clean_words", _CLEAN_SQL)
 def clean_words(spark, sf):
     """T10 + J3 + U2: lower-case alphabetic words without stop words."""
-    return (essays(spark, sf).select("essay_id", T.clean_words(E).alias("w"))
+    return (essay_texts(spark, sf).select("essay_id", T.clean_words(E).alias("w"))
             .select("essay_id", F.size("w").cast("bigint").alias("n_words"),
                     T.remove_words(F.col("w"), _STOPS).alias("k"))
             .select("essay_id", "n_words", F.size("k").cast("bigint").alias("n_kept"),
@@ -136,7 +136,7 @@ def clean_words(spark, sf):
                          f"CAST(length({T.ascii_clean_sql(E)}) AS BIGINT) AS ascii_len FROM {ESSAYS_SQL} e")
 def ascii_clean(spark, sf):
     """Each run of non-ASCII characters becomes one blank."""
-    return essays(spark, sf).select("essay_id", T.ascii_clean(E).alias("ascii_text"),
+    return essay_texts(spark, sf).select("essay_id", T.ascii_clean(E).alias("ascii_text"),
                                     F.length(T.ascii_clean(E)).cast("bigint").alias("ascii_len"))
 
 
@@ -153,7 +153,7 @@ FROM {ESSAYS_SQL} e
 def readability(spark, sf):
     """The five-number readability row, keyed by essay (D13 fixed)."""
     rd = T.readability(E)
-    return essays(spark, sf).select(
+    return essay_texts(spark, sf).select(
         "essay_id", rd["n_sentences"].alias("n_sentences"), rd["n_syllables"].alias("n_syllables"),
         rd["n_words"].alias("n_words"), r6(rd["flesch"], "flesch"), r6(rd["ari"], "ari"))
 
@@ -169,7 +169,7 @@ FROM {ESSAYS_SQL} e
 @register("grammar_rules", _GR_SQL)
 def grammar_rules(spark, sf):
     """Rule findings per essay and the corrected text."""
-    return G.check(essays(spark, sf).select("essay_id", E)).drop(E)
+    return G.check(essay_texts(spark, sf).select("essay_id", E)).drop(E)
 
 
 # ------------------------------------------------------------------ dictionary + spelling
@@ -203,7 +203,7 @@ FROM {ESSAYS_SQL} e LEFT JOIN m ON e.essay_id = m.essay_id
 def spelling_errors(spark, sf):
     """T9 + J1: tokens of each essay that the dictionary lacks."""
     dictionary = FT.dictionary_counts(table(spark, sf, "benchmark"), "text")
-    return FT.spelling_errors(essays(spark, sf), dictionary)
+    return FT.spelling_errors(essay_texts(spark, sf), dictionary)
 
 
 # ------------------------------------------------------------------ POS, lemmas
@@ -235,7 +235,7 @@ GROUP BY e.essay_id
 @register("pos_counts", _POS_SQL)
 def pos_counts(spark, sf):
     """T7 + A11: noun, adjective, verb, adverb counts by lexicon and rules."""
-    return FT.with_pos_lemmas(essays(spark, sf).select("essay_id", E), E,
+    return FT.with_pos_lemmas(essay_texts(spark, sf).select("essay_id", E), E,
                               ["noun_count", "adj_count", "verb_count", "adv_count"]).drop(E)
 
 
@@ -250,7 +250,7 @@ GROUP BY e.essay_id
 @register("lemma_count", _LEMMA_COUNT_SQL)
 def lemma_count(spark, sf):
     """T8 + A10 + U1: distinct lemmas per essay."""
-    return FT.with_pos_lemmas(essays(spark, sf).select("essay_id", E), E, ["lemma_count"]).drop(E)
+    return FT.with_pos_lemmas(essay_texts(spark, sf).select("essay_id", E), E, ["lemma_count"]).drop(E)
 
 
 _LEMMATISED_SQL = f"""
@@ -264,7 +264,7 @@ GROUP BY e.essay_id
 @register("lemmatised_text", _LEMMATISED_SQL)
 def lemmatised_text(spark, sf):
     """T20 (D6 fixed): each token replaced by its lemma, re-joined."""
-    return FT.with_pos_lemmas(essays(spark, sf).select("essay_id", E), E, ["lemmatised"]).drop(E)
+    return FT.with_pos_lemmas(essay_texts(spark, sf).select("essay_id", E), E, ["lemmatised"]).drop(E)
 
 
 # ------------------------------------------------------------------ ten_features
@@ -290,5 +290,5 @@ FROM {ESSAYS_SQL} e JOIN pos ON e.essay_id = pos.essay_id JOIN sp ON e.essay_id
 def ten_features(spark, sf):
     """T18 + J4: the ten-feature row of every essay."""
     dictionary = FT.dictionary_counts(table(spark, sf, "benchmark"), "text")
-    df = FT.ten_features(essays(spark, sf).select("essay_id", "essay_set", "domain1_score", E), dictionary)
-    return df.withColumn("avg_word_len", r6("avg_word_len"))
+    df = FT.ten_features(essay_texts(spark, sf).select("essay_id", "essay_set", E), dictionary)
+    return attach_scores(df.withColumn("avg_word_len", r6("avg_word_len")), spark, sf)

@@ -12,7 +12,7 @@ from essayspark.operators import topics as TP
 from essayspark.operators import vocab as V
 from essayspark.plans.registry import r6, r6_sql, register
 from essayspark.plans.vocab_queries import STOPS, unigram_vocab
-from essayspark.sources.tables import essays
+from essayspark.sources.tables import essay_texts
 
 K_TOPICS = 8
 _MODELS: dict = {}
@@ -25,7 +25,7 @@ def lda_fit(spark, sf, k: int = K_TOPICS):
     if key not in _MODELS:
         _, vocab = unigram_vocab(spark, sf)
         terms = [r["term"] for r in vocab.orderBy(F.desc("tf"), F.asc("term")).collect()]
-        docs = essays(spark, sf).select("essay_id", "essay_set",
+        docs = essay_texts(spark, sf).select("essay_id", "essay_set",
                                         V.vectorizer_terms("essay", STOPS).alias("terms"))
         docs = V.count_vector_model(terms, "terms", "features").transform(docs).select(
             "essay_id", "essay_set", "features").persist()

@@ -16,15 +16,15 @@ from essayspark.operators import split as S
 from essayspark.operators import vocab as V
 from essayspark.plans.registry import r6, r6_sql, register
 from essayspark.plans.model_queries import _lineitem_xy
-from essayspark.sources.tables import ESSAYS_SQL, essays, table
+from essayspark.sources.tables import ESSAYS_SQL, attach_scores, essay_texts, table
 
 STOPS = V.english_stops()
 
 
 def essay_words(spark, sf):
-    """(essay_id, essay_set, domain1_score, words): T10 without stop words."""
-    return essays(spark, sf).select("essay_id", "essay_set", "domain1_score",
-                                    T.remove_words(T.clean_words("essay"), STOPS).alias("words"))
+    """(essay_id, essay_set, words): T10 without stop words."""
+    return essay_texts(spark, sf).select("essay_id", "essay_set",
+                                         T.remove_words(T.clean_words("essay"), STOPS).alias("words"))
 
 
 def essay_vectors(spark, sf):
@@ -64,7 +64,7 @@ def vector_regression(spark, sf):
     """ML13 + ML14: regressor on mean word vectors of scored essays, 80/20
     split, prediction clipped at 0, x100 and rounded, quadratic kappa."""
     ew, mv = essay_vectors(spark, sf)
-    scored = C.normalise_score(ew.select("essay_id", "essay_set", "domain1_score"), spark) \
+    scored = C.normalise_score(attach_scores(ew.select("essay_id", "essay_set"), spark, sf), spark) \
         .filter(F.col("score_norm").isNotNull())
     data = mv.join(scored.select("essay_id", F.col("score_norm").alias("label")), "essay_id") \
              .withColumnRenamed("mean", "features")

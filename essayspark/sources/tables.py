@@ -67,6 +67,24 @@ def essays(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def essay_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The essay view without scores: essay_id, essay_set, lang, essay.
+
+    Text work needs no label, so nothing is joined before it; at scale a
+    label table too large to broadcast would otherwise shuffle whole texts."""
+    return table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("essay_id"), F.col("source").alias("essay_set"),
+        F.col("lang"), F.col("text").alias("essay"))
+
+
+def attach_scores(df: DataFrame, spark: SparkSession, sf_dir: str, key: str = "essay_id") -> DataFrame:
+    """Add ``domain1_score`` to narrow per-essay rows (after the text work),
+    so the join moves feature rows, never texts."""
+    labels = table(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias(key), F.col("quality").cast("double").alias("domain1_score"))
+    return df.join(labels, key, "left")
+
+
 def essays_with_raters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Essay view with sparse rater-style columns (over 80% null).
 
