@@ -12,7 +12,7 @@ broadcast back without a further check.
 from __future__ import annotations
 
 from pyspark.ml.feature import CountVectorizerModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from essayspark.functions import lexicon as L
@@ -50,6 +50,20 @@ def bounded_vocabulary(stats: DataFrame, n_docs: int, max_terms: int,
     return kept.orderBy(F.desc("tf"), F.asc("term")).limit(max_terms)
 
 
+def vocabulary_by_group(dtc: DataFrame, group: str, max_terms: int) -> DataFrame:
+    """(group, term, tf): the ``max_terms`` most frequent terms of each group
+    (a vectorizer fitted per group).  ``row_number() <= N`` is planned with
+    a partial WindowGroupLimit before the shuffle, so a task sends at most
+    N rows per group, however large the group."""
+    spark = dtc.sparkSession
+    key = "spark.sql.optimizer.windowGroupLimitThreshold"
+    if int(spark.conf.get(key, "1000")) < max_terms:
+        spark.conf.set(key, str(max_terms))  # enables the partial per-task limit
+    tf = dtc.groupBy(group, "term").agg(F.sum("n").alias("tf"))
+    w = Window.partitionBy(group).orderBy(F.desc("tf"), F.asc("term"))
+    return tf.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= max_terms).drop("__r")
+
+
 def restrict_to_vocabulary(dtc: DataFrame, vocab: DataFrame) -> DataFrame:
     """Keep (key, term, n) rows whose term is in the vocabulary; the
     vocabulary is bounded by its ``limit`` so it is broadcast."""

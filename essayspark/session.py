@@ -22,6 +22,10 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
+    # top-N per group (row_number() <= N) gets a partial per-task limit
+    # before the shuffle only when N is under this threshold (default 1000);
+    # vocabularies per group use N = 10,000.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",

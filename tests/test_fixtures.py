@@ -121,3 +121,17 @@ def test_readability_rules(spark):
     assert r["n_syllables"] == 7  # the cat sat it ran a-way
     assert r["flesch"] == pytest.approx(206.835 - 1.015 * 3 - 84.6 * 7 / 6)
     assert not math.isnan(r["ari"])
+
+
+def test_bytes_to_text(spark):
+    df = spark.createDataFrame([(bytearray("héllo".encode("utf-8")),), (bytearray(b"\xff\xfe"),)], "b binary")
+    assert [r["t"] for r in df.select(C.bytes_to_text("b").alias("t")).collect()] == ["héllo", None]
+
+
+def test_heat_map_pivot(spark):
+    from essayspark.operators import topics as TP
+
+    med = spark.createDataFrame([("s1", 0, 0.7), ("s1", 1, 0.3), ("s2", 0, 0.2), ("s2", 1, 0.8)],
+                                "g string, topic int, median_p double")
+    rows = {r["g"]: (r["0"], r["1"]) for r in TP.heat_map(med, "g", 2).collect()}
+    assert rows == {"s1": (0.7, 0.3), "s2": (0.2, 0.8)}

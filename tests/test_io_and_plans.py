@@ -109,3 +109,12 @@ def test_knn_final_ranking_uses_group_limit(spark):
     df = entry.queries()["knn_predict"](spark, SF001)
     assert "WindowGroupLimit" in df._jdf.queryExecution().executedPlan().toString() or \
         "WindowGroupLimit" in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_per_set_vocabulary_limits_each_task(spark):
+    import __spark_entry__ as entry
+
+    df = entry.queries()["ngram_counts_by_set"](spark, SF001)
+    df.write.format("noop").mode("overwrite").save()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
