@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from essayspark.operators.joins import bounded_broadcast
+from essayspark.session import ensure_checkpoint_dir
 
 
 def ranked_words(words: DataFrame, word: str, n_top: int) -> DataFrame:
@@ -37,6 +38,7 @@ def word_vectors(words: DataFrame, word: str, vectors: DataFrame, vec_id: str, v
                 .select(F.col(word).alias("word"), "vec")
     # small (n rows) and read twice (size check, join): cut the lineage by
     # writing it to the shared checkpoint folder instead of recomputing
+    ensure_checkpoint_dir(words.sparkSession)
     return out.checkpoint(eager=True)
 
 

@@ -78,7 +78,14 @@ def main(argv):
 
     import __spark_entry__ as entry
 
-    spark = build_session("local[8]", 8)
+    if os.environ.get("PLAIN_SESSION"):
+        # the driver's own kind of session: none of this package's settings
+        from pyspark.sql import SparkSession
+
+        spark = (SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
+                 .config("spark.ui.enabled", "false").getOrCreate())
+    else:
+        spark = build_session("local[8]", 8)
     con = duck(sf_dir)
     qs, oracle = entry.queries(), entry.oracle_sql()
     n_bad = 0
