@@ -145,24 +145,26 @@ def predict(queries: DataFrame, train: DataFrame, k: int, *, qkey: str, tkey: st
 
 
 def grid_search(train: DataFrame, ks: list[int], *, key: str, vec: str, label: str, fold: str,
-                rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
-    """ML6 + O7: (k, mean_accuracy, is_best) over the folds.
-
-    Each training row is ranked once against the rows of the other folds,
-    up to the largest k; every k of the grid then votes from the same
-    ranking (a neighbour of rank r serves all k >= r)."""
-    q = train.select(F.col(key).alias("__qid"), vec, fold, F.col(label).alias("__true"))
-    t = train.select(key, vec, label, fold)
-    nb = neighbours(q.select("__qid", vec, fold), t, max(ks), qkey="__qid", tkey=key, vec=vec,
-                    label=label, fold=fold, rows_per_block=rows_per_block)
+                group: str | None = None, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+    """ML6 + O7: (group?, k, mean_accuracy, is_best) over the folds.
+
+    Each training row is ranked once against the rows of the other folds
+    (of its own group), up to the largest k; every k of the grid then votes
+    from the same ranking (a neighbour of rank r serves all k >= r)."""
+    gcols = [group] if group else []
+    q = train.select(F.col(key).alias("__qid"), *gcols, vec, fold, F.col(label).alias("__true"))
+    t = train.select(key, *gcols, vec, label, fold)
+    nb = neighbours(q.select("__qid", *gcols, vec, fold), t, max(ks), qkey="__qid", tkey=key, vec=vec,
+                    label=label, fold=fold, group=group, rows_per_block=rows_per_block)
     grid = F.array(*[F.lit(k) for k in ks])
     per_k = nb.withColumn("k", F.explode(F.filter(grid, lambda g: g >= F.col("rank"))))
     pred = vote(per_k, "__qid", label, "k")
-    scored = pred.join(q.select("__qid", fold, "__true"), "__qid")
-    per_fold = scored.groupBy("k", fold).agg(F.avg((F.col("pred") == F.col("__true")).cast("double")).alias("acc"))
-    mean = per_fold.groupBy("k").agg(F.avg("acc").alias("mean_accuracy"))
-    # |grid| rows: a window over all of them is a handful of rows
-    w = Window.orderBy(F.desc("mean_accuracy"), F.asc("k"))
+    scored = pred.join(q.select("__qid", *gcols, fold, "__true"), "__qid")
+    per_fold = (scored.groupBy(*gcols, "k", fold)
+                .agg(F.avg((F.col("pred") == F.col("__true")).cast("double")).alias("acc")))
+    mean = per_fold.groupBy(*gcols, "k").agg(F.avg("acc").alias("mean_accuracy"))
+    # |grid| rows per group: the ranking window covers a handful of rows
+    w = (Window.partitionBy(*gcols) if gcols else Window).orderBy(F.desc("mean_accuracy"), F.asc("k"))
     return mean.withColumn("is_best", F.row_number().over(w) == 1)
 
 
