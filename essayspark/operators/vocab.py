@@ -79,3 +79,27 @@ def count_vector_model(vocab_terms: list[str], input_col: str = "terms",
 
 def english_stops() -> list[str]:
     return list(L.english_stop_words())
+
+
+def dense_counts_by_group(docs: DataFrame, dtc: DataFrame, vocab: DataFrame, group: str, key: str) -> DataFrame:
+    """ML1 + ML3 per group: (group, key, counts) where ``counts[i]`` is the
+    number of times the group's i-th vocabulary term (order ``tf desc,
+    term``) occurs in the document; every document of ``docs`` gets a row.
+
+    The vocabulary is at most N terms per group (a size-checked broadcast);
+    a document's entries are collected per document (bounded by N), never
+    per group, and laid out densely by index with a higher-order function."""
+    from essayspark.operators.joins import bounded_broadcast
+
+    w = Window.partitionBy(group).orderBy(F.desc("tf"), F.asc("term"))
+    idx = vocab.select(group, "term", "tf").withColumn("idx", (F.row_number().over(w) - 1).cast("int"))
+    sizes = idx.groupBy(group).agg(F.count(F.lit(1)).cast("int").alias("__v"))
+    hits = dtc.join(bounded_broadcast(idx.select(group, "term", "idx")), [group, "term"])
+    per_doc = (hits.groupBy(group, key)
+               .agg(F.map_from_entries(F.collect_list(F.struct("idx", F.col("n").cast("double")))).alias("__m")))
+    dense = F.when(F.coalesce(F.col("__v"), F.lit(0)) > 0,
+                   F.transform(F.sequence(F.lit(0), F.col("__v") - 1),
+                               lambda i: F.coalesce(F.col("__m")[i], F.lit(0.0))))
+    return (docs.select(group, key).join(per_doc, [group, key], "left")
+            .join(bounded_broadcast(sizes), group, "left")
+            .select(group, key, F.coalesce(dense, F.array().cast("array<double>")).alias("counts")))

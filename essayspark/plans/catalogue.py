@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from essayspark.functions import text as T
 from essayspark.operators import features as FT
-from essayspark.plans import (model_queries, profile_queries, text_queries,  # noqa: F401
+from essayspark.plans import (jobs, model_queries, profile_queries, text_queries,  # noqa: F401
                               topic_queries, vector_queries, vocab_queries)
 from essayspark.plans.registry import ORACLE, QUERIES, r6, r6_sql, register
 from essayspark.sources.tables import ESSAYS_SQL, essay_texts

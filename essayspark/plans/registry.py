@@ -3,11 +3,14 @@ is expressible in SQL, the DuckDB oracle text for the same result."""
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from essayspark.session import ship_package
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {}
@@ -20,10 +23,16 @@ def register(name: str, sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = fn
+
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, sf)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
-        return fn
+        return run
 
     return deco
 

@@ -49,6 +49,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -68,3 +69,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written intermediates."""
     base = ensure_checkpoint_dir(spark)
     return base.rstrip("/") + "/" + name
+
+
+_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package (pandas UDFs pickle functions by
+    module reference).  Every Python function carries ``sc.environment`` to
+    its workers, so the package root is put on their PYTHONPATH whatever the
+    driver's working directory.  On a cluster whose executors do not see
+    this path, ship the package with ``--py-files`` as usual."""
+    env = spark.sparkContext.environment
+    parts = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if _ROOT not in parts:
+        env["PYTHONPATH"] = os.pathsep.join([_ROOT] + parts)
