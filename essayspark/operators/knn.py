@@ -34,6 +34,14 @@ from pyspark.sql import functions as F
 from essayspark.operators.joins import bounded_broadcast
 
 ROWS_PER_BLOCK = 4096
+# Values (rows x dimensions) a block's dense matrix may hold: 2^23 doubles
+# = 64 MB per side, so wide vectors get proportionally fewer rows per block.
+BLOCK_VALUES = 1 << 23
+
+
+def rows_per_block_for(dim: int) -> int:
+    """Rows per block for vectors of ``dim`` dimensions."""
+    return max(16, min(ROWS_PER_BLOCK, BLOCK_VALUES // max(dim, 1)))
 
 
 def _n_blocks(df: DataFrame, rows_per_block: int) -> int:

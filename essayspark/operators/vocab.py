@@ -31,11 +31,26 @@ def vectorizer_terms(text: str | Column, stops=None, n_max: int = 1) -> Column:
 
 
 def doc_term_counts(df: DataFrame, key: str, terms: Column) -> DataFrame:
-    """Long sparse matrix (key, term, n)."""
-    return (df.select(key, F.explode(terms).alias("term"))
+    """Long sparse matrix (key, term, n).
+
+    Exploded terms are never null; the explicit ``isNotNull`` makes this
+    subplan identical to the one a later join on ``term`` would infer, so
+    the vocabulary branch and the join branch share one shuffle (exchange
+    reuse) and the texts are tokenised once."""
+    return (df.select(key, F.explode(terms).alias("term")).filter(F.col("term").isNotNull())
             .groupBy(key, "term").agg(F.count(F.lit(1)).alias("n")))
 
 
+def group_doc_term_counts(df: DataFrame, group: str, key: str, terms: Column) -> DataFrame:
+    """(group, key, term, n).  Rows whose group is null never reach a join
+    on (group, term); filtering them (and null terms, which explode never
+    yields) here keeps the vocabulary branch and the join branch one
+    subplan, so they share one shuffle."""
+    return (df.select(group, key, F.explode(terms).alias("term"))
+            .filter(F.col(group).isNotNull() & F.col("term").isNotNull())
+            .groupBy(group, key, "term").agg(F.count(F.lit(1)).alias("n")))
+
+
 def term_stats(dtc: DataFrame, key: str) -> DataFrame:
     """(term, df, tf): document frequency and corpus term frequency."""
     return dtc.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("tf"))
