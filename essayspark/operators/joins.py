@@ -31,3 +31,12 @@ def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "inner",
                 max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Join a large table to a lookup table; broadcast the lookup when small."""
     return big.join(bounded_broadcast(small, max_rows), on, how)
+
+
+def broadcast_per_group(df: DataFrame, groups: DataFrame, per_group: int,
+                        max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast a table of at most ``per_group`` rows per group (a per-group
+    top-N) when the number of groups, counted on the cheap ``groups``
+    input, proves ``groups x per_group`` under ``max_rows``.  Counting the
+    table itself would run its whole (expensive) plan an extra time."""
+    return F.broadcast(df) if has_at_most(groups, max(max_rows // max(per_group, 1), 0)) else df

@@ -112,25 +112,28 @@ def _densify():
     return densify
 
 
-def dense_counts_by_group(docs: DataFrame, dtc: DataFrame, vocab: DataFrame, group: str, key: str) -> DataFrame:
+def dense_counts_by_group(docs: DataFrame, dtc: DataFrame, vocab: DataFrame, group: str, key: str,
+                          max_terms: int) -> DataFrame:
     """ML1 + ML3 per group: (group, key, counts) where ``counts[i]`` is the
     number of times the group's i-th vocabulary term (order ``tf desc,
     term``) occurs in the document; every document of ``docs`` gets a row.
 
-    The vocabulary is at most N terms per group (a size-checked broadcast).
+    The vocabulary is at most ``max_terms`` per group, so it is broadcast
+    when the number of groups proves the bound.
     A document's (index, count) entries are collected per document (bounded
     by N), never per group, and laid out densely by numpy in an Arrow-batched
     pandas UDF (a map lookup per position would scan the map each time)."""
-    from essayspark.operators.joins import bounded_broadcast
+    from essayspark.operators.joins import broadcast_per_group
 
     w = Window.partitionBy(group).orderBy(F.desc("tf"), F.asc("term"))
     idx = vocab.select(group, "term", "tf").withColumn("idx", (F.row_number().over(w) - 1).cast("int"))
     sizes = idx.groupBy(group).agg(F.count(F.lit(1)).cast("int").alias("__v"))
-    hits = dtc.join(bounded_broadcast(idx.select(group, "term", "idx")), [group, "term"])
+    groups = docs.select(group).distinct()  # vocabulary has <= max_terms rows per group
+    hits = dtc.join(broadcast_per_group(idx.select(group, "term", "idx"), groups, max_terms), [group, "term"])
     per_doc = (hits.groupBy(group, key)
                .agg(F.collect_list(F.struct("idx", F.col("n").cast("double").alias("n"))).alias("__e")))
     return (docs.select(group, key).join(per_doc, [group, key], "left")
-            .join(bounded_broadcast(sizes), group, "left")
+            .join(broadcast_per_group(sizes, groups, 1), group, "left")
             .select(group, key, _densify()(F.transform("__e", lambda e: e["idx"]),
                                            F.transform("__e", lambda e: e["n"]),
                                            F.col("__v")).alias("counts")))
