@@ -171,8 +171,11 @@ def grid_search(train: DataFrame, ks: list[int], *, key: str, vec: str, label: s
     per_fold = (scored.groupBy(*gcols, "k", fold)
                 .agg(F.avg((F.col("pred") == F.col("__true")).cast("double")).alias("acc")))
     mean = per_fold.groupBy(*gcols, "k").agg(F.avg("acc").alias("mean_accuracy"))
-    # |grid| rows per group: the ranking window covers a handful of rows
-    w = (Window.partitionBy(*gcols) if gcols else Window).orderBy(F.desc("mean_accuracy"), F.asc("k"))
+    # |grid| rows per group: the ranking window covers a handful of rows.
+    # Means equal up to summation order are ties (rounded to 12 decimals):
+    # the smallest k among them wins, whatever order the sums ran in.
+    w = (Window.partitionBy(*gcols) if gcols else Window).orderBy(F.desc(F.round("mean_accuracy", 12)),
+                                                                  F.asc("k"))
     return mean.withColumn("is_best", F.row_number().over(w) == 1)
 
 

@@ -138,7 +138,7 @@ p AS (SELECT *, row_number() OVER (PARTITION BY qid, k ORDER BY c DESC, tl) AS r
 acc AS (SELECT k, qf, avg(CASE WHEN tl = ql THEN 1.0 ELSE 0.0 END) AS a FROM p WHERE rk = 1 GROUP BY k, qf),
 m AS (SELECT k, avg(a) AS mean_accuracy FROM acc GROUP BY k)
 SELECT k, {r6_sql('mean_accuracy')} AS mean_accuracy,
-       row_number() OVER (ORDER BY mean_accuracy DESC, k) = 1 AS is_best FROM m
+       row_number() OVER (ORDER BY round(mean_accuracy, 12) DESC, k) = 1 AS is_best FROM m
 """
 
 
@@ -255,3 +255,44 @@ def regression_metrics(spark, sf):
     pred = LN.predict_1d(te, coefs, "x", "y")
     s = M.regression_summary(pred, "y", "yhat", ["alpha"])
     return s.select("alpha", "n", r6("mse", "mse"), r6("mae", "mae"), r6("r2", "r2"))
+
+
+# ------------------------------------------------------------------ ML6 + ML15: grid per set
+_GRID_SET_SQL = f"""
+WITH tf AS ({_TEN_SQL}),
+base AS ({_SET_BASE}),
+tr AS (SELECT *, CAST((row_number() OVER (PARTITION BY concat_ws('|', essay_set, CAST(label AS VARCHAR))
+                                          ORDER BY md5(CAST(id AS VARCHAR)), id) - 1) % {FV.N_FOLDS} AS INTEGER) AS fold
+       FROM base WHERE NOT ({S.in_test_sql('id', TEST)})),
+d AS (SELECT q.id AS qid, q.label AS ql, q.fold AS qf, q.essay_set, t.id AS tid, t.label AS tl,
+             {_dist_sql('q.vec', 't.vec')} AS dist
+      FROM tr q JOIN tr t ON q.essay_set = t.essay_set AND q.fold <> t.fold),
+r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY dist, tid) AS rn FROM d),
+g AS (SELECT r.*, ks.k FROM r JOIN (VALUES {_GRID_VALUES}) ks(k) ON r.rn <= ks.k),
+v AS (SELECT qid, ql, qf, essay_set, k, tl, count(*) AS c FROM g GROUP BY ALL),
+p AS (SELECT *, row_number() OVER (PARTITION BY qid, k ORDER BY c DESC, tl) AS rk FROM v),
+acc AS (SELECT essay_set, k, qf, avg(CASE WHEN tl = ql THEN 1.0 ELSE 0.0 END) AS a FROM p WHERE rk = 1
+        GROUP BY essay_set, k, qf),
+m AS (SELECT essay_set, k, avg(a) AS mean_accuracy FROM acc GROUP BY essay_set, k)
+SELECT essay_set, k, {r6_sql('mean_accuracy')} AS mean_accuracy,
+       row_number() OVER (PARTITION BY essay_set ORDER BY round(mean_accuracy, 12) DESC, k) = 1 AS is_best FROM m
+"""
+
+
+@register("knn_grid_by_set", _GRID_SET_SQL)
+def knn_grid_by_set(spark, sf):
+    """ML6 + ML7 + ML15 + O7: per essay set, 5-fold grid search over k on the
+    ten features, folds stratified by score inside each set, one ranking pass."""
+    dictionary = FT.dictionary_counts(table(spark, sf, "benchmark"), "text")
+    tf = FT.ten_features(essay_texts(spark, sf).select("essay_id", "essay_set", "essay"), dictionary)
+    tf = attach_scores(tf, spark, sf).filter(F.col("domain1_score").isNotNull())
+    tf = tf.withColumn("avg_word_len", r6("avg_word_len"))
+    base = tf.select("essay_id", "essay_set", F.col("domain1_score").cast("int").alias("label"),
+                     F.array(*[F.col(c).cast("double") for c in FT.TEN_FEATURES]).alias("vec"))
+    tr = S.train_test(base, "essay_id", TEST)[0]
+    strat = tr.withColumn("__cls", F.concat_ws("|", F.col("essay_set"), F.col("label").cast("string")))
+    folded = S.stratified_folds(strat, "essay_id", "__cls", FV.N_FOLDS)
+    g = K.grid_search(folded, FV.KNN_K_GRID, key="essay_id", vec="vec", label="label", fold="fold",
+                      group="essay_set")
+    return g.select("essay_set", F.col("k").cast("int").alias("k"), r6("mean_accuracy", "mean_accuracy"),
+                    "is_best")
