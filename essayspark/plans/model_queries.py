@@ -13,6 +13,7 @@ from essayspark.operators import metrics as M
 from essayspark.operators import split as S
 from essayspark.operators import features as FT
 from essayspark.plans.registry import r6, r6_sql, register
+from essayspark.session import ensure_checkpoint_dir
 from essayspark.plans.text_queries import _TEN_SQL
 from essayspark.sources.tables import attach_scores, essay_texts, table
 
@@ -178,6 +179,14 @@ FROM p WHERE rk = 1 GROUP BY essay_set
 """
 
 
+def _checkpointed(df):
+    """Narrow per-essay feature rows, written once to the shared checkpoint
+    folder: the KNN sizes its blocks by counting both sides and then runs
+    its join, and none of these should recompute the text features."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _k_for_set(c):
     out = None
     for s, k in sorted(FV.KNN_FINAL_K.items()):
@@ -192,8 +201,8 @@ def knn_by_set(spark, sf):
     tf = FT.ten_features(essay_texts(spark, sf).select("essay_id", "essay_set", "essay"), dictionary)
     tf = attach_scores(tf, spark, sf).filter(F.col("domain1_score").isNotNull())
     tf = tf.withColumn("avg_word_len", r6("avg_word_len"))
-    base = tf.select("essay_id", "essay_set", F.col("domain1_score").cast("int").alias("label"),
-                     F.array(*[F.col(c).cast("double") for c in FT.TEN_FEATURES]).alias("vec"))
+    base = _checkpointed(tf.select("essay_id", "essay_set", F.col("domain1_score").cast("int").alias("label"),
+                                   F.array(*[F.col(c).cast("double") for c in FT.TEN_FEATURES]).alias("vec")))
     tr, te = S.train_test(base, "essay_id", TEST)
     nb = K.neighbours(te.select(F.col("essay_id").alias("qid"), "essay_set", "vec"), tr, max(FV.KNN_FINAL_K.values()),
                       qkey="qid", tkey="essay_id", vec="vec", label="label", group="essay_set")
@@ -287,8 +296,8 @@ def knn_grid_by_set(spark, sf):
     tf = FT.ten_features(essay_texts(spark, sf).select("essay_id", "essay_set", "essay"), dictionary)
     tf = attach_scores(tf, spark, sf).filter(F.col("domain1_score").isNotNull())
     tf = tf.withColumn("avg_word_len", r6("avg_word_len"))
-    base = tf.select("essay_id", "essay_set", F.col("domain1_score").cast("int").alias("label"),
-                     F.array(*[F.col(c).cast("double") for c in FT.TEN_FEATURES]).alias("vec"))
+    base = _checkpointed(tf.select("essay_id", "essay_set", F.col("domain1_score").cast("int").alias("label"),
+                                   F.array(*[F.col(c).cast("double") for c in FT.TEN_FEATURES]).alias("vec")))
     tr = S.train_test(base, "essay_id", TEST)[0]
     strat = tr.withColumn("__cls", F.concat_ws("|", F.col("essay_set"), F.col("label").cast("string")))
     folded = S.stratified_folds(strat, "essay_id", "__cls", FV.N_FOLDS)
