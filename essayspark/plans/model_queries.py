@@ -13,7 +13,7 @@ from essayspark.operators import metrics as M
 from essayspark.operators import split as S
 from essayspark.operators import features as FT
 from essayspark.plans.registry import r6, r6_sql, register
-from essayspark.session import ensure_checkpoint_dir
+from essayspark.session import checkpointed
 from essayspark.plans.text_queries import _TEN_SQL
 from essayspark.sources.tables import attach_scores, essay_texts, table
 
@@ -180,11 +180,10 @@ FROM p WHERE rk = 1 GROUP BY essay_set
 
 
 def _checkpointed(df):
-    """Narrow per-essay feature rows, written once to the shared checkpoint
-    folder: the KNN sizes its blocks by counting both sides and then runs
-    its join, and none of these should recompute the text features."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Narrow per-essay feature rows, written once: the KNN sizes its blocks
+    by counting both sides and then runs its join, and none of these should
+    recompute the text features."""
+    return checkpointed(df)
 
 
 def _k_for_set(c):

@@ -11,6 +11,7 @@ from essayspark.operators import features as FT
 from essayspark.operators import profile as PR
 from essayspark.plans.registry import r6, r6_sql, register
 from essayspark.plans.text_queries import _TEN_SQL
+from essayspark.session import checkpointed
 from essayspark.sources.tables import (ESSAYS_RATERS_SQL, ESSAYS_SQL, attach_scores, essay_texts, essays,
                                        essays_with_raters, table)
 
@@ -186,7 +187,10 @@ GROUP BY ALL
 @register("feature_score_bins", _BINS_SQL)
 def feature_score_bins(spark, sf):
     """V5: binned (feature, score) point counts per set, the scatter data."""
-    return PR.feature_bins(_ten(spark, sf), "essay_set", FT.TEN_FEATURES, "domain1_score", "essay_id")
+    # the ten-feature rows feed a range aggregate, its size check and the
+    # binning join: written once, so the texts are featurised once
+    tf = checkpointed(_ten(spark, sf))
+    return PR.feature_bins(tf, "essay_set", FT.TEN_FEATURES, "domain1_score", "essay_id")
 
 
 # ------------------------------------------------------------------ A15 / P13

@@ -84,3 +84,11 @@ def ship_package(spark: SparkSession) -> None:
     parts = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if _ROOT not in parts:
         env["PYTHONPATH"] = os.pathsep.join([_ROOT] + parts)
+
+
+def checkpointed(df):
+    """Write narrow, reused rows once to the shared checkpoint folder and
+    continue from them (cuts lineage; a lost executor re-reads these rows
+    instead of recomputing what produced them)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
