@@ -8,28 +8,49 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from essayspark.operators import split as S
 from essayspark.operators import topics as TP
 from essayspark.operators import vocab as V
 from essayspark.plans.registry import r6, r6_sql, register
-from essayspark.plans.vocab_queries import STOPS, unigram_vocab
+from essayspark.plans.vocab_queries import MAX_DF, MIN_DF, STOPS, TOPIC_VOCAB, unigram_vocab
 from essayspark.sources.tables import essay_texts
 
 K_TOPICS = 8
 _MODELS: dict = {}
 
 
-def lda_fit(spark, sf, k: int = K_TOPICS):
+TRAIN_SALT = "topics"
+
+
+def _train_vocab(spark, sf, test_fraction: float):
+    """The bounded vocabulary of the training texts only."""
+    e = S.train_test(essay_texts(spark, sf).select("essay_id", "essay"), "essay_id", test_fraction, TRAIN_SALT)[0]
+    dtc = V.doc_term_counts(e, "essay_id", V.vectorizer_terms("essay", STOPS))
+    return V.bounded_vocabulary(V.term_stats(dtc, "essay_id"), e.count(), TOPIC_VOCAB, MIN_DF, MAX_DF)
+
+
+def lda_fit(spark, sf, k: int = K_TOPICS, test_fraction: float | None = None):
     """Vocabulary (bounded, collected: at most 2000 terms), count vectors
-    from that exact vocabulary, and the fitted model."""
-    key = (spark.sparkContext.applicationId, sf, k)
+    from that exact vocabulary, and the fitted model.
+
+    With ``test_fraction`` the vocabulary and the model come from the
+    training texts only, and every text (``part`` = train / test) is
+    vectorised with that vocabulary (defect D8: the original refits both on
+    the test texts)."""
+    key = (spark.sparkContext.applicationId, sf, k, test_fraction)
     if key not in _MODELS:
-        _, vocab = unigram_vocab(spark, sf)
+        vocab = unigram_vocab(spark, sf)[1] if test_fraction is None else _train_vocab(spark, sf, test_fraction)
         terms = [r["term"] for r in vocab.orderBy(F.desc("tf"), F.asc("term")).collect()]
         docs = essay_texts(spark, sf).select("essay_id", "essay_set",
                                         V.vectorizer_terms("essay", STOPS).alias("terms"))
-        docs = V.count_vector_model(terms, "terms", "features").transform(docs).select(
-            "essay_id", "essay_set", "features").persist()
-        model = TP.fit_lda(docs, k)
+        cols = ["essay_id", "essay_set", "features"]
+        if test_fraction is not None:
+            docs = docs.withColumn("part", F.when(S.in_test("essay_id", test_fraction, TRAIN_SALT), "test")
+                                   .otherwise("train"))
+            cols.append("part")
+        docs = V.count_vector_model(terms, "terms", "features").transform(docs).select(*cols).persist()
+        fit_on = docs if test_fraction is None else docs.filter(F.col("part") == "train")
+        model = TP.fit_lda(fit_on, k)
         _MODELS[key] = (terms, docs, model)
     return _MODELS[key]
 
