@@ -15,6 +15,7 @@ from essayspark.functions import lexicon as L
 from essayspark.functions import patterns as P
 from essayspark.functions import text as T
 from essayspark.operators.joins import lookup_join
+from essayspark.session import checkpointed
 
 
 def basic_features(df: DataFrame, text: str = "essay") -> DataFrame:
@@ -100,7 +101,9 @@ def spelling_misses(df: DataFrame, dictionary: DataFrame, key: str = "essay_id",
     essay's tokens in its partition, so map-side partial aggregation leaves
     one row per essay to shuffle."""
     toks = df.select(key, F.explode(spelling_tokens(text)).alias("word"))
-    words = dictionary.select("word").distinct()
+    # the word list is sized (a job of its own) and then joined: written
+    # once, so the corpus is not scanned and tokenised twice
+    words = checkpointed(dictionary.select("word").distinct())
     return (lookup_join(toks, words, "word", "left_anti")
             .groupBy(key).agg(F.count(F.lit(1)).alias("n_miss")))
 
