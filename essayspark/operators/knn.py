@@ -57,8 +57,25 @@ def _exact_sq(q: np.ndarray, t: np.ndarray) -> np.ndarray:
     return acc
 
 
+def _matrix(pdf: pd.DataFrame, vec: str, sparse: tuple[str, str, str] | None) -> np.ndarray:
+    """A block's dense matrix: the dense part, then (when ``sparse``) the
+    (indices, values) part laid out over its width, built inside the task."""
+    m = np.stack(pdf[vec].to_numpy()).astype(np.float64)
+    if sparse is None:
+        return m
+    ic, vc, dc = sparse
+    width = int(pdf[dc].iloc[0])  # one group per block pair: one width
+    sp = np.zeros((len(pdf), width))
+    lens = pdf[ic].map(len).to_numpy()
+    if lens.sum():
+        rows = np.repeat(np.arange(len(pdf)), lens)
+        sp[rows, np.concatenate([np.asarray(x, dtype=np.int64) for x in pdf[ic]])] = \
+            np.concatenate([np.asarray(x, dtype=np.float64) for x in pdf[vc]])
+    return np.hstack([m, sp])
+
+
 def _block_topk(k: int, qkey: str, tkey: str, vec: str, label: str, keys: list[str],
-                qfold: str | None, tfold: str | None):
+                qfold: str | None, tfold: str | None, sparse: tuple[str, str, str] | None = None):
     def fn(qp: pd.DataFrame, tp: pd.DataFrame) -> pd.DataFrame:
         cols = keys + [qkey, tkey, "dist", label]
         if len(qp) == 0 or len(tp) == 0:
@@ -69,8 +86,8 @@ def _block_topk(k: int, qkey: str, tkey: str, vec: str, label: str, keys: list[s
             empty["dist"] = pd.Series([], dtype="float64")
             empty[label] = tp[label].iloc[:0].reset_index(drop=True)
             return pd.DataFrame(empty)[cols]
-        Q = np.stack(qp[vec].to_numpy()).astype(np.float64)
-        T = np.stack(tp[vec].to_numpy()).astype(np.float64)
+        Q = _matrix(qp, vec, sparse)
+        T = _matrix(tp, vec, sparse)
         # fast approximate distances (BLAS), used only to find candidates
         approx = (np.einsum("ij,ij->i", Q, Q)[:, None] + np.einsum("ij,ij->i", T, T)[None, :]
                   - 2.0 * (Q @ T.T))
@@ -103,17 +120,21 @@ def _block_topk(k: int, qkey: str, tkey: str, vec: str, label: str, keys: list[s
 
 def neighbours(queries: DataFrame, train: DataFrame, k: int, *, qkey: str, tkey: str,
                vec: str, label: str, group: str | None = None, fold: str | None = None,
-               rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+               rows_per_block: int = ROWS_PER_BLOCK, sparse: tuple[str, str, str] | None = None) -> DataFrame:
     """(group?, qkey, tkey, dist, label, rank) for the k nearest training
     rows of every query (squared Euclidean distance, no scaling).
 
     ``group``: only rows of the same group are neighbours (per-set models).
     ``fold``: a training row in the query's own fold is never a neighbour
-    (cross-validation with one ranking for all folds)."""
+    (cross-validation with one ranking for all folds).
+    ``sparse``: (indices, values, width) columns of a sparse part appended
+    to ``vec``; rows travel sparse and each block is made dense in its task
+    (with ``group``, so every block pair has one width)."""
     keys = [group] if group else []
     bq, bt = _n_blocks(queries, rows_per_block), _n_blocks(train, rows_per_block)
-    qcols = keys + [qkey, vec] + ([fold] if fold else [])
-    tcols = keys + [tkey, vec, label] + ([fold] if fold else [])
+    extra = list(sparse) if sparse else []
+    qcols = keys + [qkey, vec] + extra + ([fold] if fold else [])
+    tcols = keys + [tkey, vec, label] + extra + ([fold] if fold else [])
     # fresh aliases: both sides often come from the same DataFrame
     q = (queries.select(*[F.col(c).alias(c) for c in qcols])
          .withColumn("__qb", F.pmod(F.xxhash64(F.col(qkey)), F.lit(bq)))
@@ -129,7 +150,7 @@ def neighbours(queries: DataFrame, train: DataFrame, k: int, *, qkey: str, tkey:
     schema = ", ".join([f"{c} {fields[c]}" for c in keys]
                        + [f"{qkey} {fields[qkey]}", f"{tkey} {tfields[tkey]}", "dist double",
                           f"{label} {tfields[label]}"])
-    fn = _block_topk(k, qkey, tkey, vec, label, keys, fold, "__tfold" if fold else None)
+    fn = _block_topk(k, qkey, tkey, vec, label, keys, fold, "__tfold" if fold else None, sparse)
     cand = q.groupBy(*gkeys).cogroup(t.groupBy(*gkeys)).applyInPandas(fn, schema)
     w = Window.partitionBy(qkey).orderBy("dist", tkey)
     return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
@@ -153,17 +174,19 @@ def predict(queries: DataFrame, train: DataFrame, k: int, *, qkey: str, tkey: st
 
 
 def grid_search(train: DataFrame, ks: list[int], *, key: str, vec: str, label: str, fold: str,
-                group: str | None = None, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+                group: str | None = None, rows_per_block: int = ROWS_PER_BLOCK,
+                sparse: tuple[str, str, str] | None = None) -> DataFrame:
     """ML6 + O7: (group?, k, mean_accuracy, is_best) over the folds.
 
     Each training row is ranked once against the rows of the other folds
     (of its own group), up to the largest k; every k of the grid then votes
     from the same ranking (a neighbour of rank r serves all k >= r)."""
     gcols = [group] if group else []
-    q = train.select(F.col(key).alias("__qid"), *gcols, vec, fold, F.col(label).alias("__true"))
-    t = train.select(key, *gcols, vec, label, fold)
-    nb = neighbours(q.select("__qid", *gcols, vec, fold), t, max(ks), qkey="__qid", tkey=key, vec=vec,
-                    label=label, fold=fold, group=group, rows_per_block=rows_per_block)
+    extra = list(sparse) if sparse else []
+    q = train.select(F.col(key).alias("__qid"), *gcols, vec, *extra, fold, F.col(label).alias("__true"))
+    t = train.select(key, *gcols, vec, *extra, label, fold)
+    nb = neighbours(q.select("__qid", *gcols, vec, *extra, fold), t, max(ks), qkey="__qid", tkey=key, vec=vec,
+                    label=label, fold=fold, group=group, rows_per_block=rows_per_block, sparse=sparse)
     grid = F.array(*[F.lit(k) for k in ks])
     per_k = nb.withColumn("k", F.explode(F.filter(grid, lambda g: g >= F.col("rank"))))
     pred = vote(per_k, "__qid", label, "k")

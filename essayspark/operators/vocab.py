@@ -112,17 +112,16 @@ def _densify():
     return densify
 
 
-def dense_counts_by_group(docs: DataFrame, dtc: DataFrame, vocab: DataFrame, group: str, key: str,
-                          max_terms: int) -> DataFrame:
-    """ML1 + ML3 per group: (group, key, counts) where ``counts[i]`` is the
-    number of times the group's i-th vocabulary term (order ``tf desc,
-    term``) occurs in the document; every document of ``docs`` gets a row.
+def sparse_counts_by_group(docs: DataFrame, dtc: DataFrame, vocab: DataFrame, group: str, key: str,
+                           max_terms: int) -> DataFrame:
+    """ML1 + ML3 per group, sparse: (group, key, idx, val, width) where
+    ``val[j]`` counts the group's ``idx[j]``-th vocabulary term (order
+    ``tf desc, term``) in the document and ``width`` is the group's
+    vocabulary size; every document of ``docs`` gets a row.
 
     The vocabulary is at most ``max_terms`` per group, so it is broadcast
-    when the number of groups proves the bound.
-    A document's (index, count) entries are collected per document (bounded
-    by N), never per group, and laid out densely by numpy in an Arrow-batched
-    pandas UDF (a map lookup per position would scan the map each time)."""
+    when the number of groups proves the bound.  A document's entries are
+    collected per document (bounded by ``max_terms``), never per group."""
     from essayspark.operators.joins import broadcast_per_group
 
     w = Window.partitionBy(group).orderBy(F.desc("tf"), F.asc("term"))
@@ -134,6 +133,16 @@ def dense_counts_by_group(docs: DataFrame, dtc: DataFrame, vocab: DataFrame, gro
                .agg(F.collect_list(F.struct("idx", F.col("n").cast("double").alias("n"))).alias("__e")))
     return (docs.select(group, key).join(per_doc, [group, key], "left")
             .join(broadcast_per_group(sizes, groups, 1), group, "left")
-            .select(group, key, _densify()(F.transform("__e", lambda e: e["idx"]),
-                                           F.transform("__e", lambda e: e["n"]),
-                                           F.col("__v")).alias("counts")))
+            .select(group, key,
+                    F.coalesce(F.transform("__e", lambda e: e["idx"]), F.array().cast("array<int>")).alias("idx"),
+                    F.coalesce(F.transform("__e", lambda e: e["n"]), F.array().cast("array<double>")).alias("val"),
+                    F.coalesce(F.col("__v"), F.lit(0)).alias("width")))
+
+
+def dense_counts_by_group(docs: DataFrame, dtc: DataFrame, vocab: DataFrame, group: str, key: str,
+                          max_terms: int) -> DataFrame:
+    """(group, key, counts): :func:`sparse_counts_by_group` laid out densely
+    (``counts[i]`` = count of the i-th term) by numpy in an Arrow-batched
+    pandas UDF (a map lookup per position would scan the map each time)."""
+    sp = sparse_counts_by_group(docs, dtc, vocab, group, key, max_terms)
+    return sp.select(group, key, _densify()(F.col("idx"), F.col("val"), F.col("width")).alias("counts"))
