@@ -118,3 +118,18 @@ def test_per_set_vocabulary_limits_each_task(spark):
     df.write.format("noop").mode("overwrite").save()
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_term_counts_share_one_shuffle(spark):
+    """The vocabulary branch and the join branch of the n-gram counts are one
+    subplan, so the executed plan reuses the doc-term shuffle (the texts
+    are tokenised once)."""
+    import __spark_entry__ as entry
+
+    df = entry.queries()["ngram_counts"](spark, SF001)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    reused = [ln for ln in plan.split("\n") if "ReusedExchange" in ln]
+    # the reused shuffle is the one after tokenising (keyed by doc and term),
+    # not only the scan's round-robin repartition
+    assert any("hashpartitioning(essay_id" in ln and "term" in ln for ln in reused), reused
