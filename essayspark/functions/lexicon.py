@@ -9,29 +9,12 @@ codegen: no join, no shuffle, and nothing grows with the data.
 
 from __future__ import annotations
 
-import functools
-import glob
-import os
-import zipfile
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from essayspark.functions.patterns import sql_str as q
 
 
-@functools.lru_cache(maxsize=None)
-def english_stop_words() -> tuple[str, ...]:
-    """Spark's own English stop-word list (181 words), read from the ML jar
-    that ships with pyspark so no JVM is needed to render oracle SQL."""
-    import pyspark
-
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    with zipfile.ZipFile(jars[0]) as z:
-        words = z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode("utf-8").split()
-    return tuple(words)
-
-
 # ---- fixed values: part-of-speech lexicon --------------------------------------
 # Tags: N noun, J adjective, V verb, R adverb, O anything else.  Each entry is
 # "word tag lemma"; the lemma column is "-" when the word is its own lemma.

@@ -17,8 +17,8 @@ from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from essayspark.functions import lexicon as L
 from essayspark.functions import text as T
+from essayspark.functions.fixed_values import ENGLISH_STOP_WORDS
 
 
 def vectorizer_terms(text: str | Column, stops=None, n_max: int = 1) -> Column:
@@ -94,8 +94,8 @@ def count_vector_model(vocab_terms: list[str], input_col: str = "terms",
     return CountVectorizerModel.from_vocabulary(vocab_terms, inputCol=input_col, outputCol=output_col)
 
 
-def english_stops() -> list[str]:
-    return list(L.english_stop_words())
+def english_stops(words=ENGLISH_STOP_WORDS) -> list[str]:
+    return list(words)
 
 
 def _densify():

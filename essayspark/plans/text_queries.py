@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from essayspark.functions import lexicon as L
+from essayspark.functions.fixed_values import ENGLISH_STOP_WORDS
 from essayspark.functions import patterns as P
 from essayspark.functions import text as T
 from essayspark.functions.patterns import sql_str as q
@@ -112,7 +113,7 @@ def raw_tokens(spark, sf):
 
 
 # ------------------------------------------------------------------ clean_words
-_STOPS = list(L.english_stop_words())
+_STOPS = list(ENGLISH_STOP_WORDS)
 _CLEAN_SQL = f"""
 SELECT essay_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(k) AS BIGINT) AS n_kept,
        array_to_string(k, ' ') AS kept_words

@@ -43,7 +43,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    b = b.config("spark.driver.memory", os.environ.get("ESSAYSPARK_DRIVER_MEMORY", "16g"))
+    if master and master.startswith("local"):  # one JVM holds everything; a cluster's launcher decides itself
+        b = b.config("spark.driver.memory", os.environ.get("ESSAYSPARK_DRIVER_MEMORY", "8g"))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -59,6 +60,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf = spark.sparkContext.getConf()
     d = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith(("local[", "local-cluster")) and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="essayspark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
