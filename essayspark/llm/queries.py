@@ -16,6 +16,30 @@ def query(fn):
     return fn
 
 
+@query
+def op1_suffix_dedup(spark, sf):
+    from essayspark.llm.suffix_dedup import remove_repeated_bytes
+
+    out = remove_repeated_bytes(table(spark, sf, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op3_simhash(spark, sf):
+    from essayspark.llm.simhash import near_duplicates
+
+    out = near_duplicates(table(spark, sf, "documents"))
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op5_substring_dedup(spark, sf):
+    from essayspark.llm.substring import remove_repeated_words
+
+    out = remove_repeated_words(table(spark, sf, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 @query
 def op6_quality_rules(spark, sf):
     from essayspark.llm.quality_rules import language_references, quality_rules
