@@ -33,9 +33,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh3_128_digest, xxh64_intdigest
+from xxhash import xxh3_128_digest
 
-from essayspark.llm.common import map_batches, ship_package, written
+from essayspark.llm.common import map_batches, ship_package
 
 #: Segments of one anchor beyond which its windows are told apart by further anchors.
 HOT = 20_000
@@ -62,23 +62,36 @@ class Bytes:
 class Words:
     """Units are the words between ASCII white space, unchanged."""
 
-    class _Codes(dict):
-        def __missing__(self, word):
-            if len(self) > 500_000:
-                self.clear()
-            code = self[word] = xxh64_intdigest(word)
-            return code
+    _factor = np.uint64(6364136223846793005)
+    _inverse = np.uint64(pow(6364136223846793005, -1, 2**64))
 
     def __init__(self):
-        self._codes = self._Codes()
+        self._up = self._down = np.ones(1, np.uint64)
 
     def read(self, text: str | None):
-        words = (text or "").encode("utf-8").split()
-        return words, np.fromiter(map(self._codes.__getitem__, words), np.uint64, len(words))
+        return self.read_bytes((text or "").encode("utf-8"))
+
+    def read_bytes(self, raw: bytes):
+        """(text, starts, ends) and a code per word: a polynomial over its bytes, taken from
+        running sums over the whole text, so no word is handled on its own."""
+        data = np.frombuffer(raw, np.uint8)
+        word = np.r_[False, ~_BLANK[data], False]
+        edge = np.flatnonzero(word[1:] != word[:-1])
+        starts, ends = edge[::2], edge[1::2]
+        if len(self._up) <= len(raw):  # powers of the factor and its inverse, kept for the next text
+            n = 2 * len(raw)
+            self._up = np.cumprod(np.r_[np.uint64(1), np.full(n, self._factor)])
+            self._down = np.cumprod(np.r_[np.uint64(1), np.full(n, self._inverse)])
+        total = np.r_[np.uint64(0), np.cumsum(Bytes._codes[data] * self._up[: len(raw)])]
+        return (raw, starts, ends), (total[ends] - total[starts]) * self._down[starts]
 
     @staticmethod
     def cut(units, a: int, b: int) -> bytes:
-        return b" ".join(units[a:b])
+        raw, starts, ends = units
+        return b" ".join(raw[starts[a]:ends[b - 1]].split())
+
+
+_BLANK = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
 
 
 def _mix(h: np.ndarray, k: int) -> np.ndarray:
@@ -136,8 +149,14 @@ def document_anchors(codes: np.ndarray, length: int, gram: int):
         yield at, hashes[place[first]], first, last, level
 
 
+def document_key() -> tuple[Column, Column]:
+    """A document's name: its id (nulls are one name) and the hash of its text."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), F.hash("text")
+
+
 def _key(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("k1"), F.hash("text").alias("k2"))
+    k1, k2 = document_key()
+    return docs.select("doc_id", "text", k1.alias("k1"), k2.alias("k2"))
 
 
 def covered(docs: DataFrame, units: type, length: int, gram: int, solver: Callable, batch_bytes: int,
@@ -281,7 +300,7 @@ def union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def apply_spans(docs: DataFrame, spans: DataFrame, make: Callable, schema: str, columns: list[str | Column] = ()) -> DataFrame:
+def apply_spans(docs: DataFrame, spans: DataFrame, make: Callable, schema: str) -> DataFrame:
     """``make()(text, stretches)`` per document, as the columns of ``schema`` after doc_id."""
     names = [f.split()[0] for f in schema.split(", ")]
     joined = _key(docs).join(spans, ["k1", "k2"], "left").select("doc_id", "text", "starts", "ends")

@@ -1,5 +1,7 @@
-"""The queries of this subpackage: one ``opN_<name>`` per operator."""
+"""The queries of this subpackage: one ``opN_<name>`` per operator, and the pipeline."""
 
-from essayspark.llm.queries import ORACLE, QUERIES
+import corpus_pipeline
+from essayspark.llm import queries
 
-__all__ = ["ORACLE", "QUERIES"]
+QUERIES = queries.QUERIES | {"pipeline": corpus_pipeline.run}
+ORACLE = queries.ORACLE | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

@@ -24,6 +24,13 @@ def op1_suffix_dedup(spark, sf):
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op2_decontaminate(spark, sf):
+    from essayspark.llm.decontaminate import contaminated
+
+    return contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 @query
 def op3_simhash(spark, sf):
     from essayspark.llm.simhash import near_duplicates
@@ -32,6 +39,15 @@ def op3_simhash(spark, sf):
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op4_language_model(spark, sf):
+    from essayspark.llm.lm import language_model_scores
+
+    held_out = remainder("doc_id", 7) == 2
+    out = language_model_scores(table(spark, sf, "documents"), ~held_out)
+    return out.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query
 def op5_substring_dedup(spark, sf):
     from essayspark.llm.substring import remove_repeated_words
@@ -74,3 +90,10 @@ def op9_bpe(spark, sf):
     out = encode_documents(table(spark, sf, "documents"), "word_bpe_49k.json")
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query
+def op10_main_text(spark, sf):
+    from essayspark.llm.html_text import main_text
+
+    return main_text(table(spark, sf, "pages")).withColumn("n_chars", F.length("text").cast("long"))

@@ -21,10 +21,11 @@ or more are then repeated throughout.  An empty table gives an empty table.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from essayspark.llm.anchors import HOT, Words, apply_spans, covered
-from essayspark.llm.common import written
+from essayspark.llm.anchors import HOT, Words, apply_spans, covered, document_key, union
 
 LENGTH, GRAM = 35, 12
 BATCH_BYTES = 4_000_000
@@ -157,3 +158,23 @@ def remove_repeated_words(docs: DataFrame, length: int = LENGTH, gram: int = GRA
     """doc_id, n_words, n_removed, kept (the kept words, joined by one space)."""
     spans = covered(docs, Words, length, gram, repeated_windows, batch_bytes, hot)
     return apply_spans(docs, spans, _kept, "n_words long, n_removed long, kept string")
+
+
+def replace_texts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batch_bytes: int = BATCH_BYTES, hot: int = HOT) -> DataFrame:
+    """The rows of ``docs``, all columns, with the kept words as ``text`` and ``n_chars``, if there, its new length.
+    A null text stays null."""
+    spans = covered(docs, Words, length, gram, repeated_windows, batch_bytes, hot)
+    k1, k2 = document_key()
+
+    @F.pandas_udf("string")
+    def kept(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
+        one = _kept()
+        return pd.Series([t if a is None else one(t, union(list(zip(a.tolist(), b.tolist()))))[2]
+                          for t, a, b in zip(texts, starts, ends)], dtype="object")
+
+    spans = spans.select(*[F.col(c).alias(f"__{c}__") for c in spans.columns])
+    joined = docs.join(spans, (k1 == F.col("__k1__")) & (k2 == F.col("__k2__")), "left")
+    joined = joined.withColumn("text", F.when(F.col("__starts__").isNull(), F.col("text")).otherwise(kept("text", "__starts__", "__ends__")))
+    if "n_chars" in docs.columns:
+        joined = joined.withColumn("n_chars", F.length("text").cast("long"))
+    return joined.select(docs.columns)

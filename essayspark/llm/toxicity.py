@@ -31,6 +31,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -111,35 +112,43 @@ def choose_voters(docs: DataFrame, labels: DataFrame, voters: int = VOTERS, entr
     return [kept[k::voters] for k in range(voters) if kept[k::voters]] + [list(INSULTS)]
 
 
-def hits(docs: DataFrame, lexicons: list[list[str]]) -> DataFrame:
-    """doc_id, n_words, hits: words that each lexicon holds (a word counts once per lexicon)."""
+class Hits:
+    """Counts the words of a text that each lexicon holds (a word counts once per lexicon)."""
 
-    def make():
+    def __init__(self, lexicons: list[list[str]]):
         import ahocorasick
 
-        whole, begins, lengths = {}, {}, sorted({len(e) - 1 for x in lexicons for e in x if e[-1] == "*"})
-        find = ahocorasick.Automaton()
+        self.n, self.whole, self.begins = len(lexicons), {}, {}
+        self.find = ahocorasick.Automaton()
         for k, entries in enumerate(lexicons):
             for e in entries:
-                (begins if e[-1] == "*" else whole).setdefault(e.rstrip("*"), []).append(k)
-                find.add_word(e.rstrip("*"), 1)
-        find.make_automaton()
+                (self.begins if e[-1] == "*" else self.whole).setdefault(e.rstrip("*"), []).append(k)
+                self.find.add_word(e.rstrip("*"), 1)
+        self.lengths = sorted({len(e) for e in self.begins})
+        self.find.make_automaton()
+
+    def __call__(self, text: str | None) -> tuple[int, list[int]]:
+        low = (text or "").lower()
+        got = [0] * self.n
+        if next(self.find.iter(low), None):
+            for w in _WORDS(low):
+                who = set(self.whole.get(w, ()))
+                for m in self.lengths:
+                    who.update(self.begins.get(w[:m], ()))
+                for k in who:
+                    got[k] += 1
+        return len(low.split()), got
+
+
+def hits(docs: DataFrame, lexicons: list[list[str]]) -> DataFrame:
+    """doc_id, n_words, hits: of every whole text."""
+
+    def make():
+        count = Hits(lexicons)
 
         def step(cols):
-            out = {"doc_id": cols["doc_id"], "n_words": [], "hits": []}
-            for text in cols["text"]:
-                low = (text or "").lower()
-                n, got = len(low.split()), [0] * len(lexicons)
-                if next(find.iter(low), None):
-                    for w in _WORDS(low):
-                        who = set(whole.get(w, ()))
-                        for m in lengths:
-                            who.update(begins.get(w[:m], ()))
-                        for k in who:
-                            got[k] += 1
-                out["n_words"].append(n)
-                out["hits"].append(got)
-            return out
+            got = [count(t) for t in cols["text"]]
+            return {"doc_id": cols["doc_id"], "n_words": [g[0] for g in got], "hits": [g[1] for g in got]}
 
         return step
 
@@ -199,16 +208,17 @@ def fit_linear(x: np.ndarray, p: np.ndarray, penalty: float = 1.0, steps: int =
     return w
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, column: str = "toxic", max_labelled: int = MAX_LABELLED) -> DataFrame:
-    """doc_id, score (0 to 1)."""
+def fit_toxicity(docs: DataFrame, labels: DataFrame, column: str = "toxic", max_labelled: int = MAX_LABELLED):
+    """Lexicons, the classifier's weights, and the hits of all documents (written)."""
     train = written(training_labels(labels, column, max_labelled))
     lexicons = choose_voters(docs, train)
     got = written(hits(docs, lexicons))
     votes = F.transform("hits", lambda h: (h > 0).cast("int"))
     # at most 2^voters patterns, counted with a partial count in every task
     table = got.groupBy(votes.alias("v")).count().collect()
-    # at most max_labelled rows (times the copies of an id)
-    taught = got.join(F.broadcast(train), "doc_id").select("n_words", "hits", "y").limit(4 * max_labelled).toPandas()
+    # at most max_labelled ids; repeated rows of an id teach once
+    one = F.first(F.struct("n_words", "hits")).alias("h")
+    taught = got.join(F.broadcast(train), "doc_id").groupBy("doc_id", "y").agg(one).select("h.*", "y").toPandas()
     w = np.zeros(2 * len(lexicons) + 3)
     w[-1], w[-2] = -3.0, 6.0
     if len(taught) and taught["y"].nunique() == 2:
@@ -219,14 +229,33 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, column: str = "toxic", m
         rates = np.stack([(fire[y == k].sum(0) + 0.5) / ((y == k).sum() + 1) for k in (0, 1)], 1)
         rates, prior, weights = label_model(patterns, counts, rates, float(np.clip(y.mean(), 1e-3, 0.999)))
         w = fit_linear(features(n, h), posterior(fire.astype(float), rates, prior, weights))
+    return lexicons, w, got
 
-    def make():
-        def step(cols):
-            if not cols["doc_id"]:
-                return None
-            x = features(np.array(cols["n_words"]), np.array(cols["hits"]))
-            return {"doc_id": cols["doc_id"], "score": (1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))).tolist()}
 
-        return step
+def score_hits(n_words: list[int], got: list[list[int]], w: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(features(np.array(n_words), np.array(got)) @ w, -30, 30)))
+
+
+def toxicity_scores(docs: DataFrame, labels: DataFrame, column: str = "toxic", max_labelled: int = MAX_LABELLED) -> DataFrame:
+    """doc_id, score (0 to 1)."""
+    _, w, got = fit_toxicity(docs, labels, column, max_labelled)
+
+    def make():
+        return lambda cols: {"doc_id": cols["doc_id"], "score": score_hits(cols["n_words"], cols["hits"], w).tolist()}
 
     return map_batches(got, make, "doc_id long, score double", rows=8192)
+
+
+def keep_harmless(docs: DataFrame, labels: DataFrame, below: float = 0.5, column: str = "toxic", max_labelled: int = MAX_LABELLED) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores under ``below``."""
+    lexicons, w, _ = fit_toxicity(docs, labels, column, max_labelled)
+    counters: list = []
+
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
+        if not counters:
+            counters.append(Hits(lexicons))
+        got = [counters[0](t) for t in texts]
+        return pd.Series(score_hits([g[0] for g in got], [g[1] for g in got], w) if got else [], dtype="float64")
+
+    return docs.filter(score(F.col("text")) < below)
