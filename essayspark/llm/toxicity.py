@@ -13,7 +13,8 @@ voter's rate of firing in either class (its accuracy) estimated by
 expectation-maximisation, starting from the rates on labelled training rows.
 Voters whose votes remain correlated within a class are not independent
 witnesses: their evidence is divided by the sum of their residual
-correlations, and the model is fitted once more.  The posterior labels of the training rows
+correlations, and the model is fitted once more.  On training rows the label votes as well, with an
+accuracy estimated like any other voter's, and the posterior labels
 train a linear (logistic) classifier on hit rates, which gives every document's score.
 
 Learning reads labels of rows whose crc32(doc_id) mod 5 is not 0, at most
@@ -41,7 +42,9 @@ MAX_LABELLED = 40_000
 VOTERS = 10
 ENTRIES = 400
 MIN_SUPPORT = 5
-BEGINNINGS = (4, 5, 6)
+#: The lower end of an entry's log odds for the toxic label, against documents without it.
+MIN_LOG_ODDS = 1.5
+BEGINNINGS = (4, 5, 6, 7, 8)
 HELD_MOD = 5
 
 # ---- fixed values: general insults ----------------------------------------------
@@ -103,7 +106,7 @@ def choose_voters(docs: DataFrame, labels: DataFrame, voters: int = VOTERS, entr
     odds = F.log((a + 0.5) / (totals["a"] + 1)) - F.log((b + 0.5) / (totals["b"] + 1))
     # the lower end of the log odds: a surely toxic entry is frequent as well
     sure = odds - 2 * F.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
-    found = (entry_counts(docs, labels).filter(a >= min_support).withColumn("sure", sure).filter("sure > 1")
+    found = (entry_counts(docs, labels).filter(a >= min_support).withColumn("sure", sure).filter(F.col("sure") > MIN_LOG_ODDS)
              .orderBy(F.desc("sure"), "entry").limit(entries).collect())
     kept: list[str] = []
     for r in found:  # a word that a chosen beginning covers is no further witness
@@ -188,6 +191,13 @@ def posterior(patterns, rates, prior, weights):
     return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
 
 
+def with_labels(p: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Posteriors of labelled rows with the label as one more voter, whose accuracy is estimated from them too."""
+    hit, false = (p @ y + 1) / (p.sum() + 2), ((1 - p) @ y + 1) / ((1 - p).sum() + 2)
+    logit = np.log(p / (1 - p)) + np.where(y == 1, np.log(hit / false), np.log((1 - hit) / (1 - false)))
+    return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
+
+
 def features(n_words: np.ndarray, got: np.ndarray) -> np.ndarray:
     """Per voter: whether it fires and its rate per word; all hits per word; a constant."""
     rate = got / np.maximum(n_words, 1)[:, None]
@@ -228,7 +238,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, column: str = "toxic", max_
         fire = h > 0
         rates = np.stack([(fire[y == k].sum(0) + 0.5) / ((y == k).sum() + 1) for k in (0, 1)], 1)
         rates, prior, weights = label_model(patterns, counts, rates, float(np.clip(y.mean(), 1e-3, 0.999)))
-        w = fit_linear(features(n, h), posterior(fire.astype(float), rates, prior, weights))
+        p = np.clip(posterior(fire.astype(float), rates, prior, weights), 1e-9, 1 - 1e-9)
+        w = fit_linear(features(n, h), with_labels(p, y))
     return lexicons, w, got
 
 
