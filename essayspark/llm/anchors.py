@@ -204,13 +204,16 @@ def covered(docs: DataFrame, units: type, length: int, gram: int, solver: Callab
                 hashes = np.array(sorted(levels), np.int64).view(np.uint64)
                 found: dict = {}
                 for at, h, first, last, other in document_anchors(codes, length, gram):
+                    finer: dict = {}
                     for i in np.flatnonzero(np.isin(h, hashes)).tolist():
-                        key, a, b = h[i:i + 1], int(first[i]), int(last[i])
-                        runs = [(int(key.view(np.int64)[0]), a, b)]
-                        for j in range(1, levels[runs[0][0]] + 1):
-                            finer = _mix(key[0] * _ODD[70] + other(j)[a:b + 1], 71)
-                            key = key[0] + finer if j == 1 else key + finer
-                        if len(key) > 1 or levels[runs[0][0]]:
+                        name, a, b = int(h[i:i + 1].view(np.int64)[0]), int(first[i]), int(last[i])
+                        runs = [(name, a, b)]
+                        if levels[name]:  # windows are told apart by further anchors, which depend on their content only
+                            key = np.repeat(h[i:i + 1], b - a + 1)
+                            for j in range(1, levels[name] + 1):
+                                if j not in finer:
+                                    finer[j] = other(j)
+                                key = _mix(key * _ODD[70] + finer[j][a:b + 1], 71)
                             starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
                             ends = np.r_[starts[1:], len(key)] - 1
                             runs = list(zip(key[starts].view(np.int64).tolist(), (a + starts).tolist(), (a + ends).tolist()))

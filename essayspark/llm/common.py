@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from essayspark.session import ensure_checkpoint_dir, ship_package
 
-__all__ = ["map_batches", "remainder", "written", "table", "ensure_checkpoint_dir", "ship_package"]
+__all__ = ["free_names", "map_batches", "remainder", "written", "table", "ensure_checkpoint_dir", "ship_package"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,17 @@ def remainder(doc_id: Column | str, mod: int) -> Column:
     return F.crc32(F.coalesce(c.cast("string"), F.lit(""))) % mod
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores added as it takes not to clash with a column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        out.append(n)
+    return out
+
+
 def written(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet into the shared checkpoint folder and read it
     back: later reads, also after an executor is lost, start from these files."""

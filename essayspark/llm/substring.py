@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from essayspark.llm.anchors import HOT, Words, apply_spans, covered, document_key, union
+from essayspark.llm.common import free_names
 
 LENGTH, GRAM = 35, 12
 BATCH_BYTES = 4_000_000
@@ -172,9 +173,10 @@ def replace_texts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batch
         return pd.Series([t if a is None else one(t, union(list(zip(a.tolist(), b.tolist()))))[2]
                           for t, a, b in zip(texts, starts, ends)], dtype="object")
 
-    spans = spans.select(*[F.col(c).alias(f"__{c}__") for c in spans.columns])
-    joined = docs.join(spans, (k1 == F.col("__k1__")) & (k2 == F.col("__k2__")), "left")
-    joined = joined.withColumn("text", F.when(F.col("__starts__").isNull(), F.col("text")).otherwise(kept("text", "__starts__", "__ends__")))
+    names = free_names(docs, *spans.columns)
+    joined = docs.join(spans.toDF(*names), (k1 == F.col(names[0])) & (k2 == F.col(names[1])), "left")
+    starts, ends = names[2:]
+    joined = joined.withColumn("text", F.when(F.col(starts).isNull(), F.col("text")).otherwise(kept("text", starts, ends)))
     if "n_chars" in docs.columns:
         joined = joined.withColumn("n_chars", F.length("text").cast("long"))
     return joined.select(docs.columns)
