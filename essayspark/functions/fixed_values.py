@@ -35,6 +35,18 @@ TOPIC_NAMES_8 = [
     (8, "laughter"),
 ]
 
+TOPIC_NAMES_5 = [
+    (1, "effect of computers"),
+    (2, "mood in memoir"),
+    (3, "empire state building and dirigibles"),
+    (4, "patience"),
+    (5, "laughter"),
+]
+TOPIC_NAMES_2 = [
+    (1, "effect of computers"),
+    (2, "laughter"),
+]
+
 # ---- fixed values: English stop words (Spark's default list, 181 words, in its order) ----
 ENGLISH_STOP_WORDS = tuple("""
 i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her

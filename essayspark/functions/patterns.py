@@ -29,8 +29,7 @@ SENT_END = r"""[.!?]+["')\]]*"""
 SENT_BOUNDARY = f"{SENT_END}(?:{WS}|$)"
 SENT_BOUNDARY_GROUPED = f"({SENT_END})(?:{WS}|$)"
 ENDS_WITH_SENT_END = f"{SENT_END}$"
-# Marker written between sentences before splitting (never in the input
-# after white space is consumed by the boundary).
+# Marker written between sentences before splitting; it is removed from the text first.
 SENT_MARK = "\u0001"
 
 # ---- fixed values: syllable rule ----------------------------------------------

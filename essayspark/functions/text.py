@@ -66,13 +66,13 @@ def char_count_sql(e: str) -> str:
 # ---------------------------------------------------------------- T6 / T2 sentences
 def sentences(c) -> Column:
     """Split into sentences by the boundary rule; blank pieces dropped."""
-    marked = F.regexp_replace(strip(c), P.SENT_BOUNDARY_GROUPED, "$1" + P.SENT_MARK)
+    marked = F.regexp_replace(F.translate(strip(c), P.SENT_MARK, ""), P.SENT_BOUNDARY_GROUPED, "$1" + P.SENT_MARK)
     pieces = F.split(marked, P.SENT_MARK, -1)
     return F.filter(pieces, lambda p: p.rlike(P.NON_WS))
 
 
 def sentences_sql(e: str) -> str:
-    marked = f"regexp_replace({strip_sql(e)}, {q(P.SENT_BOUNDARY_GROUPED)}, '\\1' || chr(1), 'g')"
+    marked = f"regexp_replace(replace({strip_sql(e)}, chr(1), ''), {q(P.SENT_BOUNDARY_GROUPED)}, '\\1' || chr(1), 'g')"
     return (f"list_filter(string_split({marked}, chr(1)), "
             f"lambda p: regexp_matches(p, {q(P.NON_WS)}))")
 
@@ -109,6 +109,10 @@ def text_tokens(c) -> Column:
     return F.flatten(sentence_tokens(c))
 
 
+def text_tokens_sql(e: str) -> str:
+    return f"flatten({sentence_tokens_sql(e)})"
+
+
 # ---------------------------------------------------------------- T10 clean words
 def clean_words(c) -> Column:
     """Lower-case alphabetic words: non-letters to blanks, lower, split."""

@@ -73,12 +73,6 @@ def bytes_to_text(c: str | Column) -> Column:
     return F.try_validate_utf8(col.cast("string"))
 
 
-def finite_vector(vec: str | Column) -> Column:
-    """True when no component is NaN (and the vector exists)."""
-    c = F.col(vec) if isinstance(vec, str) else vec
-    return c.isNotNull() & F.forall(c, lambda x: ~F.isnan(x))
-
-
 def sample_rows(df: DataFrame, key: str, n: int = 10, salt: str = "") -> DataFrame:
     """A repeatable sample of n rows: smallest md5 of the key.
 

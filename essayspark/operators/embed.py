@@ -14,7 +14,6 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from essayspark.operators.joins import bounded_broadcast
 from essayspark.session import ensure_checkpoint_dir
 
 
@@ -47,7 +46,7 @@ def mean_vectors(df: DataFrame, key: str, words: Column, vectors: DataFrame) ->
     vectors of the text's known words, repeats counted each time."""
     toks = (df.select(key, F.explode(words).alias("word"))
             .groupBy(key, "word").agg(F.count(F.lit(1)).alias("__n")))
-    known = toks.join(bounded_broadcast(vectors), "word")
+    known = toks.join(vectors, "word")
     return (known.groupBy(key)
             .agg(F.sum("__n").alias("n_known"),
                  Summarizer.mean(array_to_vector(F.col("vec")), F.col("__n").cast("double")).alias("mean")))

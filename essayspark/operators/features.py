@@ -2,8 +2,8 @@
 
 Everything except the spelling check is a row-local expression over the
 essay column: no shuffle, one pass, inside whole-stage codegen.  The
-spelling check needs the dictionary built from a corpus (data-derived, so
-its size is checked before it is broadcast).
+spelling check needs the dictionary built from a corpus (the planner decides by its size
+in bytes whether it is broadcast).
 """
 
 from __future__ import annotations
@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from essayspark.functions import lexicon as L
 from essayspark.functions import patterns as P
 from essayspark.functions import text as T
-from essayspark.operators.joins import lookup_join
 from essayspark.session import checkpointed
 
 
@@ -49,8 +48,10 @@ def with_pos_lemmas(df: DataFrame, text: str = "essay", keep: list[str] | None =
     used several times in its own projection instead of inlining it)."""
     tagged = F.transform(lower_tokens(text),
                          lambda w: F.struct(w.alias("w"), L.pos_tag(w).alias("t")))
-    with_lemma = F.transform(tagged, lambda s: F.struct(s["t"].alias("t"), L.lemma(s["w"], s["t"]).alias("l")))
-    base = df.select("*", with_lemma.alias("__tl"))
+    wanted = keep or POS_LEMMA
+    if {"lemma_count", "lemmatised"} & set(wanted):  # lemmas only when they are asked for
+        tagged = F.transform(tagged, lambda s: F.struct(s["t"].alias("t"), L.lemma(s["w"], s["t"]).alias("l")))
+    base = df.select("*", tagged.alias("__tl"))
     tl = F.col("__tl")
 
     def n_tag(t: str) -> Column:
@@ -65,7 +66,6 @@ def with_pos_lemmas(df: DataFrame, text: str = "essay", keep: list[str] | None =
         "lemma_count": F.size(F.array_distinct(lemmas)).cast("bigint"),
         "lemmatised": F.array_join(lemmas, " "),
     }
-    wanted = keep or POS_LEMMA
     return base.select(*[c for c in df.columns], *[cols[k].alias(k) for k in wanted])
 
 
@@ -96,15 +96,14 @@ def spelling_misses(df: DataFrame, dictionary: DataFrame, key: str = "essay_id",
     """(key, n_miss) for essays with at least one token absent from the
     dictionary (T9, J1).
 
-    Tokens are exploded row-locally, anti-joined with the (size-checked,
-    usually broadcast) dictionary and counted per essay.  Explode keeps an
+    Tokens are exploded row-locally, anti-joined with the dictionary (the planner
+    broadcasts it by its size in bytes) and counted per essay.  Explode keeps an
     essay's tokens in its partition, so map-side partial aggregation leaves
     one row per essay to shuffle."""
     toks = df.select(key, F.explode(spelling_tokens(text)).alias("word"))
-    # the word list is sized (a job of its own) and then joined: written
-    # once, so the corpus is not scanned and tokenised twice
+    # written once: its size in bytes is then known to the planner
     words = checkpointed(dictionary.select("word").distinct())
-    return (lookup_join(toks, words, "word", "left_anti")
+    return (toks.join(words, "word", "left_anti")
             .groupBy(key).agg(F.count(F.lit(1)).alias("n_miss")))
 
 

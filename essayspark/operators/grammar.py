@@ -43,11 +43,16 @@ def double_words_sql(e: str) -> str:
             f"WHERE regexp_matches(s.t[i], {q(P.WORD)}) AND lower(s.t[i]) = lower(s.t[i - 1])) AS BIGINT)")
 
 
+# A match takes its neighbours with it; with every separator doubled, "i i i" has one for each side.
+SEPARATOR = r"([^\p{L}\p{N}_'])"
+
+
 def findings(text: str | Column) -> dict[str, Column]:
     c = F.col(text) if isinstance(text, str) else text
     out = {"n_double_word": double_words(c)}
     for name, pat, _ in L.GRAMMAR_RULES:
-        out[f"n_{name}"] = F.regexp_count(c, F.lit(pat)).cast("bigint")
+        seen = F.regexp_replace(c, SEPARATOR, "$1$1") if name == "lone_i" else c
+        out[f"n_{name}"] = F.regexp_count(seen, F.lit(pat)).cast("bigint")
     out["n_lower_start"] = F.regexp_count(c, F.lit(L.LOWER_START)).cast("bigint")
     return out
 
@@ -55,21 +60,24 @@ def findings(text: str | Column) -> dict[str, Column]:
 def findings_sql(e: str) -> dict[str, str]:
     out = {"n_double_word": double_words_sql(e)}
     for name, pat, _ in L.GRAMMAR_RULES:
-        out[f"n_{name}"] = f"CAST(len(regexp_extract_all({e}, {q(pat)})) AS BIGINT)"
+        seen = f"regexp_replace({e}, {q(SEPARATOR)}, '\\1\\1', 'g')" if name == "lone_i" else e
+        out[f"n_{name}"] = f"CAST(len(regexp_extract_all({seen}, {q(pat)})) AS BIGINT)"
     out["n_lower_start"] = f"CAST(len(regexp_extract_all({e}, {q(L.LOWER_START)})) AS BIGINT)"
     return out
 
 
 def corrected(text: str | Column) -> Column:
     c = F.col(text) if isinstance(text, str) else text
-    for _, pat, rep in L.GRAMMAR_RULES:
-        c = F.regexp_replace(c, pat, _spark_rep(rep))
+    for name, pat, rep in L.GRAMMAR_RULES:
+        for _ in range(2 if name == "lone_i" else 1):  # neighbours share a separator
+            c = F.regexp_replace(c, pat, _spark_rep(rep))
     return c
 
 
 def corrected_sql(e: str) -> str:
-    for _, pat, rep in L.GRAMMAR_RULES:
-        e = f"regexp_replace({e}, {q(pat)}, {q(_sql_rep(rep))}, 'g')"
+    for name, pat, rep in L.GRAMMAR_RULES:
+        for _ in range(2 if name == "lone_i" else 1):
+            e = f"regexp_replace({e}, {q(pat)}, {q(_sql_rep(rep))}, 'g')"
     return e
 
 

@@ -31,12 +31,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from essayspark.operators.joins import bounded_broadcast
-
 ROWS_PER_BLOCK = 4096
 # Values (rows x dimensions) a block's dense matrix may hold: 2^23 doubles
 # = 64 MB per side, so wide vectors get proportionally fewer rows per block.
 BLOCK_VALUES = 1 << 23
+# Values of either side that the exact re-ranking of candidates copies at a time (8 MB).
+SLICE_VALUES = 1 << 20
 
 
 def rows_per_block_for(dim: int) -> int:
@@ -99,7 +99,10 @@ def _block_topk(k: int, qkey: str, tkey: str, vec: str, label: str, keys: list[s
         scale = np.einsum("ij,ij->i", Q, Q)[:, None] + np.einsum("ij,ij->i", T, T)[None, :]
         margin = 1e-9 * (scale + 1.0)
         qi, ti = np.nonzero((approx <= kth[:, None] + margin) & np.isfinite(approx))
-        exact = _exact_sq(Q[qi], T[ti])
+        # candidates are re-ranked in slices: many ties must not copy all their vectors at once
+        step = max(1, SLICE_VALUES // Q.shape[1])
+        exact = np.concatenate([_exact_sq(Q[qi[a:a + step]], T[ti[a:a + step]])
+                                for a in range(0, max(len(qi), 1), step)])
         tk = tp[tkey].to_numpy()[ti]
         # keep the k smallest (exact distance, training key) per query
         order = np.lexsort((tk, exact, qi))
@@ -124,6 +127,7 @@ def neighbours(queries: DataFrame, train: DataFrame, k: int, *, qkey: str, tkey:
     """(group?, qkey, tkey, dist, label, rank) for the k nearest training
     rows of every query (squared Euclidean distance, no scaling).
 
+    A null or NaN component counts as 0.
     ``group``: only rows of the same group are neighbours (per-set models).
     ``fold``: a training row in the query's own fold is never a neighbour
     (cross-validation with one ranking for all folds).
@@ -135,11 +139,15 @@ def neighbours(queries: DataFrame, train: DataFrame, k: int, *, qkey: str, tkey:
     extra = list(sparse) if sparse else []
     qcols = keys + [qkey, vec] + extra + ([fold] if fold else [])
     tcols = keys + [tkey, vec, label] + extra + ([fold] if fold else [])
+    def filled(c):
+        # a missing component counts as 0, so no row loses its neighbours
+        return F.transform(F.col(c), lambda x: F.coalesce(F.nanvl(x.cast("double"), F.lit(0.0)), F.lit(0.0))) if c == vec else F.col(c)
+
     # fresh aliases: both sides often come from the same DataFrame
-    q = (queries.select(*[F.col(c).alias(c) for c in qcols])
+    q = (queries.select(*[filled(c).alias(c) for c in qcols])
          .withColumn("__qb", F.pmod(F.xxhash64(F.col(qkey)), F.lit(bq)))
          .withColumn("__tb", F.explode(F.sequence(F.lit(0), F.lit(bt - 1)).cast("array<bigint>"))))
-    t = (train.select(*[F.col(c).alias(c) for c in tcols])
+    t = (train.select(*[filled(c).alias(c) for c in tcols])
          .withColumn("__tb", F.pmod(F.xxhash64(F.col(tkey)), F.lit(bt)))
          .withColumn("__qb", F.explode(F.sequence(F.lit(0), F.lit(bq - 1)).cast("array<bigint>"))))
     if fold:
@@ -156,9 +164,9 @@ def neighbours(queries: DataFrame, train: DataFrame, k: int, *, qkey: str, tkey:
     return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def vote(nb: DataFrame, qkey: str, label: str, k_col: str | None = None) -> DataFrame:
-    """Majority label per query (per k when ``k_col``); ties -> smallest label."""
-    keys = [qkey] + ([k_col] if k_col else [])
+def vote(nb: DataFrame, qkey: str, label: str, also: str | list[str] | None = None) -> DataFrame:
+    """Majority label per query (and per ``also``, such as a k); ties -> smallest label."""
+    keys = [qkey] + ([also] if isinstance(also, str) else list(also or []))
     counts = nb.groupBy(*keys, label).agg(F.count(F.lit(1)).alias("__votes"))
     w = Window.partitionBy(*keys).orderBy(F.desc("__votes"), F.asc(label))
     return (counts.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") == 1)
@@ -202,4 +210,4 @@ def grid_search(train: DataFrame, ks: list[int], *, key: str, vec: str, label: s
     return mean.withColumn("is_best", F.row_number().over(w) == 1)
 
 
-__all__ = ["neighbours", "vote", "predict", "grid_search", "bounded_broadcast"]
+__all__ = ["neighbours", "vote", "predict", "grid_search"]

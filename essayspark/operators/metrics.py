@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from essayspark.operators.joins import bounded_broadcast
 
 
 def accuracy(y: str, yhat: str) -> Column:
@@ -50,13 +49,12 @@ def grade_ranks(df: DataFrame, y: str, yhat: str) -> DataFrame:
 def quadratic_kappa(df: DataFrame, y: str = "y", yhat: str = "yhat") -> DataFrame:
     """M5: one row (n, kappa).
 
-    The (y, yhat) pairs are read three times (grade ranks, their size
-    check, the scoring join), so they are written once first: two narrow
+    The (y, yhat) pairs are read twice (grade ranks, the scoring join), so they are written once first: two narrow
     columns, and the model that produced them does not run again."""
     from essayspark.session import checkpointed
 
     df = checkpointed(df.select(y, yhat))
-    ranks = bounded_broadcast(grade_ranks(df, y, yhat), 1_000_000)
+    ranks = grade_ranks(df, y, yhat)
     ri = ranks.select(F.col("grade").alias("__gy"), F.col("rank").cast("double").alias("__i"))
     rj = ranks.select(F.col("grade").alias("__gh"), F.col("rank").cast("double").alias("__j"))
     p = df.join(ri, F.col(y) == F.col("__gy")).join(rj, F.col(yhat) == F.col("__gh"))

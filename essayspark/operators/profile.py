@@ -12,11 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from essayspark.operators.joins import bounded_broadcast
 
-# Groups (essay sets) a per-group statistics table may have and still be
-# broadcast back onto the rows.
-MAX_GROUPS_BROADCAST = 1_000_000
 
 
 def nonnull_counts(df: DataFrame, by: str) -> DataFrame:
@@ -94,7 +90,7 @@ def box_stats(df: DataFrame, by: str, value: str) -> DataFrame:
     ``percentile`` keeps a value->count map per group, so its memory is the
     number of distinct values (a handful for grades).  Whiskers need the
     quartiles, so the rows are joined back to the per-group table, which
-    has one row per group and is broadcast when that is proven small."""
+    has one row per group."""
     v = F.col(value)
     q = (df.filter(v.isNotNull()).groupBy(by)
          .agg(F.percentile(v, 0.25).alias("q1"), F.percentile(v, 0.5).alias("median"),
@@ -102,7 +98,7 @@ def box_stats(df: DataFrame, by: str, value: str) -> DataFrame:
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")) \
          .withColumn("lo_fence", F.col("q1") - 1.5 * F.col("iqr")) \
          .withColumn("hi_fence", F.col("q3") + 1.5 * F.col("iqr"))
-    rows = df.filter(v.isNotNull()).select(by, value).join(bounded_broadcast(q, MAX_GROUPS_BROADCAST), by)
+    rows = df.filter(v.isNotNull()).select(by, value).join(q, by)
     inside = (v >= F.col("lo_fence")) & (v <= F.col("hi_fence"))
     w = (rows.groupBy(by)
          .agg(F.min(F.when(inside, v)).alias("whisker_lo"), F.max(F.when(inside, v)).alias("whisker_hi"),
@@ -115,7 +111,7 @@ def box_outliers(df: DataFrame, by: str, value: str, key: str) -> DataFrame:
     stats = box_stats(df, by, value).select(by, "lo_fence", "hi_fence")
     v = F.col(value)
     return (df.filter(v.isNotNull()).select(key, by, value)
-            .join(bounded_broadcast(stats, MAX_GROUPS_BROADCAST), by)
+            .join(stats, by)
             .filter((v < F.col("lo_fence")) | (v > F.col("hi_fence")))
             .select(key, by, value))
 
@@ -149,7 +145,7 @@ def feature_bins(df: DataFrame, by: str, features: list[str], target: str, key:
                  n_bins: int = 10) -> DataFrame:
     """Binned point cloud of (feature, target) per group: counts by
     (group, feature, bin, target).  Ranges come from a partial aggregate
-    joined back (bounded broadcast), never from a window over a group."""
+    joined back, never from a window over a group."""
     long = df.select(key, by, F.col(target).cast("double").alias("target"),
                      F.explode(F.array(*[F.struct(F.lit(f).alias("feature"),
                                                   F.col(f).cast("double").alias("value"))
@@ -157,7 +153,7 @@ def feature_bins(df: DataFrame, by: str, features: list[str], target: str, key:
              .select(key, by, "target", "fv.feature", "fv.value") \
              .filter(F.col("value").isNotNull() & F.col("target").isNotNull())
     rng = long.groupBy(by, "feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-    j = long.join(bounded_broadcast(rng, MAX_GROUPS_BROADCAST), [by, "feature"])
+    j = long.join(rng, [by, "feature"])
     width = F.col("hi") - F.col("lo")
     b = F.when(width == 0, F.lit(1)).otherwise(
         F.least(F.floor((F.col("value") - F.col("lo")) / width * n_bins) + 1, F.lit(n_bins)))

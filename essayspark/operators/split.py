@@ -17,7 +17,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from essayspark.operators.joins import bounded_broadcast
 
 HEX_DIGITS = 4
 BUCKET_DIGITS = 3       # 4096 buckets per class
@@ -60,7 +59,7 @@ def rank_in_class(df: DataFrame, key: str, cls: str, salt: str = "",
     w_cls = Window.partitionBy(cls).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("__off", F.coalesce(F.sum("__nb").over(w_cls), F.lit(0))).drop("__nb")
     w_b = Window.partitionBy(cls, "__b").orderBy("__h", key)
-    return (d.join(bounded_broadcast(offsets), [cls, "__b"])
+    return (d.join(offsets, [cls, "__b"])
             .withColumn("rank", (F.col("__off") + F.row_number().over(w_b) - 1).cast("bigint"))
             .drop("__h", "__b", "__off"))
 

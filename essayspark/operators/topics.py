@@ -1,7 +1,7 @@
 """Topic model and its summaries (ML9-ML12, A5, A16, O3).
 
 The model is ``pyspark.ml.clustering.LDA`` (online variational Bayes with
-the whole corpus per step, i.e. batch updates) over count vectors built
+bootstrap samples of the corpus' size per step) over count vectors built
 from an explicit, bounded vocabulary.  Everything around it is DataFrame
 work: topic-word weights become a long (topic, term, weight) table that
 is normalised per topic with a window over one topic's terms (bounded by
@@ -19,8 +19,13 @@ from pyspark.sql import functions as F
 
 def fit_lda(docs: DataFrame, k: int, features: str = "features", max_iter: int = 30,
             seed: int = 7) -> LDAModel:
-    """ML9: symmetric priors 1/k as the original's defaults, no prior
-    learning, every document in every step."""
+    """ML9: symmetric priors 1/k as the original's defaults, no prior learning.
+
+    Spark's online optimiser draws each step's documents with replacement; at rate 1.0 a
+    step sees as many documents as the corpus has, but leaves out about 37% of them and repeats others.
+    That is its documented sampling, not the original's batch update; over ``max_iter`` = 30
+    steps every document is all but sure to be read.  The EM optimiser reads
+    every document in every step but needs priors above 1."""
     lda = LDA(k=k, maxIter=max_iter, optimizer="online", subsamplingRate=1.0,
               learningOffset=10.0, learningDecay=0.7,
               optimizeDocConcentration=False, docConcentration=[1.0 / k],
@@ -28,6 +33,11 @@ def fit_lda(docs: DataFrame, k: int, features: str = "features", max_iter: int =
     return lda.fit(docs)
 
 
+def log_perplexity(model: LDAModel, docs: DataFrame) -> float:
+    """ML9: the upper bound of the log perplexity per token (lower is better)."""
+    return model.logPerplexity(docs)
+
+
 def topic_terms(model: LDAModel, vocab: list[str], spark: SparkSession) -> DataFrame:
     """ML10 + A16: (topic, term, weight) with each topic's weights summing to 1.
 

@@ -1,9 +1,10 @@
 """Term counting and vocabularies (A7-A9, O2, O4, T23, T24, ML1, ML2).
 
-Terms are exploded row-locally; counts go through two aggregations with
-map-side combine: (doc, term) -> n, then term -> (df, tf).  A term that is
-a third of the corpus is therefore combined inside every task before any
-shuffle.  The vocabulary cut is ``orderBy(tf desc, term).limit(N)``, which
+Terms are exploded row-locally and counted by term in one aggregation with
+map-side combine (all occurrences for tf, a text's distinct terms for df), so a
+term that is a third of the corpus is combined inside every task and no
+(document, term) row is shuffled.  Count vectors come after the cut: only
+occurrences of vocabulary terms are counted per document.  The vocabulary cut is ``orderBy(tf desc, term).limit(N)``, which
 plans as a per-task top-N merged once (TakeOrderedAndProject), never a
 global window in one task.  The vocabulary is bounded by N, so it can be
 broadcast back without a further check.
@@ -11,8 +12,6 @@ broadcast back without a further check.
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,30 +29,23 @@ def vectorizer_terms(text: str | Column, stops=None, n_max: int = 1) -> Column:
     return toks if n_max == 1 else T.ngrams_upto(toks, n_max)
 
 
-def doc_term_counts(df: DataFrame, key: str, terms: Column) -> DataFrame:
-    """Long sparse matrix (key, term, n).
+def term_stats(df: DataFrame, terms: Column) -> DataFrame:
+    """(term, df, tf): document frequency and corpus term frequency.
 
-    Exploded terms are never null; the explicit ``isNotNull`` makes this
-    subplan identical to the one a later join on ``term`` would infer, so
-    the vocabulary branch and the join branch share one shuffle (exchange
-    reuse) and the texts are tokenised once."""
-    return (df.select(key, F.explode(terms).alias("term")).filter(F.col("term").isNotNull())
-            .groupBy(key, "term").agg(F.count(F.lit(1)).alias("n")))
+    A text gives its terms and, marked, its distinct terms; one aggregation by
+    term counts both."""
+    every = F.transform(F.col("__t"), lambda t: F.struct(t.alias("term"), F.lit(0).alias("first")))
+    distinct = F.transform(F.array_distinct("__t"), lambda t: F.struct(t.alias("term"), F.lit(1).alias("first")))
+    rows = df.select(terms.alias("__t")).select(F.inline(F.concat(every, distinct)))
+    return rows.groupBy("term").agg(F.sum("first").alias("df"), F.sum(1 - F.col("first")).alias("tf"))
 
 
-def group_doc_term_counts(df: DataFrame, group: str, key: str, terms: Column) -> DataFrame:
-    """(group, key, term, n).  Rows whose group is null never reach a join
-    on (group, term); filtering them (and null terms, which explode never
-    yields) here keeps the vocabulary branch and the join branch one
-    subplan, so they share one shuffle."""
-    return (df.select(group, key, F.explode(terms).alias("term"))
-            .filter(F.col(group).isNotNull() & F.col("term").isNotNull())
-            .groupBy(group, key, "term").agg(F.count(F.lit(1)).alias("n")))
-
-
-def term_stats(dtc: DataFrame, key: str) -> DataFrame:
-    """(term, df, tf): document frequency and corpus term frequency."""
-    return dtc.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("tf"))
+def vocabulary_counts(df: DataFrame, keys: list[str], terms: Column, vocab: DataFrame,
+                      on: list[str] = ("term",)) -> DataFrame:
+    """Long sparse matrix (keys, term, n) over the vocabulary, joined on ``on`` (term, and a group if
+    each has its own).  Occurrences of other terms are dropped before the per-document count."""
+    rows = df.select(*keys, F.explode(terms).alias("term"))
+    return (rows.join(vocab.select(*on), list(on)).groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("n")))
 
 
 def bounded_vocabulary(stats: DataFrame, n_docs: int, max_terms: int,
@@ -67,24 +59,24 @@ def bounded_vocabulary(stats: DataFrame, n_docs: int, max_terms: int,
     return kept.orderBy(F.desc("tf"), F.asc("term")).limit(max_terms)
 
 
-def vocabulary_by_group(dtc: DataFrame, group: str, max_terms: int) -> DataFrame:
+def vocabulary_by_group(df: DataFrame, group: str, terms: Column, max_terms: int) -> DataFrame:
     """(group, term, tf): the ``max_terms`` most frequent terms of each group
-    (a vectorizer fitted per group).  ``row_number() <= N`` is planned with
-    a partial WindowGroupLimit before the shuffle, so a task sends at most
-    N rows per group, however large the group."""
-    spark = dtc.sparkSession
-    key = "spark.sql.optimizer.windowGroupLimitThreshold"
-    if int(spark.conf.get(key, "1000")) < max_terms:
-        spark.conf.set(key, str(max_terms))  # enables the partial per-task limit
-    tf = dtc.groupBy(group, "term").agg(F.sum("n").alias("tf"))
+    (a vectorizer fitted per group).
+
+    The cut is found per group from a histogram of its counts: a term whose count class (one per
+    doubling) lies wholly under the ``max_terms`` most frequent is dropped before the ranking, so the
+    ranking window gets at most the terms above and those of the one class in which
+    the cut falls."""
+    tf = (df.select(group, F.explode(terms).alias("term")).filter(F.col(group).isNotNull())
+          .groupBy(group, "term").agg(F.count(F.lit(1)).alias("tf"))
+          .withColumn("__c", F.floor(F.log2("tf"))))
+    classes = tf.groupBy(group, "__c").agg(F.count(F.lit(1)).alias("__n"))  # at most 63 rows per group
+    above = Window.partitionBy(group).orderBy(F.desc("__c")).rowsBetween(Window.unboundedPreceding, -1)
+    wanted = (classes.withColumn("__above", F.coalesce(F.sum("__n").over(above), F.lit(0)))
+              .filter(F.col("__above") < max_terms).select(group, "__c"))
     w = Window.partitionBy(group).orderBy(F.desc("tf"), F.asc("term"))
-    return tf.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= max_terms).drop("__r")
-
-
-def restrict_to_vocabulary(dtc: DataFrame, vocab: DataFrame) -> DataFrame:
-    """Keep (key, term, n) rows whose term is in the vocabulary; the
-    vocabulary is bounded by its ``limit`` so it is broadcast."""
-    return dtc.join(F.broadcast(vocab.select("term")), "term")
+    return (tf.join(wanted, [group, "__c"]).drop("__c")
+            .withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= max_terms).drop("__r"))
 
 
 def count_vector_model(vocab_terms: list[str], input_col: str = "terms",
@@ -98,20 +90,6 @@ def english_stops(words=ENGLISH_STOP_WORDS) -> list[str]:
     return list(words)
 
 
-def _densify():
-    @F.pandas_udf("array<double>")
-    def densify(idx: pd.Series, val: pd.Series, size: pd.Series) -> pd.Series:
-        out = []
-        for i, v, n in zip(idx, val, size):
-            z = np.zeros(0 if pd.isna(n) else int(n))
-            if i is not None and len(i):
-                z[np.asarray(i, dtype=np.int64)] = np.asarray(v, dtype=np.float64)
-            out.append(z)
-        return pd.Series(out)
-
-    return densify
-
-
 def sparse_counts_by_group(docs: DataFrame, dtc: DataFrame, vocab: DataFrame, group: str, key: str,
                            max_terms: int) -> DataFrame:
     """ML1 + ML3 per group, sparse: (group, key, idx, val, width) where
@@ -119,30 +97,17 @@ def sparse_counts_by_group(docs: DataFrame, dtc: DataFrame, vocab: DataFrame, gr
     ``tf desc, term``) in the document and ``width`` is the group's
     vocabulary size; every document of ``docs`` gets a row.
 
-    The vocabulary is at most ``max_terms`` per group, so it is broadcast
-    when the number of groups proves the bound.  A document's entries are
+    The vocabulary is at most ``max_terms`` per group.  A document's entries are
     collected per document (bounded by ``max_terms``), never per group."""
-    from essayspark.operators.joins import broadcast_per_group
-
     w = Window.partitionBy(group).orderBy(F.desc("tf"), F.asc("term"))
     idx = vocab.select(group, "term", "tf").withColumn("idx", (F.row_number().over(w) - 1).cast("int"))
     sizes = idx.groupBy(group).agg(F.count(F.lit(1)).cast("int").alias("__v"))
-    groups = docs.select(group).distinct()  # vocabulary has <= max_terms rows per group
-    hits = dtc.join(broadcast_per_group(idx.select(group, "term", "idx"), groups, max_terms), [group, "term"])
+    hits = dtc.join(idx.select(group, "term", "idx"), [group, "term"])
     per_doc = (hits.groupBy(group, key)
                .agg(F.collect_list(F.struct("idx", F.col("n").cast("double").alias("n"))).alias("__e")))
     return (docs.select(group, key).join(per_doc, [group, key], "left")
-            .join(broadcast_per_group(sizes, groups, 1), group, "left")
+            .join(sizes, group, "left")
             .select(group, key,
                     F.coalesce(F.transform("__e", lambda e: e["idx"]), F.array().cast("array<int>")).alias("idx"),
                     F.coalesce(F.transform("__e", lambda e: e["n"]), F.array().cast("array<double>")).alias("val"),
                     F.coalesce(F.col("__v"), F.lit(0)).alias("width")))
-
-
-def dense_counts_by_group(docs: DataFrame, dtc: DataFrame, vocab: DataFrame, group: str, key: str,
-                          max_terms: int) -> DataFrame:
-    """(group, key, counts): :func:`sparse_counts_by_group` laid out densely
-    (``counts[i]`` = count of the i-th term) by numpy in an Arrow-batched
-    pandas UDF (a map lookup per position would scan the map each time)."""
-    sp = sparse_counts_by_group(docs, dtc, vocab, group, key, max_terms)
-    return sp.select(group, key, _densify()(F.col("idx"), F.col("val"), F.col("width")).alias("counts"))

@@ -158,7 +158,7 @@ def _k_for_set_sql(e: str) -> str:
     return f"CASE {parts} ELSE {KNN_K} END"
 
 
-_FEAT_VEC_SQL = "[" + ", ".join(f"CAST({c} AS DOUBLE)" for c in FT.TEN_FEATURES) + "]"
+_FEAT_VEC_SQL = "[" + ", ".join(f"coalesce(CAST({c} AS DOUBLE), 0.0)" for c in FT.TEN_FEATURES) + "]"
 _SET_BASE = (f"SELECT essay_id AS id, essay_set, CAST(domain1_score AS INTEGER) AS label, {_FEAT_VEC_SQL} AS vec "
              f"FROM tf WHERE domain1_score IS NOT NULL")
 _KNN_SET_SQL = f"""
@@ -206,7 +206,7 @@ def knn_by_set(spark, sf):
     nb = K.neighbours(te.select(F.col("essay_id").alias("qid"), "essay_set", "vec"), tr, max(FV.KNN_FINAL_K.values()),
                       qkey="qid", tkey="essay_id", vec="vec", label="label", group="essay_set")
     nb = nb.withColumn("k", _k_for_set(C.set_number("essay_set"))).filter(F.col("rank") <= F.col("k"))
-    pred = K.vote(nb, "qid", "label").join(nb.select("qid", "essay_set", "k").distinct(), "qid")
+    pred = K.vote(nb, "qid", "label", ["essay_set", "k"])  # the set and its k ride along as vote keys
     scored = pred.join(te.select(F.col("essay_id").alias("qid"), F.col("label").alias("truth")), "qid")
     return (scored.groupBy("essay_set", "k")
             .agg(F.count(F.lit(1)).alias("n_test"), r6(M.accuracy("truth", "pred"), "accuracy"))

@@ -112,6 +112,14 @@ def raw_tokens(spark, sf):
                     F.size(F.filter("t", lambda x: ~x.rlike(P.WORD))).cast("bigint").alias("n_symbols")))
 
 
+@register("text_tokens", f"SELECT essay_id, CAST(len(t) AS BIGINT) AS n_tokens, array_to_string(t, ' ') AS tokens "
+                         f"FROM (SELECT essay_id, {T.text_tokens_sql(E)} AS t FROM {ESSAYS_SQL} e)")
+def text_tokens(spark, sf):
+    """The tokens of all sentences of a text as one list."""
+    return (essay_texts(spark, sf).select("essay_id", T.text_tokens(E).alias("t"))
+            .select("essay_id", F.size("t").cast("bigint").alias("n_tokens"), F.array_join("t", " ").alias("tokens")))
+
+
 # ------------------------------------------------------------------ clean_words
 _STOPS = list(ENGLISH_STOP_WORDS)
 _CLEAN_SQL = f"""

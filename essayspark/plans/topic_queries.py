@@ -13,6 +13,7 @@ from essayspark.operators import topics as TP
 from essayspark.operators import vocab as V
 from essayspark.plans.registry import r6, r6_sql, register
 from essayspark.plans.vocab_queries import MAX_DF, MIN_DF, STOPS, TOPIC_VOCAB, unigram_vocab
+from essayspark.session import checkpointed
 from essayspark.sources.tables import essay_texts
 
 K_TOPICS = 8
@@ -25,8 +26,7 @@ TRAIN_SALT = "topics"
 def _train_vocab(spark, sf, test_fraction: float):
     """The bounded vocabulary of the training texts only."""
     e = S.train_test(essay_texts(spark, sf).select("essay_id", "essay"), "essay_id", test_fraction, TRAIN_SALT)[0]
-    dtc = V.doc_term_counts(e, "essay_id", V.vectorizer_terms("essay", STOPS))
-    return V.bounded_vocabulary(V.term_stats(dtc, "essay_id"), e.count(), TOPIC_VOCAB, MIN_DF, MAX_DF)
+    return V.bounded_vocabulary(V.term_stats(e, V.vectorizer_terms("essay", STOPS)), e.count(), TOPIC_VOCAB, MIN_DF, MAX_DF)
 
 
 def lda_fit(spark, sf, k: int = K_TOPICS, test_fraction: float | None = None):
@@ -39,7 +39,7 @@ def lda_fit(spark, sf, k: int = K_TOPICS, test_fraction: float | None = None):
     the test texts)."""
     key = (spark.sparkContext.applicationId, sf, k, test_fraction)
     if key not in _MODELS:
-        vocab = unigram_vocab(spark, sf)[1] if test_fraction is None else _train_vocab(spark, sf, test_fraction)
+        vocab = unigram_vocab(spark, sf)[2] if test_fraction is None else _train_vocab(spark, sf, test_fraction)
         terms = [r["term"] for r in vocab.orderBy(F.desc("tf"), F.asc("term")).collect()]
         docs = essay_texts(spark, sf).select("essay_id", "essay_set",
                                         V.vectorizer_terms("essay", STOPS).alias("terms"))
@@ -48,7 +48,8 @@ def lda_fit(spark, sf, k: int = K_TOPICS, test_fraction: float | None = None):
             docs = docs.withColumn("part", F.when(S.in_test("essay_id", test_fraction, TRAIN_SALT), "test")
                                    .otherwise("train"))
             cols.append("part")
-        docs = V.count_vector_model(terms, "terms", "features").transform(docs).select(*cols).persist()
+        # written once to the shared folder: every step of the fit reads these rows, nothing stays pinned in memory
+        docs = checkpointed(V.count_vector_model(terms, "terms", "features").transform(docs).select(*cols))
         fit_on = docs if test_fraction is None else docs.filter(F.col("part") == "train")
         model = TP.fit_lda(fit_on, k)
         _MODELS[key] = (terms, docs, model)
@@ -62,6 +63,28 @@ def topic_words(spark, sf):
     return TP.topic_terms(model, terms, spark).select("topic", "term", r6("weight", "weight"))
 
 
+@register("topic_top15_k5")
+def topic_top15_k5(spark, sf):
+    """ML9 + O3 with five topics."""
+    terms, _, model = lda_fit(spark, sf, 5)
+    return TP.top_terms(TP.topic_terms(model, terms, spark), 15).select("topic", "rank", "term", r6("weight", "weight"))
+
+
+@register("topic_top15_k2")
+def topic_top15_k2(spark, sf):
+    """ML9 + O3 with two topics."""
+    terms, _, model = lda_fit(spark, sf, 2)
+    return TP.top_terms(TP.topic_terms(model, terms, spark), 15).select("topic", "rank", "term", r6("weight", "weight"))
+
+
+@register("topic_perplexity")
+def topic_perplexity(spark, sf):
+    """ML9: log perplexity bound per token of the models with 8, 5 and 2 topics."""
+    fits = [(k, lda_fit(spark, sf, k)) for k in (8, 5, 2)]
+    rows = [(k, float(TP.log_perplexity(model, docs.select("features")))) for k, (_, docs, model) in fits]
+    return spark.createDataFrame(rows, "k int, log_perplexity double").select("k", r6("log_perplexity", "log_perplexity"))
+
+
 @register("topic_top15")
 def topic_top15(spark, sf):
     """O3: the 15 most probable terms of each topic."""
@@ -120,8 +143,8 @@ def topic_matrix_top15(spark, sf):
 
 
 _MED_SQL = f"""
-WITH x AS (SELECT vec_id, label, unnest(CAST(embedding[1:{K_TOPICS}] AS DOUBLE[])) AS v,
-                  generate_subscripts(embedding[1:{K_TOPICS}], 1) - 1 AS topic FROM embeddings),
+WITH x AS (SELECT vec_id, label, unnest(CAST(embedding AS DOUBLE[])) AS v,
+                  generate_subscripts(embedding, 1) - 1 AS topic FROM embeddings),
 s AS (SELECT vec_id, label, topic, abs(v) / sum(abs(v)) OVER (PARTITION BY vec_id) AS p FROM x),
 m AS (SELECT label, topic, median(p) AS median_p FROM s GROUP BY label, topic)
 SELECT label, CAST(topic AS INTEGER) AS topic, {r6_sql('median_p')} AS median_p,
@@ -131,9 +154,9 @@ SELECT label, CAST(topic AS INTEGER) AS topic, {r6_sql('median_p')} AS median_p,
 
 @register("topic_matrix_medians", _MED_SQL)
 def topic_matrix_medians(spark, sf):
-    """A5 + ML12 on fixed shares: |x_d| / sum |x_0..7| per row, median per (label, topic)."""
+    """A5 + ML12 on fixed shares: |x_d| / sum |x| per row, all dimensions, median per (label, topic)."""
     e = spark.read.parquet(f"{sf}/embeddings.parquet")
-    head = F.transform(F.slice("embedding", 1, K_TOPICS), lambda v: F.abs(v.cast("double")))
+    head = F.transform("embedding", lambda v: F.abs(v.cast("double")))
     shares = e.select("vec_id", "label", head.alias("a")).select(
         "vec_id", "label", F.posexplode("a").alias("topic", "v"),
         F.aggregate("a", F.lit(0.0), lambda acc, v: acc + v).alias("tot"))

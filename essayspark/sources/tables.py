@@ -22,28 +22,24 @@ TABLES = (
 # Tables whose rows carry whole texts: per-row work is CPU-bound regex and
 # array work, so every core needs its own slice of rows.
 TEXT_TABLES = {"documents", "conversations", "benchmark", "pages"}
-TASKS_PER_CORE = 4
+# Set by a launcher whose text tables are single small files (tests, bench): they are
+# then dealt to so many partitions.  Unset, a scan keeps its own splits.
+SPREAD = "essayspark.text.partitions"
 
 
-def ensure_parallelism(df: DataFrame, spark: SparkSession) -> DataFrame:
-    """Spread a scan that yields fewer splits than cores.
+def spread(df: DataFrame, spark: SparkSession) -> DataFrame:
+    """A text scan in the number of partitions the session asks for, if it does.
 
-    A Parquet row group is never split, so a small file with one row group
-    is read by one task and all text work would run on one core.  Only
-    then is the scan repartitioned (round robin, TASKS_PER_CORE per core);
-    a large input already has far more splits than cores and is left as
-    it is, so no shuffle is added at scale.  Column pruning still passes
-    through the repartition to the scan."""
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores * TASKS_PER_CORE)
-    return df
+    A Parquet row group is never split, so a small file is read by one task.  Nothing
+    here looks at the data's size: the plan depends on the setting only."""
+    n = spark.conf.get(SPREAD, None)
+    return df.repartition(int(n)) if n else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One Parquet table; column pruning and filters reach the scan."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return ensure_parallelism(df, spark) if name in TEXT_TABLES else df
+    return spread(df, spark) if name in TEXT_TABLES else df
 
 
 def essays(spark: SparkSession, sf_dir: str) -> DataFrame:

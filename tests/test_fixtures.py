@@ -135,3 +135,35 @@ def test_heat_map_pivot(spark):
                                 "g string, topic int, median_p double")
     rows = {r["g"]: (r["0"], r["1"]) for r in TP.heat_map(med, "g", 2).collect()}
     assert rows == {"s1": (0.7, 0.3), "s2": (0.2, 0.8)}
+
+
+def test_lone_i_and_marker_characters(spark):
+    from essayspark.functions import text as T
+    from essayspark.operators import grammar as G
+
+    df = spark.createDataFrame([("i i i am the the cat . hello",), ("a b\u0001c d.",), ("I see.",)], "essay string")
+    rows = G.check(df).withColumn("n_sent", T.sent_count("essay")).collect()
+    assert [r["n_lone_i"] for r in rows] == [3, 0, 0]
+    assert rows[0]["corrected"].startswith("I I I am")
+    assert rows[1]["n_sent"] == 1
+
+
+def test_drop_sparse_and_topic_names(spark):
+    from essayspark.functions import fixed_values as FV
+    from essayspark.operators import clean as C
+    from essayspark.operators import profile as P
+
+    df = spark.createDataFrame([(1, None, "set1"), (2, None, "set2"), (3, "x", "set9")], "a int, b string, essay_set string")
+    assert P.drop_sparse(df, 0.5).columns == ["a", "essay_set"]
+    for names in (FV.TOPIC_NAMES_5, FV.TOPIC_NAMES_2):
+        got = {r["a"]: r["topic"] for r in C.name_topics(df, spark, names=names).collect()}
+        assert got[1] == "effect of computers" and got[3] == "set9"
+
+
+def test_rows_with_missing_components_keep_their_prediction(spark):
+    from essayspark.operators import knn as K
+
+    rows = [(i, [float(i), None if i % 3 == 0 else 1.0], i % 2) for i in range(30)]
+    df = spark.createDataFrame(rows, "id long, vec array<double>, label int")
+    got = K.predict(df.selectExpr("id AS q", "vec"), df, 3, qkey="q", tkey="id", vec="vec", label="label")
+    assert got.count() == 30

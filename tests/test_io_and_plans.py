@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
@@ -35,11 +36,24 @@ def test_tsv(spark, scratch):
     assert IO.read_delimited(spark, path, sep="\t").first()["essay"] == "hello there"
 
 
+def test_columns_come_by_header_name(spark, scratch):
+    path = os.path.join(scratch, "full.csv")
+    with open(path, "w", encoding="latin-1") as f:
+        f.write("essay_id,essay_set,essay,rater1_domain1,rater2_domain1,rater3_domain1,domain1_score\n1,2,text,4,5,,9\n2,2,more,4,5,,n/a\n")
+    rows = IO.read_delimited(spark, path).orderBy("essay_id").collect()
+    assert [r["domain1_score"] for r in rows] == [9.0, None] and rows[0]["essay"] == "text"
+    with open(path, "w", encoding="latin-1") as f:
+        f.write("essay_id,essay_set,essay\n1,2,text\n")
+    with pytest.raises(ValueError, match="domain1_score"):
+        IO.read_delimited(spark, path)
+
+
 def test_word_vectors_and_corpus(spark, scratch):
     p = os.path.join(scratch, "vec.txt")
     with open(p, "w", encoding="utf-8") as f:
-        f.write("the 0.1 0.2 0.3\nbad 1 2\ncat 1 2 3\n")
-    v = {r["word"]: list(r["vec"]) for r in IO.read_word_vectors(spark, p, 3).collect()}
+        f.write("the 0.1 0.2 0.3\nbad 1 2\ncat 1 2 3\ndog 1 x 3\n")
+    v = {r["word"]: list(r["vec"]) for r in IO.read_word_vectors(spark, p, 3)[0].collect()}
+    assert [r["line"] for r in IO.read_word_vectors(spark, p, 3)[1].collect()] == ["bad 1 2", "dog 1 x 3"]
     assert set(v) == {"the", "cat"} and v["cat"] == [1.0, 2.0, 3.0]
     c = os.path.join(scratch, "corpus.txt")
     with open(c, "w") as f:
@@ -111,25 +125,32 @@ def test_knn_final_ranking_uses_group_limit(spark):
         "WindowGroupLimit" in df._jdf.queryExecution().optimizedPlan().toString()
 
 
-def test_per_set_vocabulary_limits_each_task(spark):
+def _no_exchange_on(plan, *columns):
+    return not any("hashpartitioning(" in ln and all(c in ln for c in columns) for ln in plan.split("\n"))
+
+
+def test_vocabulary_never_shuffles_documents_and_terms(spark):
+    """The statistics of all terms are shuffled by term only."""
     import __spark_entry__ as entry
 
-    df = entry.queries()["ngram_counts_by_set"](spark, SF001)
-    df.write.format("noop").mode("overwrite").save()
+    df = entry.queries()["vocabulary_bounded"](spark, SF001)
+    df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan and "Partial" in plan
+    assert _no_exchange_on(plan, "essay_id", "term")
 
 
-def test_term_counts_share_one_shuffle(spark):
-    """The vocabulary branch and the join branch of the n-gram counts are one
-    subplan, so the executed plan reuses the doc-term shuffle (the texts
-    are tokenised once)."""
+def test_count_vectors_drop_other_terms_before_the_shuffle(spark):
+    """The only exchange by (document, term) lies above the join with the vocabulary."""
     import __spark_entry__ as entry
 
     df = entry.queries()["ngram_counts"](spark, SF001)
-    df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
-    reused = [ln for ln in plan.split("\n") if "ReusedExchange" in ln]
-    # the reused shuffle is the one after tokenising (keyed by doc and term),
-    # not only the scan's round-robin repartition
-    assert any("hashpartitioning(essay_id" in ln and "term" in ln for ln in reused), reused
+    assert plan.index("BroadcastHashJoin") > plan.index("hashpartitioning(essay_id")
+
+
+def test_no_operator_changes_the_session(spark):
+    import __spark_entry__ as entry
+
+    before = {r["key"]: r["value"] for r in spark.sql("SET").collect()}
+    entry.queries()["ngram_counts_by_set"](spark, SF001)
+    assert before == {r["key"]: r["value"] for r in spark.sql("SET").collect()}
