@@ -20,12 +20,25 @@ from essayspark.session import ensure_checkpoint_dir
 def ranked_words(words: DataFrame, word: str, n_top: int) -> DataFrame:
     """(word, rank0) of the ``n_top`` most frequent words, ties by word.
 
-    ``orderBy.limit`` is a per-task top-n merged once; the rank window then
-    runs over those n_top rows only."""
+    A rank is the number of words that are more frequent, plus those of equal frequency with a
+    smaller beginning, plus the place among words of equal frequency and beginning.  The first two
+    come from counts, so no window ever holds more than the words of one frequency and beginning."""
     top = (words.groupBy(word).agg(F.count(F.lit(1)).alias("__n"))
-           .orderBy(F.desc("__n"), F.asc(word)).limit(n_top))
-    w = Window.orderBy(F.desc("__n"), F.asc(word))
-    return top.withColumn("rank0", (F.row_number().over(w) - 1).cast("bigint")).drop("__n")
+           .withColumn("__b", F.substring(word, 1, 3)))
+    sizes = top.groupBy("__n", "__b").agg(F.count(F.lit(1)).alias("__m"))
+    before = Window.unboundedPreceding, -1
+    # one row per distinct frequency: the number of frequencies grows with the root of the corpus
+    levels = (sizes.groupBy("__n").agg(F.sum("__m").alias("__l"))
+              .withColumn("__over", F.coalesce(F.sum("__l").over(Window.orderBy(F.desc("__n")).rowsBetween(*before)), F.lit(0)))
+              .filter(F.col("__over") < n_top).select("__n", "__over"))
+    starts = (sizes.join(levels, "__n")
+              .withColumn("__start", F.col("__over") + F.coalesce(
+                  F.sum("__m").over(Window.partitionBy("__n").orderBy("__b").rowsBetween(*before)), F.lit(0)))
+              .filter(F.col("__start") < n_top).select("__n", "__b", "__start"))
+    w = Window.partitionBy("__n", "__b").orderBy(word)
+    return (top.join(starts, ["__n", "__b"])
+            .withColumn("rank0", (F.col("__start") + F.row_number().over(w) - 1).cast("bigint"))
+            .filter(F.col("rank0") < n_top).select(word, "rank0"))
 
 
 def word_vectors(words: DataFrame, word: str, vectors: DataFrame, vec_id: str, vec: str) -> DataFrame:

@@ -71,16 +71,35 @@ def document_topics(model: LDAModel, docs: DataFrame, keys: list[str]) -> DataFr
     return t.select(*keys, F.posexplode(vector_to_array("topicDistribution")).alias("topic", "p"))
 
 
-def group_topic_medians(dt: DataFrame, group: str, topic: str = "topic", p: str = "p",
-                        exact: bool = True) -> DataFrame:
+MEDIAN_BUCKETS = 4096
+
+
+def exact_medians(df: DataFrame, by: list[str], value: str, buckets: int = MEDIAN_BUCKETS) -> DataFrame:
+    """(by..., median_p) of values from 0 to 1: exact, without one buffer per group.
+
+    Counts per bucket of the value tell in which bucket each middle rank lies; only the rows of those
+    buckets are ranked."""
+    v = F.col(value)
+    rows = df.filter(v.isNotNull()).withColumn("__b", F.least(F.floor(v * buckets), F.lit(buckets - 1)).cast("int"))
+    counts = rows.groupBy(*by, "__b").agg(F.count(F.lit(1)).alias("__n"))
+    whole = Window.partitionBy(*by)  # at most ``buckets`` rows per group
+    counts = (counts.withColumn("__all", F.sum("__n").over(whole))
+              .withColumn("__before", F.sum("__n").over(whole.orderBy("__b")) - F.col("__n")))
+    ranks = F.array_distinct(F.array(F.floor((F.col("__all") - 1) / 2), F.floor(F.col("__all") / 2)))
+    inside = F.filter(ranks, lambda r: (r >= F.col("__before")) & (r < F.col("__before") + F.col("__n")))
+    middle = (counts.withColumn("__ranks", F.transform(inside, lambda r: r - F.col("__before")))
+              .filter(F.size("__ranks") > 0).select(*by, "__b", "__ranks"))
+    w = Window.partitionBy(*by, "__b").orderBy(value)
+    return (rows.join(middle, [*by, "__b"])
+            .withColumn("__r", F.row_number().over(w) - 1)
+            .filter(F.array_contains("__ranks", F.col("__r").cast("bigint")))
+            .groupBy(*by).agg(F.avg(value).alias("median_p")))
+
+
+def group_topic_medians(dt: DataFrame, group: str, topic: str = "topic", p: str = "p") -> DataFrame:
     """A5 + ML12: median share of each topic per group and whether it is
-    the group's dominant topic (largest median, ties to the lower topic).
-
-    ``exact`` uses ``median`` (keeps a value->count map per group);
-    ``exact=False`` uses ``percentile_approx`` with bounded memory for
-    groups too large for that."""
-    med = F.median(p) if exact else F.percentile_approx(p, 0.5, 10000)
-    m = dt.groupBy(group, topic).agg(med.alias("median_p"))
+    the group's dominant topic (largest median, ties to the lower topic)."""
+    m = exact_medians(dt, [group, topic], p)
     w = Window.partitionBy(group).orderBy(F.desc("median_p"), F.asc(topic))  # k rows per group
     return m.withColumn("is_dominant", F.row_number().over(w) == 1)
 

@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from essayspark.operators import features as FT
 from essayspark.operators import split as S
 from essayspark.operators import topics as TP
 from essayspark.operators import vocab as V
 from essayspark.plans.registry import r6, r6_sql, register
-from essayspark.plans.vocab_queries import MAX_DF, MIN_DF, STOPS, TOPIC_VOCAB, unigram_vocab
+from essayspark.plans.vocab_queries import MAX_DF, MIN_DF, STOPS, TOPIC_VOCAB
 from essayspark.session import checkpointed
 from essayspark.sources.tables import essay_texts
 
@@ -23,10 +24,17 @@ _MODELS: dict = {}
 TRAIN_SALT = "topics"
 
 
-def _train_vocab(spark, sf, test_fraction: float):
-    """The bounded vocabulary of the training texts only."""
-    e = S.train_test(essay_texts(spark, sf).select("essay_id", "essay"), "essay_id", test_fraction, TRAIN_SALT)[0]
-    return V.bounded_vocabulary(V.term_stats(e, V.vectorizer_terms("essay", STOPS)), e.count(), TOPIC_VOCAB, MIN_DF, MAX_DF)
+def lemmatised_texts(spark, sf):
+    """The topic model's input (T20): every text as its lemmas, joined by blanks."""
+    texts = essay_texts(spark, sf).select("essay_id", "essay_set", "essay")
+    return FT.with_pos_lemmas(texts, "essay", ["lemmatised"]).drop("essay")
+
+
+def _vocab(texts, test_fraction: float | None):
+    """The bounded vocabulary of all texts, or of the training texts only."""
+    if test_fraction is not None:
+        texts = S.train_test(texts, "essay_id", test_fraction, TRAIN_SALT)[0]
+    return V.bounded_vocabulary(V.term_stats(texts, V.vectorizer_terms("lemmatised", STOPS)), texts.count(), TOPIC_VOCAB, MIN_DF, MAX_DF)
 
 
 def lda_fit(spark, sf, k: int = K_TOPICS, test_fraction: float | None = None):
@@ -39,10 +47,10 @@ def lda_fit(spark, sf, k: int = K_TOPICS, test_fraction: float | None = None):
     the test texts)."""
     key = (spark.sparkContext.applicationId, sf, k, test_fraction)
     if key not in _MODELS:
-        vocab = unigram_vocab(spark, sf)[2] if test_fraction is None else _train_vocab(spark, sf, test_fraction)
+        texts = lemmatised_texts(spark, sf)
+        vocab = _vocab(texts, test_fraction)
         terms = [r["term"] for r in vocab.orderBy(F.desc("tf"), F.asc("term")).collect()]
-        docs = essay_texts(spark, sf).select("essay_id", "essay_set",
-                                        V.vectorizer_terms("essay", STOPS).alias("terms"))
+        docs = texts.select("essay_id", "essay_set", V.vectorizer_terms("lemmatised", STOPS).alias("terms"))
         cols = ["essay_id", "essay_set", "features"]
         if test_fraction is not None:
             docs = docs.withColumn("part", F.when(S.in_test("essay_id", test_fraction, TRAIN_SALT), "test")
