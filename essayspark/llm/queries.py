@@ -5,10 +5,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from essayspark.llm import oracle
 from essayspark.llm.common import remainder, table
 
 QUERIES: dict = {}
-ORACLE: dict = {}
+#: The others hash with keys, learn, tokenise or parse in ways SQL does not express; tests hold them against brute force.
+ORACLE: dict = {"op5_substring_dedup": oracle.repeated_words_sql(35), "op6_quality_rules": oracle.quality_rules_sql()}
 
 
 def query(fn):
@@ -61,7 +63,8 @@ def op6_quality_rules(spark, sf):
     from essayspark.llm.quality_rules import language_references, quality_rules
 
     docs = table(spark, sf, "documents")
-    return quality_rules(docs, language_references(docs))
+    out = quality_rules(docs, language_references(docs))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def _scored(scores, at):
