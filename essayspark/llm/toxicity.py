@@ -10,7 +10,7 @@ Each voter fires or not on every document of the corpus.  Spark counts the
 patterns of votes (at most 2^voters rows) over all documents, and a generative
 label model is fitted to those counts on the driver: a latent class, with each
 voter's rate of firing in either class (its accuracy) estimated by
-expectation-maximisation, starting from the rates on labelled training rows.
+expectation-maximisation, together with the counts on labelled training rows.
 Voters whose votes remain correlated within a class are not independent
 witnesses: their evidence is divided by the sum of their residual
 correlations, and the model is fitted once more.  On training rows the label votes as well, with an
@@ -158,17 +158,22 @@ def hits(docs: DataFrame, lexicons: list[list[str]]) -> DataFrame:
     return map_batches(docs.select("doc_id", "text"), make, "doc_id long, n_words long, hits array<long>")
 
 
-def label_model(patterns: np.ndarray, counts: np.ndarray, rates: np.ndarray, prior: float, rounds: int = 50):
+def label_model(patterns: np.ndarray, counts: np.ndarray, fired: np.ndarray, size: np.ndarray, rounds: int = 50):
     """Rates of firing per class (voters x 2), class prior, weights of the voters.
 
-    ``patterns``: votes (0 or 1), one row per pattern; ``rates``: the start."""
+    ``patterns``: votes (0 or 1), one row per pattern.  ``fired`` and ``size``: on how many labelled
+    rows of either class each voter fires, and how many there are; they start the rates and stay in
+    every estimate, so the latent class keeps its meaning."""
     counts = counts.astype(float)
+    rates = np.clip((fired + 0.5) / (size + 1), 1e-6, 1 - 1e-6)
+    prior = float(np.clip(size[1] / max(size.sum(), 1), 1e-3, 0.999))
     weights = np.ones(patterns.shape[1])
     for _ in range(2):
         for _ in range(rounds):
             post = posterior(patterns, rates, prior, weights)
             n1, n0 = (counts * post).sum(), (counts * (1 - post)).sum()
-            new = np.stack([(counts * (1 - post)) @ patterns + 0.5, (counts * post) @ patterns + 0.5], 1) / (np.array([n0, n1]) + 1)
+            seen = np.stack([(counts * (1 - post)) @ patterns, (counts * post) @ patterns], 1)
+            new = (seen + fired + 0.5) / (np.array([n0, n1]) + size + 1)
             new = np.clip(new, 1e-6, 1 - 1e-6)
             prior = float(np.clip(n1 / max(counts.sum(), 1), 1e-4, 1 - 1e-4))
             if np.abs(new - rates).max() < 1e-7:
@@ -236,8 +241,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, column: str = "toxic", max_
         counts = np.array([r["count"] for r in table], float)
         h, n, y = np.array(taught["hits"].tolist()), taught["n_words"].to_numpy(), taught["y"].to_numpy()
         fire = h > 0
-        rates = np.stack([(fire[y == k].sum(0) + 0.5) / ((y == k).sum() + 1) for k in (0, 1)], 1)
-        rates, prior, weights = label_model(patterns, counts, rates, float(np.clip(y.mean(), 1e-3, 0.999)))
+        fired, size = np.stack([fire[y == k].sum(0) for k in (0, 1)], 1), np.array([(y == k).sum() for k in (0, 1)])
+        rates, prior, weights = label_model(patterns, counts, fired, size)
         p = np.clip(posterior(fire.astype(float), rates, prior, weights), 1e-9, 1 - 1e-9)
         w = fit_linear(features(n, h), with_labels(p, y))
     return lexicons, w, got

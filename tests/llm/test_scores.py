@@ -13,6 +13,7 @@ from essayspark.llm import lm, quality_model, quality_rules, toxicity
 from essayspark.llm.common import remainder, table
 
 SF01 = "/root/testdata/sf0.01"
+SF1 = "/root/testdata/sf0.1"
 
 
 def held(doc_id, mod):
@@ -103,20 +104,20 @@ def test_clean_documents_are_kept_and_junk_is_not(spark):
 
 # ---------------------------------------------------------------- 7 and 8
 def rates(spark, scores, column, at):
-    got = scores.filter(remainder("doc_id", 5) == 0).join(table(spark, SF01, "labels"), "doc_id")
+    got = scores.filter(remainder("doc_id", 5) == 0).join(table(spark, SF1, "labels"), "doc_id")
     return {r[column]: r.p for r in got.groupBy(column).agg(F.avg((F.col("score") >= at).cast("double")).alias("p")).collect()}
 
 
 def test_quality_on_held_out_rows(spark):
-    scores = quality_model.quality_scores(table(spark, SF01, "documents"), table(spark, SF01, "labels"))
+    scores = quality_model.quality_scores(table(spark, SF1, "documents"), table(spark, SF1, "labels"))
     share = rates(spark, scores, "quality", 0.3)
-    assert share[1] > 0.95 and share[0] < 0.3
+    assert share[1] > 0.95 and share[0] < 0.15
 
 
 def test_toxicity_on_held_out_rows(spark):
-    scores = toxicity.toxicity_scores(table(spark, SF01, "documents"), table(spark, SF01, "labels"))
+    scores = toxicity.toxicity_scores(table(spark, SF1, "documents"), table(spark, SF1, "labels"))
     share = rates(spark, scores, "toxic", 0.5)
-    assert share[1] > 0.6 and share[0] < 0.03
+    assert share[1] > 0.85 and share[0] < 0.01
 
 
 @pytest.mark.parametrize("operator,column", [(quality_model.quality_scores, "quality"), (toxicity.toxicity_scores, "toxic")])
