@@ -111,9 +111,11 @@ def pos_tag(word: Column) -> Column:
     for tag, words in _words_by_tag().items():
         cond = word.isin(*words)
         rule = F.when(cond, F.lit(tag)) if rule is None else rule.when(cond, F.lit(tag))
-    rule = rule.when(word.rlike("^[0-9]+$"), F.lit("O"))
+    # cheap tests first: only a token that starts with a digit sorts before "a", and a suffix
+    # is compared before the characters are counted
+    rule = rule.when((word < "a") & word.rlike("^[0-9]+$"), F.lit("O"))
     for suf, tag in SUFFIX_TAGS:
-        rule = rule.when((F.length(word) > len(suf) + 2) & word.endswith(suf), F.lit(tag))
+        rule = rule.when(word.endswith(suf) & (F.length(word) > len(suf) + 2), F.lit(tag))
     return rule.otherwise(F.lit(DEFAULT_TAG))
 
 
@@ -130,7 +132,7 @@ def lemma(word: Column, tag: Column) -> Column:
     ntag = F.when(tag.isin("N", "V"), tag).otherwise(F.lit("N"))
     rule = None
     for t, suf, rep, min_len in LEMMA_RULES:
-        cond = (ntag == t) & (F.length(word) >= min_len) & word.endswith(suf)
+        cond = word.endswith(suf) & (ntag == t) & (F.length(word) >= min_len)
         val = F.concat(word.substr(F.lit(1), F.length(word) - len(suf)), F.lit(rep))
         rule = F.when(cond, val) if rule is None else rule.when(cond, val)
     rule = rule.otherwise(word)
