@@ -52,6 +52,18 @@ def simhash_of(ones: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.packbits(2 * ones > n[:, None], axis=1, bitorder="little").view("<u8").reshape(-1)
 
 
+def window_prints(hashes: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """Fingerprints of the windows of ``size`` shingles at ``starts``; running sums cover one stretch at a time."""
+    out, k = [], 0
+    while k < len(starts):
+        end = int(np.searchsorted(starts, starts[k] + 16_384))
+        at = starts[k:end] - starts[k]
+        sums = simhash_sums(hashes[starts[k]:starts[end - 1] + size])
+        out.append(simhash_of(sums[at + size] - sums[at], np.full(len(at), size)))
+        k = end
+    return np.concatenate(out)
+
+
 class HammingBlocks:
     """All stored fingerprints within ``radius`` bits of a query, by looking up blocks of bits."""
 
@@ -145,7 +157,6 @@ class Benchmark:
             if not hit.any():
                 continue
             before = np.cumsum(hit)
-            bits = None
             for size in sizes:
                 window = min(size, len(codes))
                 mine, its = window - gram + 1, size - gram + 1
@@ -154,10 +165,7 @@ class Benchmark:
                 at = np.flatnonzero(before[mine:] - before[:len(before) - mine] >= need - 1e-9)
                 if not len(at):
                     continue
-                # running sums only over the stretch in question
-                bits = simhash_sums(h) if bits is None else bits
-                prints = simhash_of(bits[at + mine] - bits[at], np.full(len(at), mine))
-                for q, k in self.index.search(prints):
+                for q, k in self.index.search(window_prints(h, at, mine)):
                     item_id, n, own = self.items[k]
                     if n != size:
                         continue

@@ -52,9 +52,11 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     starts = ends[: len(words) - shingle + 1] - np.fromiter(map(len, words[: len(words) - shingle + 1]), np.int64) - 1
     joined = b" ".join(words)
     hashes = [xxh64_intdigest(joined[a:b], 42) for a, b in zip(starts.tolist(), (ends[shingle - 1:] - 1).tolist())]
-    bits = np.unpackbits(np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    over = 2 * bits.sum(axis=0, dtype=np.int64) > len(hashes)
-    return int(np.packbits(over, bitorder="little").view("<u8")[0])
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), 65_536):  # a bit takes a byte meanwhile: long texts go by parts
+        part = np.array(hashes[at:at + 65_536], "<u8").view(np.uint8).reshape(-1, 8)
+        ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
 def gray_rank(x: np.ndarray) -> np.ndarray:
