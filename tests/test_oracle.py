@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF001
+from essayspark.plans import catalogue
 from oracle_harness import compare, duck
 
-NAMES = sorted(entry.queries())
+NAMES = sorted(catalogue.QUERIES)
 
 
 @pytest.fixture(scope="module")
