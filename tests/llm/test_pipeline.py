@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline as P
-from essayspark.llm import bpe, decontaminate, simhash, substring, toxicity
+from essayspark.llm import bpe, decontaminate, queries, simhash, substring, toxicity
 from essayspark.llm.common import table, written
 
 SF001 = "/root/testdata/sf0.001"
@@ -19,6 +19,14 @@ def test_queries_are_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry.queries()
 
 
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_queries_match_their_sql(spark, name):
+    from oracle_harness import compare, duck
+
+    line = compare(spark, duck(SF001), name, queries.QUERIES[name], queries.ORACLE[name], SF001)
+    assert line.startswith("OK"), line
+
+
 def test_stages_and_run(spark):
     docs = first = table(spark, SF001, "documents")
     labels, bench = table(spark, SF001, "labels"), table(spark, SF001, "benchmark")
