@@ -30,7 +30,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
@@ -134,7 +136,7 @@ def document_anchors(codes: np.ndarray, length: int, gram: int):
     """(hash, first window, last window, levels) of each anchor of a document: ``levels(j)`` gives
     the hash of every window's anchor in the j-th other order, from the given first window on."""
     total = len(codes) - length + 1
-    slice_ = int(_POSITION) - length
+    slice_ = min(1 << 20, int(_POSITION) - length)
     for at in range(0, max(total, 0), slice_):
         part = codes[at:at + slice_ + length - 1]
         windows = len(part) - length + 1
@@ -154,6 +156,21 @@ def document_key() -> tuple[Column, Column]:
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), F.hash("text")
 
 
+def packed(text: str = "text") -> Column:
+    """A text as it travels through a shuffle: compressed on its own, null for null."""
+
+    @F.pandas_udf("binary")
+    def pack(texts: pd.Series) -> pd.Series:
+        squeeze = zstandard.ZstdCompressor(level=1).compress
+        return pd.Series([None if t is None else squeeze(t.encode("utf-8")) for t in texts], dtype="object")
+
+    return pack(F.col(text))
+
+
+def unpacked(body: bytes | None) -> str | None:
+    return None if body is None else zstandard.ZstdDecompressor().decompress(body).decode("utf-8")
+
+
 def _key(docs: DataFrame) -> DataFrame:
     k1, k2 = document_key()
     return docs.select("doc_id", "text", k1.alias("k1"), k2.alias("k2"))
@@ -187,7 +204,7 @@ def covered(docs: DataFrame, units: type, length: int, gram: int, solver: Callab
 
         return step
 
-    listed = map_batches(named.select("k1", "k2", "text"), listing, "h long, k1 long, k2 int, n int").repartition("h")
+    listed = map_batches(named.select("k1", "k2", "text"), listing, "h long, k1 long, k2 int, n int")
     totals = listed.groupBy("h").agg(F.sum("n").alias("total")).filter("total > 1")
     level = F.when(F.col("total") <= hot, 0).otherwise(F.ceil(F.log(8.0, F.col("total") / hot))).cast("int")
     wanted = (listed.join(totals, "h").groupBy("k1", "k2")
@@ -198,8 +215,8 @@ def covered(docs: DataFrame, units: type, length: int, gram: int, solver: Callab
 
         def step(cols):
             out = {n: [] for n in ("key", "sid", "content", "k1", "k2", "firsts")}
-            for k1, k2, text, want in zip(cols["k1"], cols["k2"], cols["text"], cols["wanted"]):
-                pieces, codes = kind.read(text)
+            for k1, k2, body, want in zip(cols["k1"], cols["k2"], cols["body"], cols["wanted"]):
+                pieces, codes = kind.read(unpacked(body))
                 levels = {w["h"]: w["level"] for w in want}
                 hashes = np.array(sorted(levels), np.int64).view(np.uint64)
                 found: dict = {}
@@ -232,7 +249,7 @@ def covered(docs: DataFrame, units: type, length: int, gram: int, solver: Callab
 
         return step
 
-    segments = map_batches(named.select("k1", "k2", "text").join(wanted, ["k1", "k2"]), cutting,
+    segments = map_batches(named.select("k1", "k2", packed().alias("body")).join(wanted, ["k1", "k2"]), cutting,
                            "key long, sid binary, content binary, k1 long, k2 int, firsts array<int>", rows=256)
 
     def solve(batches):
@@ -306,13 +323,14 @@ def union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def apply_spans(docs: DataFrame, spans: DataFrame, make: Callable, schema: str) -> DataFrame:
     """``make()(text, stretches)`` per document, as the columns of ``schema`` after doc_id."""
     names = [f.split()[0] for f in schema.split(", ")]
-    joined = _key(docs).join(spans, ["k1", "k2"], "left").select("doc_id", "text", "starts", "ends")
+    bodies = _key(docs).select("doc_id", "k1", "k2", packed().alias("body"))
+    joined = bodies.join(spans, ["k1", "k2"], "left").select("doc_id", "body", "starts", "ends")
 
     def run():
         one = make()
 
         def step(cols):
-            rows = [one(t, union(list(zip(a or (), b or ())))) for t, a, b in zip(cols["text"], cols["starts"], cols["ends"])]
+            rows = [one(unpacked(t), union(list(zip(a or (), b or ())))) for t, a, b in zip(cols["body"], cols["starts"], cols["ends"])]
             return {"doc_id": cols["doc_id"]} | {n: [r[i] for r in rows] for i, n in enumerate(names)}
 
         return step

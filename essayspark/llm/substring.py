@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from essayspark.llm.anchors import HOT, Words, apply_spans, covered, document_key, union
+from essayspark.llm.anchors import HOT, Words, apply_spans, covered, document_key, packed, union, unpacked
 from essayspark.llm.common import free_names
 
 LENGTH, GRAM = 35, 12
@@ -168,15 +168,15 @@ def replace_texts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batch
     k1, k2 = document_key()
 
     @F.pandas_udf("string")
-    def kept(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
+    def kept(bodies: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
         one = _kept()
-        return pd.Series([t if a is None else one(t, union(list(zip(a.tolist(), b.tolist()))))[2]
-                          for t, a, b in zip(texts, starts, ends)], dtype="object")
+        return pd.Series([unpacked(t) if a is None else one(unpacked(t), union(list(zip(a.tolist(), b.tolist()))))[2]
+                          for t, a, b in zip(bodies, starts, ends)], dtype="object")
 
-    names = free_names(docs, *spans.columns)
-    joined = docs.join(spans.toDF(*names), (k1 == F.col(names[0])) & (k2 == F.col(names[1])), "left")
-    starts, ends = names[2:]
-    joined = joined.withColumn("text", F.when(F.col(starts).isNull(), F.col("text")).otherwise(kept("text", starts, ends)))
+    a1, a2, starts, ends, b1, b2, body = free_names(docs, *spans.columns, "b1", "b2", "body")
+    moved = docs.withColumns({b1: k1, b2: k2, body: packed()}).drop("text")
+    joined = moved.join(spans.toDF(a1, a2, starts, ends), (F.col(a1) == F.col(b1)) & (F.col(a2) == F.col(b2)), "left")
+    joined = joined.withColumn("text", kept(body, starts, ends))
     if "n_chars" in docs.columns:
         joined = joined.withColumn("n_chars", F.length("text").cast("long"))
     return joined.select(docs.columns)
