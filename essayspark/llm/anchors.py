@@ -10,19 +10,20 @@ that share one anchor: it holds these windows and no other ones.
 
 1. Every task lists its documents' anchors by hash; only hashes that occur twice or more in
    the corpus matter.
-2. Documents with such anchors send their segments to the anchor's hash.  Equal segments of a
-   task are sent once, further ones as a row without text.
-3. In each partition whole groups of segments meet: a solver (an FM-index, or merged
+2. Texts with such anchors are cut into segments.  Equal texts are one text with a number of copies
+   before they are shuffled, and equal segments of a task are sent once, with their number.
+3. In each partition whole groups of distinct segments meet: a solver (an FM-index, or merged
    Burrows-Wheeler transforms) tells which windows occur at least twice.
-4. The covered stretches go back to the documents.
+4. The answers are joined to the places where the segments lie, and the covered stretches to the texts.
+   Both are plain joins, so a segment or text that very many documents share is split by the skewed-join handling.
 
 An anchor that very many segments share (inside a passage copied all over the corpus) is
 told apart further: its windows are grouped by a second, third ... anchor, chosen by
 other hash orders, until what differs is spread; the number of levels follows from
 the anchor's count over the corpus.
 
-A document is named by its id (nulls are one name) and the hash of its text, so repeated
-rows and ids are whole documents of their own: each copy counts as an occurrence.
+A document is named by a 128-bit hash of its text: equal texts have equal answers, whatever their ids, and
+each copy, repeated rows included, counts as an occurrence.
 """
 
 from __future__ import annotations
@@ -151,11 +152,6 @@ def document_anchors(codes: np.ndarray, length: int, gram: int):
         yield at, hashes[place[first]], first, last, level
 
 
-def document_key() -> tuple[Column, Column]:
-    """A document's name: its id (nulls are one name) and the hash of its text."""
-    return F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), F.hash("text")
-
-
 def packed(text: str = "text") -> Column:
     """A text as it travels through a shuffle: compressed on its own, null for null."""
 
@@ -171,21 +167,25 @@ def unpacked(body: bytes | None) -> str | None:
     return None if body is None else zstandard.ZstdDecompressor().decompress(body).decode("utf-8")
 
 
-def _key(docs: DataFrame) -> DataFrame:
-    k1, k2 = document_key()
-    return docs.select("doc_id", "text", k1.alias("k1"), k2.alias("k2"))
+def text_key() -> tuple[Column, Column]:
+    """128 bits that name a text."""
+    return F.xxhash64("text"), F.xxhash64(F.lit("again"), F.col("text"))
+
+
+def _named(docs: DataFrame, *more: str | Column) -> DataFrame:
+    k1, k2 = text_key()
+    return docs.select(*more, k1.alias("k1"), k2.alias("k2"))
 
 
 def covered(docs: DataFrame, units: type, length: int, gram: int, solver: Callable, batch_bytes: int,
             hot: int = HOT) -> DataFrame:
-    """k1, k2 (a document's name), starts, ends: stretches of units covered by windows that occur
+    """k1, k2 (a text's name), starts, ends: stretches of units covered by windows that occur
     at least twice.  Documents without any are left out.
 
     ``solver(segments, weights, length)`` gets the distinct segments of whole anchor groups
     (bytes) with the number of their occurrences, and returns for each a boolean array: which of its
     windows occur at least twice in all."""
     ship_package(docs.sparkSession)
-    named = _key(docs)
 
     def listing():
         kind = units()
@@ -204,80 +204,108 @@ def covered(docs: DataFrame, units: type, length: int, gram: int, solver: Callab
 
         return step
 
-    listed = map_batches(named.select("k1", "k2", "text"), listing, "h long, k1 long, k2 int, n int")
+    listed = map_batches(_named(docs, "text"), listing, "h long, k1 long, k2 long, n int")
     totals = listed.groupBy("h").agg(F.sum("n").alias("total")).filter("total > 1")
     level = F.when(F.col("total") <= hot, 0).otherwise(F.ceil(F.log(8.0, F.col("total") / hot))).cast("int")
     wanted = (listed.join(totals, "h").groupBy("k1", "k2")
-              .agg(F.collect_list(F.struct("h", level.alias("level"))).alias("wanted")))
+              .agg(F.collect_set(F.struct("h", level.alias("level"))).alias("wanted")))
+    texts = (_named(docs, packed().alias("body")).groupBy("k1", "k2")
+             .agg(F.first("body").alias("body"), F.count(F.lit(1)).alias("copies")).join(wanted, ["k1", "k2"]))
+
+    def cut(kind, body, want):
+        """(key, sid) -> content and first windows of a text's segments."""
+        pieces, codes = kind.read(unpacked(body))
+        levels = {w["h"]: w["level"] for w in want}
+        hashes = np.array(sorted(levels), np.int64).view(np.uint64)
+        found: dict = {}
+        for at, h, first, last, other in document_anchors(codes, length, gram):
+            finer: dict = {}
+            for i in np.flatnonzero(np.isin(h, hashes)).tolist():
+                name, a, b = int(h[i:i + 1].view(np.int64)[0]), int(first[i]), int(last[i])
+                runs = [(name, a, b)]
+                if levels[name]:  # windows are told apart by further anchors, which depend on their content only
+                    key = np.repeat(h[i:i + 1], b - a + 1)
+                    for j in range(1, levels[name] + 1):
+                        if j not in finer:
+                            finer[j] = other(j)
+                        key = _mix(key * _ODD[70] + finer[j][a:b + 1], 71)
+                    starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+                    ends = np.r_[starts[1:], len(key)] - 1
+                    runs = list(zip(key[starts].view(np.int64).tolist(), (a + starts).tolist(), (a + ends).tolist()))
+                for k, x, y in runs:
+                    content = kind.cut(pieces, at + x, at + y + length)
+                    found.setdefault((k, xxh3_128_digest(content)), (content, []))[1].append(at + x)
+        return found
+
+    def sending():
+        kind, sent = units(), {}  # what this task has sent, with the number found since
+
+        def later():
+            rows = [(k, s, n) for (k, s), n in sent.items() if n]
+            sent.clear()
+            return {"key": [r[0] for r in rows], "sid": [r[1] for r in rows], "content": [None] * len(rows), "weight": [r[2] for r in rows]}
 
-    def cutting():
-        kind, sent = units(), set()
+        def step(cols):
+            new: dict = {}
+            for body, copies, want in zip(cols["body"], cols["copies"], cols["wanted"]):
+                for name, (content, firsts) in cut(kind, body, want).items():
+                    n = copies * len(firsts)
+                    if name in sent:
+                        sent[name] += n
+                    else:
+                        new.setdefault(name, [content, 0])[1] += n
+            out = {"key": [k for k, _ in new], "sid": [s for _, s in new], "content": [c for c, _ in new.values()], "weight": [n for _, n in new.values()]}
+            sent.update(dict.fromkeys(new, 0))
+            if len(sent) > 300_000:
+                rest = later()
+                out = {c: out[c] + rest[c] for c in out}
+            return out
+
+        step.rest = lambda: [later()]
+        return step
+
+    def placing():
+        kind = units()
 
         def step(cols):
-            out = {n: [] for n in ("key", "sid", "content", "k1", "k2", "firsts")}
+            out = {n: [] for n in ("key", "sid", "k1", "k2", "firsts")}
             for k1, k2, body, want in zip(cols["k1"], cols["k2"], cols["body"], cols["wanted"]):
-                pieces, codes = kind.read(unpacked(body))
-                levels = {w["h"]: w["level"] for w in want}
-                hashes = np.array(sorted(levels), np.int64).view(np.uint64)
-                found: dict = {}
-                for at, h, first, last, other in document_anchors(codes, length, gram):
-                    finer: dict = {}
-                    for i in np.flatnonzero(np.isin(h, hashes)).tolist():
-                        name, a, b = int(h[i:i + 1].view(np.int64)[0]), int(first[i]), int(last[i])
-                        runs = [(name, a, b)]
-                        if levels[name]:  # windows are told apart by further anchors, which depend on their content only
-                            key = np.repeat(h[i:i + 1], b - a + 1)
-                            for j in range(1, levels[name] + 1):
-                                if j not in finer:
-                                    finer[j] = other(j)
-                                key = _mix(key * _ODD[70] + finer[j][a:b + 1], 71)
-                            starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-                            ends = np.r_[starts[1:], len(key)] - 1
-                            runs = list(zip(key[starts].view(np.int64).tolist(), (a + starts).tolist(), (a + ends).tolist()))
-                        for k, x, y in runs:
-                            content = kind.cut(pieces, at + x, at + y + length)
-                            sid = xxh3_128_digest(content)
-                            found.setdefault((k, sid), (content, []))[1].append(at + x)
-                for (k, sid), (content, firsts) in found.items():
-                    out["content"].append(None if (k, sid) in sent else content)
-                    sent.add((k, sid))
-                    for name, v in (("key", k), ("sid", sid), ("k1", k1), ("k2", k2), ("firsts", firsts)):
+                for (key, sid), (_, firsts) in cut(kind, body, want).items():
+                    for name, v in zip(out, (key, sid, k1, k2, firsts)):
                         out[name].append(v)
-            if len(sent) > 300_000:
-                sent.clear()
             return out
 
         return step
 
-    segments = map_batches(named.select("k1", "k2", packed().alias("body")).join(wanted, ["k1", "k2"]), cutting,
-                           "key long, sid binary, content binary, k1 long, k2 int, firsts array<int>", rows=256)
+    segments = map_batches(texts, sending, "key long, sid binary, content binary, weight long", rows=256)
+    places = map_batches(texts, placing, "key long, sid binary, k1 long, k2 long, firsts array<int>", rows=256)
 
     def solve(batches):
-        out = pa.schema([("k1", pa.int64()), ("k2", pa.int32()), ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32()))])
         held, size, key = [], 0, None
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if size >= batch_bytes and row[0] != key:
-                    yield from _solved(held, length, solver, units, out)
+                    yield _solved(held, length, solver, units)
                     held, size = [], 0
                 key = row[0]
                 held.append(row)
                 size += len(row[2] or b"") + 16
-        yield from _solved(held, length, solver, units, out)
+        yield _solved(held, length, solver, units)
 
-    found = (segments.repartition("key").sortWithinPartitions("key", "sid")
-             .mapInArrow(solve, "k1 long, k2 int, starts array<int>, ends array<int>"))
-    return found.groupBy("k1", "k2").agg(F.flatten(F.collect_list("starts")).alias("starts"),
-                                         F.flatten(F.collect_list("ends")).alias("ends"))
+    answers = (segments.repartition("key").sortWithinPartitions("key", "sid")
+               .mapInArrow(solve, "key long, sid binary, runs array<struct<a:int,b:int>>"))
+    stretch = F.flatten(F.transform("firsts", lambda f: F.transform("runs", lambda r: F.struct((f + r["a"]).alias("a"), (f + r["b"]).alias("b")))))
+    found = places.join(answers, ["key", "sid"]).groupBy("k1", "k2").agg(F.flatten(F.collect_list(stretch)).alias("s"))
+    return found.select("k1", "k2", F.col("s.a").alias("starts"), F.col("s.b").alias("ends"))
 
 
-def _solved(rows, length, solver, units, schema):
-    """The covered stretches of every document with a segment in ``rows`` (whole anchor groups)."""
+def _solved(rows, length, solver, units):
+    """The covered stretches inside every segment of whole anchor groups that has any."""
     weight: dict = {}
     content: dict = {}
     groups: dict = {}
-    for key, sid, text, _, _, firsts in rows:
-        weight[key, sid] = weight.get((key, sid), 0) + len(firsts)
+    for key, sid, text, n in rows:
+        weight[key, sid] = weight.get((key, sid), 0) + n
         if text is not None:
             content[key, sid] = text
         groups.setdefault(key, set()).add(sid)
@@ -288,25 +316,15 @@ def _solved(rows, length, solver, units, schema):
         answers = solver([content[x] for x in several], np.array([weight[x] for x in several]), length)
         for x, windows in zip(several, answers):
             edge = np.flatnonzero(np.diff(np.r_[0, windows.view(np.int8), 0]))
-            runs[x] = list(zip(edge[::2].tolist(), (edge[1::2] - 1 + length).tolist()))
-    spans: dict = {}
-    for key, sid, _, k1, k2, firsts in rows:
-        if len(groups[key]) > 1:
-            mine = runs[key, sid]
-        elif weight[key, sid] > 1:
-            text = content[key, sid]
-            mine = [(0, len(text) if units is Bytes else text.count(b" ") + 1)]
-        else:
-            continue
-        if mine:
-            spans.setdefault((k1, k2), []).extend((f + a, f + b) for f in firsts for a, b in mine)
-    merged = {name: union(x) for name, x in spans.items()}
-    names = list(merged)
-    for at in range(0, len(names), 2000):
-        part = names[at:at + 2000]
-        yield pa.RecordBatch.from_arrays([pa.array([n[0] for n in part], pa.int64()), pa.array([n[1] for n in part], pa.int32()),
-                                          pa.array([[a for a, _ in merged[n]] for n in part], pa.list_(pa.int32())),
-                                          pa.array([[b for _, b in merged[n]] for n in part], pa.list_(pa.int32()))], schema=schema)
+            runs[x] = union(list(zip(edge[::2].tolist(), (edge[1::2] - 1 + length).tolist())))
+    for key, sids in groups.items():
+        x = (key, next(iter(sids)))
+        if len(sids) == 1 and weight[x] > 1:
+            runs[x] = [(0, len(content[x]) if units is Bytes else content[x].count(b" ") + 1)]
+    out = [(k, s, [{"a": a, "b": b} for a, b in r]) for (k, s), r in runs.items() if r]
+    kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
+    return pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.binary()),
+                                       pa.array([o[2] for o in out], kind)], ["key", "sid", "runs"])
 
 
 def union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -323,7 +341,7 @@ def union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def apply_spans(docs: DataFrame, spans: DataFrame, make: Callable, schema: str) -> DataFrame:
     """``make()(text, stretches)`` per document, as the columns of ``schema`` after doc_id."""
     names = [f.split()[0] for f in schema.split(", ")]
-    bodies = _key(docs).select("doc_id", "k1", "k2", packed().alias("body"))
+    bodies = _named(docs, "doc_id", packed().alias("body"))
     joined = bodies.join(spans, ["k1", "k2"], "left").select("doc_id", "body", "starts", "ends")
 
     def run():

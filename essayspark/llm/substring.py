@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from essayspark.llm.anchors import HOT, Words, apply_spans, covered, document_key, packed, union, unpacked
+from essayspark.llm.anchors import HOT, Words, apply_spans, covered, packed, text_key, union, unpacked
 from essayspark.llm.common import free_names
 
 LENGTH, GRAM = 35, 12
@@ -165,7 +165,7 @@ def replace_texts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batch
     """The rows of ``docs``, all columns, with the kept words as ``text`` and ``n_chars``, if there, its new length.
     A null text stays null."""
     spans = covered(docs, Words, length, gram, repeated_windows, batch_bytes, hot)
-    k1, k2 = document_key()
+    k1, k2 = text_key()
 
     @F.pandas_udf("string")
     def kept(bodies: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
