@@ -44,8 +44,11 @@ def rows_per_block_for(dim: int) -> int:
     return max(16, min(ROWS_PER_BLOCK, BLOCK_VALUES // max(dim, 1)))
 
 
-def _n_blocks(df: DataFrame, rows_per_block: int) -> int:
-    return max(1, math.ceil(df.count() / rows_per_block))
+def _n_blocks(df: DataFrame, rows_per_block: int, group: str | None) -> int:
+    """Blocks that bring the largest group's share of a block to ``rows_per_block``: rows are copied
+    once per block of the other side, so their number follows the largest group, not the table."""
+    n = df.count() if group is None else df.groupBy(group).count().agg(F.max("count")).first()[0] or 0
+    return max(1, math.ceil(n / rows_per_block))
 
 
 def _exact_sq(q: np.ndarray, t: np.ndarray) -> np.ndarray:
@@ -135,7 +138,7 @@ def neighbours(queries: DataFrame, train: DataFrame, k: int, *, qkey: str, tkey:
     to ``vec``; rows travel sparse and each block is made dense in its task
     (with ``group``, so every block pair has one width)."""
     keys = [group] if group else []
-    bq, bt = _n_blocks(queries, rows_per_block), _n_blocks(train, rows_per_block)
+    bq, bt = _n_blocks(queries, rows_per_block, group), _n_blocks(train, rows_per_block, group)
     extra = list(sparse) if sparse else []
     qcols = keys + [qkey, vec] + extra + ([fold] if fold else [])
     tcols = keys + [tkey, vec, label] + extra + ([fold] if fold else [])
