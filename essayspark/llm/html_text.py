@@ -237,4 +237,9 @@ def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
     open_ = (parsed.filter("host is not null").select("host", "k", F.explode(F.array_distinct(F.flatten("chains"))).alias("subtree")))
     deleted = open_.join(template, ["host", "subtree"]).groupBy("k").agg(F.collect_set("subtree").alias("deleted"))
     kept = F.filter(F.arrays_zip("blocks", "chains"), lambda b: F.col("deleted").isNull() | ~F.arrays_overlap(b["chains"], F.col("deleted")))
-    return parsed.join(deleted, "k", "left").select("page_id", "url", F.array_join(F.transform(kept, lambda b: b["blocks"]), "\n").alias("text"))
+    # pages without a subtree that could go keep all blocks: their texts need not be shuffled
+    undecided = F.col("host").isNotNull() & (F.size(F.flatten("chains")) > 0)
+    settled = parsed.filter(~undecided).select("page_id", "url", F.array_join("blocks", "\n").alias("text"))
+    looked_up = parsed.filter(undecided).join(deleted, "k", "left").select(
+        "page_id", "url", F.array_join(F.transform(kept, lambda b: b["blocks"]), "\n").alias("text"))
+    return settled.unionByName(looked_up)
