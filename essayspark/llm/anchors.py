@@ -17,10 +17,11 @@ that share one anchor: it holds these windows and no other ones.
 4. The answers are joined to the places where the segments lie, and the covered stretches to the texts.
    Both are plain joins, so a segment or text that very many documents share is split by the skewed-join handling.
 
-An anchor that very many segments share (inside a passage copied all over the corpus) is
-told apart further: its windows are grouped by a second, third ... anchor, chosen by
-other hash orders, until what differs is spread; the number of levels follows from
-the anchor's count over the corpus.
+An anchor that very many segments share (inside a passage copied all over the corpus) has no group:
+the segments around the passage's ends differ in every document, and whatever inside a window decides
+where it goes may lie in the passage.  Each window of the distinct segments of such an anchor is named by a
+128-bit hash of its whole content, and Spark sums the occurrences by that name, with partial sums in
+every task, so a window that all documents share is no task's burden either.
 
 A document is named by a 128-bit hash of its text: equal texts have equal answers, whatever their ids, and
 each copy, repeated rows included, counts as an occurrence.
@@ -38,9 +39,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
-from essayspark.llm.common import map_batches, ship_package
+from essayspark.llm.common import map_batches, ship_package, written
 
-#: Segments of one anchor beyond which its windows are told apart by further anchors.
+#: Segments of one anchor beyond which its windows are counted one by one instead of in a group.
 HOT = 20_000
 #: A position takes so many bits beside the hash; longer texts are read in overlapping slices.
 POSITION_BITS = 24
@@ -61,6 +62,10 @@ class Bytes:
     def cut(units, a: int, b: int) -> bytes:
         return units[a:b]
 
+    @staticmethod
+    def windows(content: bytes, length: int) -> list[bytes]:
+        return [content[i:i + length] for i in range(len(content) - length + 1)]
+
 
 class Words:
     """Units are the words between ASCII white space, unchanged."""
@@ -93,6 +98,11 @@ class Words:
         raw, starts, ends = units
         return b" ".join(raw[starts[a]:ends[b - 1]].split())
 
+    @staticmethod
+    def windows(content: bytes, length: int) -> list[bytes]:
+        words = content.split(b" ")
+        return [b" ".join(words[i:i + length]) for i in range(len(words) - length + 1)]
+
 
 _BLANK = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
 
@@ -121,10 +131,9 @@ def gram_hashes(codes: np.ndarray, gram: int) -> np.ndarray:
         size, level = 2 * size, level + 1
 
 
-def window_anchors(hashes: np.ndarray, windows: int, width: int, order: int = 0) -> np.ndarray:
+def window_anchors(hashes: np.ndarray, windows: int, width: int) -> np.ndarray:
     """For every window the place of the smallest hash among its ``width`` runs, leftmost first."""
-    v = _mix(hashes, 60 + order) if order else hashes
-    v = (v & ~_POSITION) | np.arange(len(v), dtype=np.uint64)
+    v = (hashes & ~_POSITION) | np.arange(len(hashes), dtype=np.uint64)
     span = 1
     while 2 * span <= width:
         v = np.minimum(v[:-span], v[span:])
@@ -134,8 +143,7 @@ def window_anchors(hashes: np.ndarray, windows: int, width: int, order: int = 0)
 
 
 def document_anchors(codes: np.ndarray, length: int, gram: int):
-    """(hash, first window, last window, levels) of each anchor of a document: ``levels(j)`` gives
-    the hash of every window's anchor in the j-th other order, from the given first window on."""
+    """Start of a slice, and (hash, first window, last window) of each anchor in it."""
     total = len(codes) - length + 1
     slice_ = min(1 << 20, int(_POSITION) - length)
     for at in range(0, max(total, 0), slice_):
@@ -145,11 +153,7 @@ def document_anchors(codes: np.ndarray, length: int, gram: int):
         place = window_anchors(hashes, windows, length - gram + 1)
         first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
         last = np.r_[first[1:], windows] - 1
-
-        def level(j, hashes=hashes, windows=windows):
-            return hashes[window_anchors(hashes, windows, length - gram + 1, j)]
-
-        yield at, hashes[place[first]], first, last, level
+        yield at, hashes[place[first]], first, last
 
 
 def packed(text: str = "text") -> Column:
@@ -206,35 +210,21 @@ def covered(docs: DataFrame, units: type, length: int, gram: int, solver: Callab
 
     listed = map_batches(_named(docs, "text"), listing, "h long, k1 long, k2 long, n int")
     totals = listed.groupBy("h").agg(F.sum("n").alias("total")).filter("total > 1")
-    level = F.when(F.col("total") <= hot, 0).otherwise(F.ceil(F.log(8.0, F.col("total") / hot))).cast("int")
-    wanted = (listed.join(totals, "h").groupBy("k1", "k2")
-              .agg(F.collect_set(F.struct("h", level.alias("level"))).alias("wanted")))
+    wanted = written(listed.join(totals, "h").groupBy("k1", "k2")
+                     .agg(F.collect_set(F.struct("h", (F.col("total") > hot).alias("hot"))).alias("wanted")))
     texts = (_named(docs, packed().alias("body")).groupBy("k1", "k2")
              .agg(F.first("body").alias("body"), F.count(F.lit(1)).alias("copies")).join(wanted, ["k1", "k2"]))
 
     def cut(kind, body, want):
         """(key, sid) -> content and first windows of a text's segments."""
         pieces, codes = kind.read(unpacked(body))
-        levels = {w["h"]: w["level"] for w in want}
-        hashes = np.array(sorted(levels), np.int64).view(np.uint64)
+        hashes = np.array(sorted(w["h"] for w in want), np.int64).view(np.uint64)
         found: dict = {}
-        for at, h, first, last, other in document_anchors(codes, length, gram):
-            finer: dict = {}
+        for at, h, first, last in document_anchors(codes, length, gram):
             for i in np.flatnonzero(np.isin(h, hashes)).tolist():
-                name, a, b = int(h[i:i + 1].view(np.int64)[0]), int(first[i]), int(last[i])
-                runs = [(name, a, b)]
-                if levels[name]:  # windows are told apart by further anchors, which depend on their content only
-                    key = np.repeat(h[i:i + 1], b - a + 1)
-                    for j in range(1, levels[name] + 1):
-                        if j not in finer:
-                            finer[j] = other(j)
-                        key = _mix(key * _ODD[70] + finer[j][a:b + 1], 71)
-                    starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-                    ends = np.r_[starts[1:], len(key)] - 1
-                    runs = list(zip(key[starts].view(np.int64).tolist(), (a + starts).tolist(), (a + ends).tolist()))
-                for k, x, y in runs:
-                    content = kind.cut(pieces, at + x, at + y + length)
-                    found.setdefault((k, xxh3_128_digest(content)), (content, []))[1].append(at + x)
+                key, x, y = int(h[i:i + 1].view(np.int64)[0]), at + int(first[i]), at + int(last[i])
+                content = kind.cut(pieces, x, y + length)
+                found.setdefault((key, xxh3_128_digest(content)), (content, []))[1].append(x)
         return found
 
     def sending():
@@ -277,7 +267,10 @@ def covered(docs: DataFrame, units: type, length: int, gram: int, solver: Callab
 
         return step
 
-    segments = map_batches(texts, sending, "key long, sid binary, content binary, weight long", rows=256)
+    def segments(of_hot):
+        some = texts.withColumn("wanted", F.filter("wanted", lambda w: w["hot"] == of_hot)).filter(F.size("wanted") > 0)
+        return map_batches(some, sending, "key long, sid binary, content binary, weight long", rows=256)
+
     places = map_batches(texts, placing, "key long, sid binary, k1 long, k2 long, firsts array<int>", rows=256)
 
     def solve(batches):
@@ -292,13 +285,43 @@ def covered(docs: DataFrame, units: type, length: int, gram: int, solver: Callab
                 size += len(row[2] or b"") + 16
         yield _solved(held, length, solver, units)
 
-    answers = (segments.repartition("key").sortWithinPartitions("key", "sid")
+    answers = (segments(False).repartition("key").sortWithinPartitions("key", "sid")
                .mapInArrow(solve, "key long, sid binary, runs array<struct<a:int,b:int>>"))
+    if not wanted.filter(F.exists("wanted", lambda w: w["hot"])).isEmpty():
+        answers = answers.unionByName(_counted(segments(True), units, length))
     stretch = F.flatten(F.transform("firsts", lambda f: F.transform("runs", lambda r: F.struct((f + r["a"]).alias("a"), (f + r["b"]).alias("b")))))
     found = places.join(answers, ["key", "sid"]).groupBy("k1", "k2").agg(F.flatten(F.collect_list(stretch)).alias("s"))
     return found.select("k1", "k2", F.col("s.a").alias("starts"), F.col("s.b").alias("ends"))
 
 
+def _counted(segments: DataFrame, units: type, length: int) -> DataFrame:
+    """key, sid, runs: the covered stretches of segments, from the occurrences of each of their windows."""
+    distinct = written(segments.groupBy("key", "sid").agg(F.first("content", ignorenulls=True).alias("content"), F.sum("weight").alias("weight")))
+
+    def naming():
+        def step(cols):
+            out = {n: [] for n in ("key", "sid", "at", "w", "weight")}
+            for key, sid, content, weight in zip(cols["key"], cols["sid"], cols["content"], cols["weight"]):
+                names = [xxh3_128_digest(w) for w in units.windows(content, length)]
+                for name, v in zip(out, ([key] * len(names), [sid] * len(names), range(len(names)), names, [weight] * len(names))):
+                    out[name].extend(v)
+            return out
+
+        return step
+
+    def joining():
+        def step(cols):
+            runs = [[{"a": a, "b": b} for a, b in union([(i, i + length) for i in at])] for at in cols["at"]]
+            return {"key": cols["key"], "sid": cols["sid"], "runs": runs}
+
+        return step
+
+    windows = map_batches(distinct, naming, "key long, sid binary, at int, w binary, weight long", rows=256)
+    twice = windows.groupBy("w").agg(F.sum("weight").alias("n")).filter("n > 1").select("w")
+    found = windows.select("key", "sid", "at", "w").join(twice, "w").groupBy("key", "sid").agg(F.collect_list("at").alias("at"))
+    return map_batches(found, joining, "key long, sid binary, runs array<struct<a:int,b:int>>")
+
+
 def _solved(rows, length, solver, units):
     """The covered stretches inside every segment of whole anchor groups that has any."""
     weight: dict = {}

@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from llm_data import awkward
 
-from essayspark.llm.anchors import union
+from essayspark.llm.anchors import Bytes, Words, covered, union
 from essayspark.llm.substring import remove_repeated_words, repeated_windows, replace_texts
 from essayspark.llm.suffix_dedup import remove_repeated_bytes, repeated_strings
 
@@ -85,3 +85,27 @@ def test_solvers_agree_with_counting():
 
 def test_union():
     assert union([(5, 9), (0, 2), (2, 3), (6, 7), (20, 21)]) == [(0, 3), (5, 9), (20, 21)]
+
+
+@pytest.mark.parametrize("units,length,gram", [(Bytes, 60, 20), (Words, 12, 4)])
+def test_no_group_holds_a_segment_of_every_document_with_a_passage(frame, units, length, gram):
+    import random
+
+    rng = random.Random(11)
+    some = lambda n: " ".join(f"w{rng.randint(0, 10**6)}" for _ in range(n))
+    passage, many, hot = some(40), 120, 10
+    texts = [(i, f"{some(6)} {passage} {some(20)}") for i in range(many)]
+
+    def counting(segments, weights, length):  # a task's groups come one by one, as batch_bytes is 1
+        if len(segments) > hot:
+            raise AssertionError(f"{len(segments)} segments in one group")
+        return (repeated_strings if units is Bytes else repeated_windows)(segments, weights, length)
+
+    spans = {(r.k1, r.k2): union(list(zip(r.starts, r.ends))) for r in covered(frame(texts), units, length, gram, counting, 1, hot).collect()}
+    assert len(spans) == many
+    got = sorted(s for s in spans.values())
+    want = []
+    for _, flag in brute(texts, list if units is Bytes else bytes.split, length):
+        edge = [k for k in range(len(flag) + 1) if (k < len(flag) and flag[k]) != (k > 0 and flag[k - 1])]
+        want.append(list(zip(edge[::2], edge[1::2])))
+    assert got == sorted(want)
