@@ -31,7 +31,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from essayspark.llm.common import map_batches, ship_package, written
+from essayspark.llm.anchors import text_key
+from essayspark.llm.common import free_names, map_batches, ship_package, written
 from essayspark.llm.components import components
 
 SHINGLE, RADIUS = 4, 4
@@ -68,16 +69,17 @@ def gray_rank(x: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fp (long with the fingerprint's bits)."""
+    """doc_id, fp (long with the fingerprint's bits), k1, k2 (the text's name)."""
 
     def make():
         def step(cols):
             fp = np.array([fingerprint(t, shingle) for t in cols["text"]], np.uint64)
-            return {"doc_id": cols["doc_id"], "fp": fp.view(np.int64).tolist()}
+            return {"doc_id": cols["doc_id"], "fp": fp.view(np.int64).tolist(), "k1": cols["k1"], "k2": cols["k2"]}
 
         return step
 
-    return map_batches(docs.select("doc_id", "text"), make, "doc_id long, fp long")
+    k1, k2 = text_key()
+    return map_batches(docs.select("doc_id", "text", k1.alias("k1"), k2.alias("k2")), make, "doc_id long, fp long, k1 long, k2 long")
 
 
 class GrayIndex:
@@ -236,22 +238,32 @@ def _bucket_links(keyed: DataFrame, radius: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, hot: int = HOT) -> DataFrame:
     """doc_id, fp (long), component_id: the smallest id of all documents reachable over links."""
-    fps = written(fingerprints(docs, shingle))
-    entries = written(fps.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    roots = components(links(entries.select("fp"), radius, hot))
-    rooted = entries.join(roots.withColumnRenamed("v", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    fps = written(fingerprints(docs, shingle).select("doc_id", "fp"))
+    rooted = _rooted(fps, radius, hot)
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.select("fp", "root").join(least, "root").select("fp", "component_id")
     return fps.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` (all columns) that stand for their group: those whose id is the
-    component's.  Of repeated rows of such an id one stays, whichever text sorts first."""
-    found = written(near_duplicates(docs, shingle, radius))
-    chosen = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    counts = written(chosen.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")))
-    same = docs["doc_id"].eqNullSafe(counts["doc_id"])
-    single = docs.join(counts.filter("n = 1"), same, "left_semi")
-    repeated = docs.join(counts.filter("n > 1"), same, "left_semi")
-    return single.unionByName(repeated.dropDuplicates(["doc_id"]))
+def _rooted(fps: DataFrame, radius: int, hot: int) -> DataFrame:
+    """fp, least (its smallest id), root (the fingerprint that names its group)."""
+    entries = written(fps.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    roots = components(links(entries.select("fp"), radius, hot))
+    return entries.join(roots.withColumnRenamed("v", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, hot: int = HOT) -> DataFrame:
+    """One row of ``docs`` (all columns) for each group: the one with the smallest id (null ids last), of
+    several texts under that id the one whose hash is smallest.  Rows that repeat both are the same document."""
+    fps = written(fingerprints(docs, shingle))
+    rows = fps.groupBy("doc_id", "fp", "k1", "k2").agg(F.count(F.lit(1)).alias("n"))
+    # a row is named by its id and its text's hash, which also decide its group
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k1", "k2", "n")).alias("first")
+    chosen = written(rows.join(_rooted(fps, radius, hot).select("fp", "root"), "fp").groupBy("root").agg(first).select("first.*"))
+    k1, k2 = text_key()
+    names = free_names(docs, "k1", "k2")
+    named = docs.withColumns(dict(zip(names, (k1, k2))))
+    same = named["doc_id"].eqNullSafe(chosen["doc_id"]) & (named[names[0]] == chosen["k1"]) & (named[names[1]] == chosen["k2"])
+    single = named.join(chosen.filter("n = 1"), same, "left_semi")
+    repeated = named.join(chosen.filter("n > 1"), same, "left_semi").dropDuplicates(["doc_id", *names])
+    return single.unionByName(repeated).select(docs.columns)

@@ -61,6 +61,16 @@ def test_one_row_of_each_group_stays(frame):
     assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted(groups, key=str)
 
 
+def test_every_group_keeps_one_row_whatever_its_ids(frame):
+    rng = random.Random(6)
+    a, b, c, d, e, f = (" ".join(f"v{rng.randint(0, 10**6)}" for _ in range(40)) for _ in range(6))
+    texts = [(None, a), (None, b), (None, b), (None, c),  # unrelated texts without ids
+             (7, d), (7, e), (9, e), (7, e),  # one id stands for two groups
+             (3, f), (7, f)]  # and is no representative in a third
+    kept = sorted(((r.doc_id, r.text) for r in keep_one(frame(texts)).collect()), key=str)
+    assert kept == sorted([(None, a), (None, b), (None, c), (7, d), (7, e), (3, f)], key=str)
+
+
 def test_empty_table(frame):
     assert near_duplicates(frame([])).collect() == []
 
