@@ -4,23 +4,23 @@ Every document's histogram of character classes, and of the common words of
 its language, is compared with the language's reference by Jensen-Shannon
 distance (square root of the divergence to base 2, so 0 to 1).  The
 references are counted over all documents of the language: one aggregation
-of class counts and one of word counts with per-task pre-aggregation; only
-the ``common`` most frequent words of each language are brought to the
-driver (a fixed number per language, and no more than ``languages`` of the
-largest languages).
+of class counts and one of word counts with per-task pre-aggregation.  A
+reference is the class counts and the ``common`` most frequent words; those of all
+languages, however many, are a written table that documents join by language.
 
 Minimum-length guards: a histogram of few characters or words is far from
 any reference by chance, so the class distance only counts from
 ``min_chars`` non-blank characters and the word distance from ``min_words``.
 
 Input: ``doc_id``, ``text``, ``lang``; other columns are ignored.  A null text has no
-words (and fails the base rule).  A null or unknown language is compared with
-every reference and the nearest counts.  Repeated rows give repeated results; an
+words (and fails the base rule).  A null language is compared with
+every reference, ``REFERENCE_BLOCK`` of them in a pass, and the nearest counts.  Repeated rows give repeated results; an
 empty table gives an empty table.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections import Counter
 
 import numpy as np
@@ -43,7 +43,8 @@ OTHER_ASCII, OTHER_LETTER, N_CLASSES = len(CLASSES), len(CLASSES) + 1, len(CLASS
 SYMBOLS = CLASSES["symbol"]
 
 COMMON_WORDS = 60
-LANGUAGES = 200
+#: References that a task holds at once for documents without a language.
+REFERENCE_BLOCK = 2_000
 MIN_CHARS, MIN_WORDS = 200, 30
 MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.32, 0.48
 
@@ -112,8 +113,8 @@ def base_counts(text: str | None, raw: bytes, words: list[bytes]) -> tuple[int,
             len(lines) - len(set(lines)), repeated_words(ids) if len(seen) < len(words) else 0)
 
 
-def language_references(docs: DataFrame, common: int = COMMON_WORDS, languages: int = LANGUAGES) -> dict[str, dict]:
-    """lang -> {"classes": counts, "words": {word: count}, "rest": count of other words}."""
+def reference_table(docs: DataFrame, common: int = COMMON_WORDS) -> DataFrame:
+    """lang, ref: of every language the pickled {"classes": counts, "words": {word: count}, "rest": count of other words}."""
 
     def count():
         held: dict = {}
@@ -151,45 +152,99 @@ def language_references(docs: DataFrame, common: int = COMMON_WORDS, languages:
     summed = counted.groupBy("lang", "word").agg(F.sum("n").alias("n"), *each)
     # per language: class counts, all words, and the most frequent words (ties by the word)
     summed = written(summed)
-    totals = (summed.groupBy("lang").agg(F.sum("n").alias("n"), *[F.sum(f"c{k}").alias(f"c{k}") for k in range(N_CLASSES)])
-              .orderBy(F.desc("n"), "lang").limit(languages).collect())
+    totals = summed.groupBy("lang").agg(F.sum("n").alias("n"), F.array(*[F.sum(f"c{k}") for k in range(N_CLASSES)]).alias("classes"))
     by = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
     top = (summed.filter("word is not null").select("lang", "word", "n")
-           .withColumn("k", F.row_number().over(by)).filter(F.col("k") <= common))
-    words: dict[str, dict] = {}
-    for r in top.filter(F.col("lang").isin([r["lang"] for r in totals])).collect():
-        words.setdefault(r["lang"], {})[bytes(r["word"])] = r["n"]
-    return {r["lang"]: {"classes": [r[f"c{k}"] for k in range(N_CLASSES)], "words": words.get(r["lang"], {}),
-                        "rest": r["n"] - sum(words.get(r["lang"], {}).values())} for r in totals}
+           .withColumn("k", F.row_number().over(by)).filter(F.col("k") <= common)
+           .groupBy("lang").agg(F.collect_list("word").alias("words"), F.collect_list("n").alias("counts")))
+
+    def pack():
+        def step(cols):
+            refs = []
+            for n, classes, words, counts in zip(cols["n"], cols["classes"], cols["words"], cols["counts"]):
+                held = dict(zip(map(bytes, words or ()), counts or ()))
+                refs.append(pickle.dumps({"classes": classes, "words": held, "rest": n - sum(held.values())}))
+            return {"lang": cols["lang"], "ref": refs}
+
+        return step
+
+    return written(map_batches(totals.join(top, "lang", "left").select("lang", "n", "classes", "words", "counts"), pack, "lang string, ref binary"))
+
+
+def language_references(docs: DataFrame, common: int = COMMON_WORDS) -> dict[str, dict]:
+    """The references of all languages, on the driver."""
+    return {r["lang"]: pickle.loads(r["ref"]) for r in reference_table(docs, common).collect()}
+
+
+def _ready(r: dict):
+    order = sorted(r["words"])
+    return np.array(r["classes"], float), {w: i for i, w in enumerate(order)}, np.array([r["words"][w] for w in order] + [r["rest"]], float)
 
 
-def quality_rules(docs: DataFrame, references: dict[str, dict], min_chars: int = MIN_CHARS, min_words: int = MIN_WORDS,
-                  max_class: float = MAX_CLASS_DISTANCE, max_word: float = MAX_WORD_DISTANCE) -> DataFrame:
-    """doc_id, the base counts, base_failed, class_distance, word_distance, kept."""
+def _distances(low: list[bytes], classes: np.ndarray, ref) -> tuple[float, float]:
+    place, rest = ref[1], len(ref[1])
+    hist = np.bincount([place.get(w, rest) for w in low], minlength=rest + 1) if low else np.zeros(rest + 1)
+    return distance(classes, ref[0]), distance(hist, ref[2])
+
+
+def _nearer(docs: DataFrame, references: dict[str, dict]) -> DataFrame:
+    """doc_id, text, near: the smaller of the distances so far (``near``) and those to the nearest of some references."""
 
     def make():
-        refs = {}
-        for lang, r in references.items():
-            order = sorted(r["words"])
-            place = {w: i for i, w in enumerate(order)}
-            refs[lang] = (np.array(r["classes"], float), place, np.array([r["words"][w] for w in order] + [r["rest"]], float))
+        refs = [_ready(r) for r in references.values()]
+
+        def step(cols):
+            near = []
+            for text, best in zip(cols["text"], cols["near"]):
+                raw = (text or "").encode("utf-8")
+                classes, low = class_counts(raw), raw.lower().split()
+                near.append(min(([best] if best else []) + [_distances(low, classes, r) for r in refs], key=sum, default=None))
+            return {"doc_id": cols["doc_id"], "text": cols["text"], "near": near}
 
-        def measure(words, classes, ref):
-            place, rest = ref[1], len(ref[1])
-            hist = np.bincount([place.get(w, rest) for w in words], minlength=rest + 1) if words else np.zeros(rest + 1)
-            return distance(classes, ref[0]), distance(hist, ref[2])
+        return step
+
+    return map_batches(docs, make, "doc_id long, text string, near array<double>")
+
+
+def quality_rules(docs: DataFrame, references: dict[str, dict] | DataFrame, min_chars: int = MIN_CHARS, min_words: int = MIN_WORDS,
+                  max_class: float = MAX_CLASS_DISTANCE, max_word: float = MAX_WORD_DISTANCE, block: int = REFERENCE_BLOCK) -> DataFrame:
+    """doc_id, the base counts, base_failed, class_distance, word_distance, kept.  ``references``: the table of
+    ``reference_table``, or a dict, whose unknown languages are treated as null ones."""
+    spark = docs.sparkSession
+    if isinstance(references, dict):
+        rows = [(lang, bytearray(pickle.dumps(r))) for lang, r in references.items()]
+        references = spark.createDataFrame(rows, "lang string, ref binary")
+        known = F.col("lang").isin([r[0] for r in rows])
+        docs = docs.withColumn("lang", F.when(known, F.col("lang")))
+    docs = docs.select("doc_id", "text", "lang")
+    none = F.lit(None)
+    own = docs.filter("lang is not null").join(references, "lang", "left").select("doc_id", "text", "lang", "ref", none.cast("array<double>").alias("near"))
+    lost = docs.filter("lang is null").select("doc_id", "text", none.cast("array<double>").alias("near"))
+    rounds = max(1, -(-references.count() // block))
+    for k in range(rounds):
+        some = references.filter(F.pmod(F.xxhash64("lang"), F.lit(rounds)) == k)
+        lost = _nearer(lost, {r["lang"]: pickle.loads(r["ref"]) for r in some.orderBy("lang").collect()})
+    rows = own.unionByName(lost.select("doc_id", "text", none.cast("string").alias("lang"), none.cast("binary").alias("ref"), "near"))
+
+    def make():
+        refs: dict = {}  # languages this task has met
 
         def step(cols):
             out = {n: [] for n in ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                                    "base_failed", "class_distance", "word_distance", "kept")}
-            for doc_id, text, lang in zip(cols["doc_id"], cols["text"], cols["lang"]):
+            for doc_id, text, lang, ref, near in zip(cols["doc_id"], cols["text"], cols["lang"], cols["ref"], cols["near"]):
                 raw = (text or "").encode("utf-8")
                 words = raw.split()
                 base = base_counts(text, raw, words)
                 classes = class_counts(raw)
-                low = raw.lower().split()
-                near = [measure(low, classes, refs[x]) for x in ([lang] if lang in refs else refs)]
-                by_class, by_word = min(near, key=sum) if near else (0.0, 0.0)
+                if ref is not None:
+                    if lang not in refs:
+                        if len(refs) >= block:
+                            refs.clear()
+                        refs[lang] = _ready(pickle.loads(ref))
+                    near = _distances(raw.lower().split(), classes, refs[lang])
+                # a language without a reference has null texts only, at distance 1 from all
+                by_class, by_word = near or ((1.0, 1.0) if lang is not None else (0.0, 0.0))
                 failed = base[0] < 10 or 100 * base[4] > 20 * base[0]
                 far = (by_class > max_class and classes.sum() - classes[3] >= min_chars) or (by_word > max_word and base[0] >= min_words)
                 for name, v in zip(out, (doc_id, *base, failed, by_class, by_word, not (failed or far))):
@@ -198,6 +253,6 @@ def quality_rules(docs: DataFrame, references: dict[str, dict], min_chars: int =
 
         return step
 
-    return map_batches(docs.select("doc_id", "text", "lang"), make,
+    return map_batches(rows, make,
                        "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
                        "base_failed boolean, class_distance double, word_distance double, kept boolean")

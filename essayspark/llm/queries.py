@@ -60,10 +60,10 @@ def op5_substring_dedup(spark, sf):
 
 @query
 def op6_quality_rules(spark, sf):
-    from essayspark.llm.quality_rules import language_references, quality_rules
+    from essayspark.llm.quality_rules import quality_rules, reference_table
 
     docs = table(spark, sf, "documents")
-    out = quality_rules(docs, language_references(docs))
+    out = quality_rules(docs, reference_table(docs))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 

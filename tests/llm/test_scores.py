@@ -89,6 +89,25 @@ def test_references_count_everything(frame):
     assert sum(refs["en"]["classes"]) == len("a a b\nC1") + len("A ccc")
 
 
+def test_every_language_has_its_reference(spark):
+    def text(k):
+        return " ".join(f"{chr(97 + k % 26)}{chr(97 + k // 26)}{j % 12}x" if j % 3 else f"r{k}n{j}" for j in range(90))
+
+    small, large = [f"l{k}" for k in range(230)], text(300)
+    rows = [(k, text(k), lang) for k, lang in enumerate(small)] + [(1000 + i, large, "big") for i in range(3)] + [(2000, text(229), None), (2001, None, "none")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    refs = quality_rules.language_references(docs)
+    assert set(refs) == {*small, "big"}
+    by_id = {}
+    for block in (2_000, 7):  # in one block, or a block after the other
+        got = {r.doc_id: r for r in quality_rules.quality_rules(docs, quality_rules.reference_table(docs), block=block).collect()}
+        assert len(got) == len(rows) and all(got[i].word_distance < 0.01 for i, t, _ in rows if t) and not got[2001].kept
+        assert not by_id or by_id == got
+        by_id = got
+    same = {r.doc_id: r for r in quality_rules.quality_rules(docs, refs).collect()}
+    assert {i: r.kept for i, r in same.items()} == {i: r.kept for i, r in by_id.items()}
+
+
 def test_distance():
     p = np.array([1.0, 1, 0])
     assert quality_rules.distance(p, 5 * p) == pytest.approx(0) and quality_rules.distance(p, np.array([0, 0, 2.0])) == pytest.approx(1)
