@@ -2,8 +2,8 @@
 
 A page is parsed into elements (implied ends, unclosed and stray tags as browsers treat
 them).  Every element's subtree is hashed from its tag and its content; Spark counts on how many pages of
-a host each subtree occurs.  Subtrees that recur on many pages of their host are template: they are
-deleted.  Elements that never hold main text (menus, headers, footers, sidebars, notices,
+a host each subtree occurs.  Subtrees that recur on ``min_pages`` different pages of their host, whatever the
+host's size, are template: they are deleted.  Elements that never hold main text (menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles, reader comments) are left out by their tag, role or class; they still
 count as subtrees.
 
@@ -15,8 +15,8 @@ Blocks are the text between block-level tags, character references decoded, whit
 space and trimmed; the text is the blocks in page order, joined by one line break.
 
 Input: ``page_id``, ``url``, ``html``; other columns are ignored.  Null html is the empty page, its text
-"".  A page without host (null or odd url) has no template.  Repeated rows give repeated results; they
-count once each as pages.  An empty table gives an empty table.
+"".  A page without host (null or odd url) has no template.  Repeated rows give repeated results; pages
+with the same subtrees, copies under other urls included, count as one page.  An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from xxhash import xxh3_64_intdigest
 
 from essayspark.llm.common import map_batches, written
 
-MIN_PAGES, MIN_SHARE = 5, 0.01
+MIN_PAGES = 5
 
 # ---- fixed values: HTML element classes -------------------------------------------
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -212,9 +212,9 @@ def host(url: str | None) -> str | None:
     return m.group(1).lower() if m else None
 
 
-def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """page_id, url, text.  A subtree is template if it occurs on at least ``min_pages`` pages of its
-    host and on at least ``min_share`` of them."""
+def main_text(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """page_id, url, text.  A subtree is template if it occurs on at least ``min_pages`` different pages of its
+    host."""
 
     def make():
         def step(cols):
@@ -229,10 +229,10 @@ def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
     named = pages.select("page_id", "url", "html", F.xxhash64("page_id", "url", "html").alias("k"))
     parsed = written(map_batches(named, make, "page_id long, url string, k long, host string, blocks array<string>, "
                                               "chains array<array<long>>, subtrees array<long>", rows=128))
-    sizes = parsed.filter("host is not null").groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    held = parsed.filter("host is not null").select("host", "k", F.explode("subtrees").alias("subtree"))
-    counts = held.groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages)
-    template = counts.join(sizes, "host").filter(F.col("n") >= min_share * F.col("pages")).select("host", "subtree")
+    # copies of a page are no recurrence
+    pages_of = parsed.filter("host is not null").groupBy("host", F.xxhash64("subtrees").alias("page")).agg(F.first("subtrees").alias("subtrees"))
+    held = pages_of.select("host", F.explode("subtrees").alias("subtree"))
+    template = held.groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages).select("host", "subtree")
     # only subtrees that hold a block of main text decide anything on a page
     open_ = (parsed.filter("host is not null").select("host", "k", F.explode(F.array_distinct(F.flatten("chains"))).alias("subtree")))
     deleted = open_.join(template, ["host", "subtree"]).groupBy("k").agg(F.collect_set("subtree").alias("deleted"))

@@ -45,6 +45,15 @@ def test_template_goes_by_recurrence(spark):
     assert main_text(df.limit(0)).collect() == []
 
 
+def test_copies_are_no_recurrence_and_large_hosts_have_templates(spark):
+    copied = page("<div><p>a copied text</p><p>and its end</p></div>")
+    notice = "<div><p>of one section only</p></div>"
+    rows = [(i, f"http://copies.org/{i % 4}", copied) for i in range(6)]
+    rows += [(100 + i, f"http://large.org/{i}", page(f"<div><p>text {i}</p></div>" + (notice if i < 5 else ""))) for i in range(600)]
+    got = {r.page_id: r.text for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: "a copied text\nand its end" for i in range(6)} | {100 + i: f"text {i}" for i in range(600)}
+
+
 def test_host():
     assert host("https://User@Www.Example.com:80/a?b#c") == "www.example.com"
     assert host(None) is host("") is host("no url") is None
