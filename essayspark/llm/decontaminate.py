@@ -13,20 +13,20 @@ value and its neighbours up to so many bits finds all of them.  Candidates are
 verified with exact shingles.  Only windows that can reach the similarity are
 fingerprinted: so many of their shingles must occur in the benchmark at all.
 
-Benchmark items are a query set: they go to all tasks in blocks of about ``block_items``, each
-block in a pass of its own over the documents, so what is broadcast is bounded
-whatever the benchmark's size.
+Benchmark items are a query set: they go to all tasks in blocks of about ``block_items`` and at most about
+``BLOCK_BYTES`` of text, dealt by a hash of id and text, each block in a pass of its own over the documents, so what
+is broadcast is bounded whatever the benchmark's size and ids.
 
 Input: documents with ``doc_id``, ``text`` and a benchmark with ``item_id``, ``text``; other columns
 are ignored.  Null and empty texts contaminate nothing and are not contaminated.  Repeated
-documents are reported as often as they occur, repeated item ids with their best match.
+documents are reported as often as they occur, repeated item ids, null ones included, with their best match.
 """
 
 from __future__ import annotations
 
 import itertools
 from collections import Counter
-from functools import reduce
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -39,6 +39,7 @@ from essayspark.llm.common import map_batches, ship_package
 SHINGLE, SIMILARITY = 5, 0.8
 RADIUS, BLOCKS = 22, 6
 BLOCK_ITEMS = 20_000
+BLOCK_BYTES = 1 << 25
 
 
 def simhash_sums(hashes: np.ndarray) -> np.ndarray:
@@ -177,12 +178,13 @@ class Benchmark:
         return best
 
 
-def _blocks(benchmark: DataFrame, block_items: int) -> list[list[tuple[int, str]]]:
+def _blocks(benchmark: DataFrame, block_items: int) -> Iterator[list[tuple[int | None, str]]]:
     """The items in blocks of about ``block_items``, one collected after the other."""
-    bench = benchmark.select("item_id", "text").filter("text is not null and item_id is not null")
-    rounds = max(1, -(-bench.count() // block_items))
+    bench = benchmark.select("item_id", "text").filter("text is not null").distinct()
+    size = bench.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    rounds = max(1, -(-size["n"] // block_items), -(-size["bytes"] // BLOCK_BYTES))
     for k in range(rounds):
-        block = bench.filter(F.pmod(F.xxhash64("item_id"), F.lit(rounds)) == k)
+        block = bench.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(rounds)) == k)
         yield [(r["item_id"], r["text"]) for r in block.orderBy("item_id", "text").collect()]
 
 
@@ -190,7 +192,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
                  blocks: int = BLOCKS, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """doc_id, item_id, similarity, first_word, n_words: for each contaminated document and item
     the first window with the highest similarity."""
-    return reduce(DataFrame.unionByName, [_search(docs, items, similarity, radius, blocks) for items in _blocks(benchmark, block_items)])
+    # what earlier blocks found goes along with the document
+    docs = docs.select("doc_id", "text", F.lit(None).cast(_FOUND).alias("found"))
+    for items in _blocks(benchmark, block_items):
+        docs = _search(docs, items, similarity, radius, blocks)
+    return docs.select("doc_id", F.inline("found"))
+
+
+_FOUND = "array<struct<item_id:long,similarity:double,first_word:long,n_words:long>>"
 
 
 def _search(docs: DataFrame, items: list, similarity: float, radius: int, blocks: int) -> DataFrame:
@@ -198,17 +207,19 @@ def _search(docs: DataFrame, items: list, similarity: float, radius: int, blocks
         index = Benchmark(items, similarity, radius, blocks)
 
         def step(cols):
-            out = {n: [] for n in ("doc_id", "item_id", "similarity", "first_word", "n_words")}
-            for doc_id, text in zip(cols["doc_id"], cols["text"]):
-                for item_id, (s, a, n) in sorted(index.search(text).items()):
-                    for name, v in zip(out, (doc_id, item_id, s, a, n)):
-                        out[name].append(v)
-            return out
+            found = []
+            for text, before in zip(cols["text"], cols["found"]):
+                best = {f["item_id"]: (f["similarity"], f["first_word"], f["n_words"]) for f in before or ()}
+                for item_id, (s, a, n) in index.search(text).items():
+                    if item_id not in best or (s, -a, -n) > (best[item_id][0], -best[item_id][1], -best[item_id][2]):
+                        best[item_id] = (s, a, n)
+                order = sorted(best, key=lambda i: (i is None, i or 0))
+                found.append([dict(zip(("item_id", "similarity", "first_word", "n_words"), (i, *best[i]))) for i in order] or None)
+            return {"doc_id": cols["doc_id"], "text": cols["text"], "found": found}
 
         return step
 
-    return map_batches(docs.select("doc_id", "text"), make,
-                       "doc_id long, item_id long, similarity double, first_word long, n_words long")
+    return map_batches(docs, make, f"doc_id long, text string, found {_FOUND}")
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS,

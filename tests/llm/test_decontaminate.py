@@ -3,7 +3,7 @@
 import random
 from collections import Counter
 
-from essayspark.llm.decontaminate import HammingBlocks, contaminated, keep_clean, shingles, weighted_similarity
+from essayspark.llm.decontaminate import HammingBlocks, _blocks, contaminated, keep_clean, shingles, weighted_similarity
 
 RNG = random.Random(7)
 WORDS = [f"w{i}" for i in range(400)]
@@ -59,6 +59,18 @@ def test_contaminated(frame, spark):
     assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(texts) - bad
 
 
+def test_items_without_id_and_of_one_id(frame, spark):
+    some = lambda k: " ".join(f"x{k}y{j}" for j in range(12))
+    items = [(None, some(0)), (None, some(1)), *[(5, some(k)) for k in range(2, 12)], (5, some(2))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    texts = [(k, f"before {some(k)} after") for k in range(12)] + [(20, "clean " * 20), (21, f"{some(2)} {some(0)} {some(7)}")]
+    want = sorted([(k, None if k < 2 else 5, 1.0, 1, 12) for k in range(12)] + [(21, None, 1.0, 12, 12), (21, 5, 1.0, 0, 12)], key=str)
+    for block_items in (20_000, 3):
+        assert sorted((tuple(r) for r in contaminated(frame(texts), bench, block_items=block_items).collect()), key=str) == want
+        assert [r.doc_id for r in keep_clean(frame(texts), bench, block_items=block_items).collect()] == [20]
+    assert max(map(len, _blocks(bench, 3))) < 10  # of 12 different items, ten have one id
+
+
 def test_empty_tables(frame, spark):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert contaminated(frame([(1, "a b c")]), bench).collect() == []
