@@ -74,3 +74,12 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w,
        NOT (failed OR (coalesce(by_class, 0) > {max_class} AND length(text) - c3 >= {min_chars}) OR (coalesce(by_word, 0) > {max_word} AND len(w) >= {min_words})) AS kept
 FROM base LEFT JOIN near USING (rid)
 """
+
+
+def exact_duplicates_sql() -> str:
+    """Operator 12: groups by the text itself."""
+    return """
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+       row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
+"""

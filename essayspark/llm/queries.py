@@ -10,7 +10,8 @@ from essayspark.llm.common import remainder, table
 
 QUERIES: dict = {}
 #: The others hash with keys, learn, tokenise or parse in ways SQL does not express; tests hold them against brute force.
-ORACLE: dict = {"op5_substring_dedup": oracle.repeated_words_sql(35), "op6_quality_rules": oracle.quality_rules_sql()}
+ORACLE: dict = {"op5_substring_dedup": oracle.repeated_words_sql(35), "op6_quality_rules": oracle.quality_rules_sql(),
+                "op12_exact_dedup": oracle.exact_duplicates_sql()}
 
 
 def query(fn):
@@ -100,3 +101,10 @@ def op10_main_text(spark, sf):
     from essayspark.llm.html_text import main_text
 
     return main_text(table(spark, sf, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query
+def op12_exact_dedup(spark, sf):
+    from essayspark.llm.exact_dedup import exact_duplicates
+
+    return exact_duplicates(table(spark, sf, "documents"), carry={"text_sha256": F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)})
