@@ -83,3 +83,49 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
+
+
+def source_divergence_sql(min_docs: int = 30, smooth: int = 5, scale: int = 1_000_000_000, top: int = 50) -> str:
+    """Operator 13: shares of all kept terms in all groups, summed pair by pair."""
+    share = f"1 + (CAST({scale} AS HUGEINT) * ({{n}} + {smooth})) // ({{total}} + {smooth} * v)"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+tok AS (SELECT rid, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM tok GROUP BY lang, term HAVING count(DISTINCT rid) >= {min_docs}),
+cnt AS (SELECT lang, source, term, count(*) AS n FROM tok JOIN kept USING (lang, term) GROUP BY lang, source, term),
+vl AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+g AS (SELECT lang, source, coalesce((SELECT sum(n) FROM cnt c WHERE c.lang = x.lang AND c.source = x.source), 0) AS total FROM (SELECT DISTINCT lang, source FROM d) x),
+p AS (SELECT g.lang, g.source, kept.term, coalesce(cnt.n, 0) AS n, {share.format(n="coalesce(cnt.n, 0)", total="g.total")} AS p, {share.format(n="kept.n", total="vl.total")} AS q
+      FROM g JOIN vl USING (lang) JOIN kept USING (lang) LEFT JOIN cnt ON cnt.lang = g.lang AND cnt.source = g.source AND cnt.term = kept.term),
+diff AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(diff.value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN diff ON diff.lang = a.lang AND diff.source = a.source AND diff.item = b.source),
+u AS (SELECT lang, source, 'pair' AS part, item, value FROM pairs
+      UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM u) WHERE part = 'pair' OR rank <= {top}
+"""
+
+
+def collocations_sql(min_count: int = 10, top: int = 2000, percent: int = 50, scale: int = 1_000_000) -> str:
+    """Operator 11 for phrases of 2 to 3 words: n-grams as strings."""
+    return f"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS text FROM documents),
+piece AS (SELECT lang, regexp_extract_all(unnest(string_split_regex(text, '[.,;:!?\\x0A-\\x0D]')), '[^\\x20\\x09]+') AS w FROM d),
+tot AS (SELECT lang, sum(len(w)) AS n FROM piece GROUP BY lang),
+gram AS (SELECT lang, 1 AS k, unnest(w) AS phrase FROM piece
+         UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM piece WHERE len(w) > 1
+         UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM piece WHERE len(w) > 2),
+f AS MATERIALIZED (SELECT lang, phrase, k, string_split(phrase, ' ') AS w, count(*) AS f FROM gram GROUP BY lang, phrase, k HAVING count(*) >= {min_count}),
+part AS MATERIALIZED (SELECT lang || chr(10) || phrase AS part, f FROM f),
+cuts AS MATERIALIZED (SELECT lang, phrase, f AS a, k AS cut, lang || chr(10) || array_to_string(w[1:k], ' ') AS pl, lang || chr(10) || array_to_string(w[k + 1:], ' ') AS pr
+                      FROM (SELECT lang, phrase, f, w, unnest(range(1, k)) AS k FROM f WHERE k > 1)),
+cut AS (SELECT lang, phrase, a, cut, l.f AS l, r.f AS r, (CAST({scale} AS HUGEINT) * a * a) // (CAST(l.f AS HUGEINT) * r.f) AS score
+        FROM cuts JOIN part l ON l.part = pl JOIN part r ON r.part = pr),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS o FROM cut) WHERE o = 1),
+longer AS (SELECT lang, phrase, max(f) AS f FROM (SELECT lang, f, array_to_string(w[i:i + 1], ' ') AS phrase FROM f, range(1, 3) r(i) WHERE k = 3) GROUP BY lang, phrase),
+left_ AS (SELECT best.* FROM best LEFT JOIN longer USING (lang, phrase) WHERE longer.f IS NULL OR 100 * longer.f < {percent} * best.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, CAST(tot.n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM left_ JOIN tot USING (lang) QUALIFY rank <= {top}
+"""

@@ -11,7 +11,8 @@ from essayspark.llm.common import remainder, table
 QUERIES: dict = {}
 #: The others hash with keys, learn, tokenise or parse in ways SQL does not express; tests hold them against brute force.
 ORACLE: dict = {"op5_substring_dedup": oracle.repeated_words_sql(35), "op6_quality_rules": oracle.quality_rules_sql(),
-                "op12_exact_dedup": oracle.exact_duplicates_sql()}
+                "op12_exact_dedup": oracle.exact_duplicates_sql(), "op13_source_divergence": oracle.source_divergence_sql(),
+                "op11_collocations": oracle.collocations_sql()}
 
 
 def query(fn):
@@ -108,3 +109,17 @@ def op12_exact_dedup(spark, sf):
     from essayspark.llm.exact_dedup import exact_duplicates
 
     return exact_duplicates(table(spark, sf, "documents"), carry={"text_sha256": F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)})
+
+
+@query
+def op13_source_divergence(spark, sf):
+    from essayspark.llm.divergence import audit
+
+    return audit(table(spark, sf, "documents"))
+
+
+@query
+def op11_collocations(spark, sf):
+    from essayspark.llm.collocations import collocations
+
+    return collocations(table(spark, sf, "documents"))
