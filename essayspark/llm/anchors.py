@@ -10,8 +10,8 @@ that share one anchor: it holds these windows and no other ones.
 
 1. Every task lists its documents' anchors by hash; only hashes that occur twice or more in
    the corpus matter.
-2. Texts with such anchors are cut into segments.  Equal texts are one text with a number of copies
-   before they are shuffled, and equal segments of a task are sent once, with their number.
+2. Texts with such anchors are cut into segments, once, and the places and contents are written.  Equal texts are one text with
+   a number of copies before they are shuffled, and a task shows the content of equal segments once.
 3. In each partition whole groups of distinct segments meet: a solver (an FM-index, or merged
    Burrows-Wheeler transforms) tells which windows occur at least twice.
 4. The answers are joined to the places where the segments lie, and the covered stretches to the texts.
@@ -20,8 +20,8 @@ that share one anchor: it holds these windows and no other ones.
 An anchor that very many segments share (inside a passage copied all over the corpus) has no group:
 the segments around the passage's ends differ in every document, and whatever inside a window decides
 where it goes may lie in the passage.  Each window of the distinct segments of such an anchor is named by a
-128-bit hash of its whole content, and Spark sums the occurrences by that name, with partial sums in
-every task, so a window that all documents share is no task's burden either.
+128-bit hash of its whole content; blocks of segments send each name once, with its number, to the name's part, and get back a bit
+for each, so a window that all documents share is no task's burden either, and windows' places never travel.
 
 A document is named by a 128-bit hash of its text: equal texts have equal answers, whatever their ids, and
 each copy, repeated rows included, counts as an occurrence.
@@ -29,6 +29,7 @@ each copy, repeated rows included, counts as an occurrence.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -43,6 +44,8 @@ from essayspark.llm.common import map_batches, ship_package, written
 
 #: Segments of one anchor beyond which its windows are counted one by one instead of in a group.
 HOT = 20_000
+#: Window starts of a block of segments of hot anchors, and window names of a part.
+BLOCK, PART = 500_000, 2_000_000
 #: A position takes so many bits beside the hash; longer texts are read in overlapping slices.
 POSITION_BITS = 24
 _POSITION = np.uint64((1 << POSITION_BITS) - 1)
@@ -227,51 +230,31 @@ def covered(docs: DataFrame, units: type, length: int, gram: int, solver: Callab
                 found.setdefault((key, xxh3_128_digest(content)), (content, []))[1].append(x)
         return found
 
-    def sending():
-        kind, sent = units(), {}  # what this task has sent, with the number found since
-
-        def later():
-            rows = [(k, s, n) for (k, s), n in sent.items() if n]
-            sent.clear()
-            return {"key": [r[0] for r in rows], "sid": [r[1] for r in rows], "content": [None] * len(rows), "weight": [r[2] for r in rows]}
+    def cutting():
+        kind, sent = units(), set()  # segments whose content this task has sent
 
         def step(cols):
-            new: dict = {}
-            for body, copies, want in zip(cols["body"], cols["copies"], cols["wanted"]):
+            out = {n: [] for n in ("key", "sid", "k1", "k2", "firsts", "weight", "hot", "content")}
+            for k1, k2, body, copies, want in zip(*(cols[n] for n in ("k1", "k2", "body", "copies", "wanted"))):
+                many = {w["h"] for w in want if w["hot"]}
                 for name, (content, firsts) in cut(kind, body, want).items():
-                    n = copies * len(firsts)
-                    if name in sent:
-                        sent[name] += n
-                    else:
-                        new.setdefault(name, [content, 0])[1] += n
-            out = {"key": [k for k, _ in new], "sid": [s for _, s in new], "content": [c for c, _ in new.values()], "weight": [n for _, n in new.values()]}
-            sent.update(dict.fromkeys(new, 0))
+                    row = (*name, k1, k2, firsts, copies * len(firsts), name[0] in many, None if name in sent else content)
+                    for n, v in zip(out, row):
+                        out[n].append(v)
+                    sent.add(name)
             if len(sent) > 300_000:
-                rest = later()
-                out = {c: out[c] + rest[c] for c in out}
+                sent.clear()
             return out
 
-        step.rest = lambda: [later()]
         return step
 
-    def placing():
-        kind = units()
-
-        def step(cols):
-            out = {n: [] for n in ("key", "sid", "k1", "k2", "firsts")}
-            for k1, k2, body, want in zip(cols["k1"], cols["k2"], cols["body"], cols["wanted"]):
-                for (key, sid), (_, firsts) in cut(kind, body, want).items():
-                    for name, v in zip(out, (key, sid, k1, k2, firsts)):
-                        out[name].append(v)
-            return out
-
-        return step
+    # each text is cut once: its places, and the contents that they are the first to show in a task
+    pieces = written(map_batches(texts.select("k1", "k2", "body", "copies", "wanted"), cutting,
+                                 "key long, sid binary, k1 long, k2 long, firsts array<int>, weight long, hot boolean, content binary", rows=256))
+    places = pieces.select("key", "sid", "k1", "k2", "firsts")
 
     def segments(of_hot):
-        some = texts.withColumn("wanted", F.filter("wanted", lambda w: w["hot"] == of_hot)).filter(F.size("wanted") > 0)
-        return map_batches(some, sending, "key long, sid binary, content binary, weight long", rows=256)
-
-    places = map_batches(texts, placing, "key long, sid binary, k1 long, k2 long, firsts array<int>", rows=256)
+        return pieces.filter(F.col("hot") if of_hot else ~F.col("hot")).select("key", "sid", "content", "weight")
 
     def solve(batches):
         held, size, key = [], 0, None
@@ -287,39 +270,126 @@ def covered(docs: DataFrame, units: type, length: int, gram: int, solver: Callab
 
     answers = (segments(False).repartition("key").sortWithinPartitions("key", "sid")
                .mapInArrow(solve, "key long, sid binary, runs array<struct<a:int,b:int>>"))
-    if not wanted.filter(F.exists("wanted", lambda w: w["hot"])).isEmpty():
+    if not pieces.filter("hot").isEmpty():
         answers = answers.unionByName(_counted(segments(True), units, length))
     stretch = F.flatten(F.transform("firsts", lambda f: F.transform("runs", lambda r: F.struct((f + r["a"]).alias("a"), (f + r["b"]).alias("b")))))
     found = places.join(answers, ["key", "sid"]).groupBy("k1", "k2").agg(F.flatten(F.collect_list(stretch)).alias("s"))
     return found.select("k1", "k2", F.col("s.a").alias("starts"), F.col("s.b").alias("ends"))
 
 
+def _names(contents: list[bytes], units: type, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """128-bit names of all windows of some segments, and where each segment's begin."""
+    names = [[xxh3_128_digest(w) for w in units.windows(c, length)] for c in contents]
+    return np.frombuffer(b"".join(x for n in names for x in n), "S16"), np.cumsum([0] + [len(n) for n in names])
+
+
+def _parts(names: np.ndarray, bits: int) -> np.ndarray:
+    """The part of each name, by its first bits."""
+    return (names.view(np.uint8).reshape(-1, 16)[:, :4].copy().view(">u4").reshape(-1).astype(np.int64) >> (32 - bits)) if bits else np.zeros(len(names), np.int64)
+
+
 def _counted(segments: DataFrame, units: type, length: int) -> DataFrame:
-    """key, sid, runs: the covered stretches of segments, from the occurrences of each of their windows."""
-    distinct = written(segments.groupBy("key", "sid").agg(F.first("content", ignorenulls=True).alias("content"), F.sum("weight").alias("weight")))
+    """key, sid, runs: the covered stretches of segments, from the occurrences of each of their windows.
+
+    Distinct segments are put into blocks.  A block sends its windows' names, each once with its number and packed by part, and gets back a bit
+    for each: whether it occurs twice or more in all blocks.  No window travels with its place."""
+    distinct = segments.groupBy("key", "sid").agg(F.first("content", ignorenulls=True).alias("content"), F.sum("weight").alias("weight"))
+
+    def blocking():
+        held = {n: [] for n in ("key", "sid", "content", "weight")}
+        size = [0]
 
-    def naming():
+        def block():
+            out = {"block": [uuid.uuid4().hex], "windows": [size[0]]} | {n: [list(v)] for n, v in held.items()}
+            for v in held.values():
+                v.clear()
+            size[0] = 0
+            return out
+
+        def step(cols):
+            done: dict = {n: [] for n in ("block", "windows", *held)}
+            for row in zip(*(cols[n] for n in held)):
+                for n, v in zip(held, row):
+                    held[n].append(v)
+                size[0] += len(row[2]) if units is Bytes else row[2].count(b" ") + 1
+                if size[0] >= BLOCK:
+                    done = {n: done[n] + v for n, v in block().items()}
+            return done
+
+        step.rest = lambda: [block()] if held["key"] else []
+        return step
+
+    blocks = written(map_batches(distinct, blocking, "block string, windows long, key array<long>, sid array<binary>, content array<binary>, weight array<long>"))
+    bits = min(32, ((blocks.agg(F.sum("windows")).first()[0] or 0) // PART).bit_length())
+
+    def sending():
         def step(cols):
-            out = {n: [] for n in ("key", "sid", "at", "w", "weight")}
-            for key, sid, content, weight in zip(cols["key"], cols["sid"], cols["content"], cols["weight"]):
-                names = [xxh3_128_digest(w) for w in units.windows(content, length)]
-                for name, v in zip(out, ([key] * len(names), [sid] * len(names), range(len(names)), names, [weight] * len(names))):
-                    out[name].extend(v)
+            out = {n: [] for n in ("part", "block", "names", "counts")}
+            for name, contents, weights in zip(cols["block"], cols["content"], cols["weight"]):
+                names, start = _names(contents, units, length)
+                names, inverse = np.unique(names, return_inverse=True)
+                counts = np.bincount(inverse, np.repeat(weights, np.diff(start)), len(names)).astype("<i8")
+                part = _parts(names, bits)
+                first = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
+                for a, b in zip(first, [*first[1:], len(part)]):
+                    for n, v in zip(out, (int(part[a]), name, names[a:b].tobytes(), counts[a:b].tobytes())):
+                        out[n].append(v)
             return out
 
         return step
 
+    def adding():
+        held: list = []
+        now = [None]
+
+        def answers():
+            out = {n: [] for n in ("part", "block", "twice")}
+            if held:
+                names = np.frombuffer(b"".join(n for _, n, _ in held), "S16")
+                _, inverse = np.unique(names, return_inverse=True)
+                twice = np.bincount(inverse, np.frombuffer(b"".join(c for *_, c in held), "<i8"))[inverse] > 1
+                for (block, n, _), bits_ in zip(held, np.split(twice, np.cumsum([len(n) // 16 for _, n, _ in held])[:-1])):
+                    for k, v in zip(out, (now[0], block, np.packbits(bits_).tobytes())):
+                        out[k].append(v)
+                held.clear()
+            return out
+
+        def step(cols):
+            done: dict = {n: [] for n in ("part", "block", "twice")}
+            for part, *row in zip(*(cols[n] for n in ("part", "block", "names", "counts"))):
+                if part != now[0]:
+                    done = {n: done[n] + v for n, v in answers().items()}
+                    now[0] = part
+                held.append(row)
+            return done
+
+        step.rest = lambda: [answers()]
+        return step
+
     def joining():
         def step(cols):
-            runs = [[{"a": a, "b": b} for a, b in union([(i, i + length) for i in at])] for at in cols["at"]]
-            return {"key": cols["key"], "sid": cols["sid"], "runs": runs}
+            out = {n: [] for n in ("key", "sid", "runs")}
+            for keys, sids, contents, told in zip(cols["key"], cols["sid"], cols["content"], cols["told"]):
+                names, start = _names(contents, units, length)
+                names, inverse = np.unique(names, return_inverse=True)
+                parts, sizes = np.unique(_parts(names, bits), return_counts=True)
+                flags = {t["part"]: t["twice"] for t in told}
+                twice = np.concatenate([np.unpackbits(np.frombuffer(flags[p], np.uint8), count=n) for p, n in zip(parts.tolist(), sizes.tolist())])[inverse]
+                for key, sid, a, b in zip(keys, sids, start, start[1:]):
+                    edge = np.flatnonzero(np.diff(twice[a:b].astype(np.int8), prepend=0, append=0))
+                    runs = union(list(zip(edge[::2].tolist(), (edge[1::2] - 1 + length).tolist())))
+                    if runs:
+                        for n, v in zip(out, (key, sid, [{"a": x, "b": y} for x, y in runs])):
+                            out[n].append(v)
+            return out
 
         return step
 
-    windows = map_batches(distinct, naming, "key long, sid binary, at int, w binary, weight long", rows=256)
-    twice = windows.groupBy("w").agg(F.sum("weight").alias("n")).filter("n > 1").select("w")
-    found = windows.select("key", "sid", "at", "w").join(twice, "w").groupBy("key", "sid").agg(F.collect_list("at").alias("at"))
-    return map_batches(found, joining, "key long, sid binary, runs array<struct<a:int,b:int>>")
+    sent = map_batches(blocks.select("block", "content", "weight"), sending, "part long, block string, names binary, counts binary", rows=1)
+    told = map_batches(sent.repartition("part").sortWithinPartitions("part"), adding, "part long, block string, twice binary", rows=16)
+    told = told.groupBy("block").agg(F.collect_list(F.struct("part", "twice")).alias("told"))
+    back = blocks.select("block", "key", "sid", "content").join(told, "block")
+    return map_batches(back, joining, "key long, sid binary, runs array<struct<a:int,b:int>>", rows=1)
 
 
 def _solved(rows, length, solver, units):

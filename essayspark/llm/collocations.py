@@ -11,7 +11,8 @@ score = floor(SCALE * a * a / (l * r)), with a its occurrences and l, r those of
    is the pointer to their occurrences.
 3. A range adds up its counts and answers each chunk with those of its fingerprints that are frequent.
 4. The chunk verifies them against its text: occurrences of a frequent fingerprint are counted by their words, so two phrases that
-   share a fingerprint come apart again, and only these phrases become strings.  Their exact counts are added by phrase.
+   share a fingerprint come apart again, and only these phrases become strings.  They go to their range, sorted and compressed,
+   where their exact counts are added by the phrase itself.
 5. Parts, containment and ranks are joins and aggregates over the frequent phrases: every part of a frequent phrase is
    frequent itself.
 
@@ -25,10 +26,12 @@ gives an empty table; other columns are ignored.  Very long texts run over sever
 from __future__ import annotations
 
 import uuid
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,7 +40,7 @@ from essayspark.llm.common import map_batches, written
 MIN_COUNT, MAX_WORDS, TOP, CONTAINED_PERCENT, SCALE = 10, 3, 2000, 50, 1_000_000
 NO_LANG = "und"
 #: Words of a chunk, bytes of text that are split into words at once, n-grams of a range of fingerprints.
-CHUNK, SLICE, RANGE = 2_000_000, 1 << 20, 2_000_000
+CHUNK, SLICE, RANGE = 1_000_000, 1 << 20, 2_000_000
 #: Parts that a language's phrases are ranked in before the last ranking.
 RANK_PARTS = 32
 
@@ -95,13 +98,22 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
 
 
+def _squeeze(raw: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(raw)
+
+
+def _loose(raw: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(raw)
+
+
 def pack(values: np.ndarray) -> bytes:
-    """Non-negative integers by as many low bytes as the largest one needs, byte by byte."""
+    """Non-negative integers by as many low bytes as the largest one needs, byte by byte, compressed."""
     width = max(1, (int(values.max()).bit_length() + 7) // 8) if len(values) else 1
-    return bytes([width]) + values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+    return _squeeze(bytes([width]) + values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes())
 
 
 def unpack(raw: bytes) -> np.ndarray:
+    raw = _loose(raw)
     width = raw[0]
     planes = np.frombuffer(raw, np.uint8, offset=1).reshape(width, -1)
     out = np.zeros((planes.shape[1], 8), np.uint8)
@@ -126,7 +138,7 @@ def _chunks(max_words: int, size: int):
             words = list(numbers[lang])
             keep = 0 if last else min(max_words - 1, len(ids))
             own = len(ids) - keep
-            for k, v in (("chunk", uuid.uuid4().hex), ("lang", lang), ("ids", pack(ids)), ("vocabulary", b" ".join(words[1:])),
+            for k, v in (("chunk", uuid.uuid4().hex), ("lang", lang), ("ids", pack(ids)), ("vocabulary", _squeeze(b" ".join(words[1:]))),
                          ("starts", own), ("words", int(np.count_nonzero(ids[:own]))), ("ngrams", max_words * own)):
                 out[k].append(v)
             numbers[lang] = fresh = _new_numbers()
@@ -166,7 +178,15 @@ def _chunks(max_words: int, size: int):
 
 
 def _read(ids: bytes, vocabulary: bytes) -> tuple[np.ndarray, list[bytes]]:
-    return unpack(ids).astype(np.int32), [b"."] + (vocabulary.split(b" ") if vocabulary else [])
+    words = _loose(vocabulary)
+    return unpack(ids).astype(np.int32), [b"."] + (words.split(b" ") if words else [])
+
+
+def _ranges(prints: np.ndarray, bits: int) -> Iterator[tuple[int, int, int]]:
+    """Number, begin and end of each range of sorted fingerprints, by their first bits."""
+    part = (prints >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(prints), np.int64)
+    cuts = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
+    yield from ((int(part[a]), a, b) for a, b in zip(cuts, [*cuts[1:], len(part)]))
 
 
 def _send(max_words: int, bits: int):
@@ -178,13 +198,11 @@ def _send(max_words: int, bits: int):
             for lang, chunk, ids, vocabulary, starts in zip(cols["lang"], cols["chunk"], cols["ids"], cols["vocabulary"], cols["starts"]):
                 ids, words = _read(ids, vocabulary)
                 hashes = word_hashes(words)
-                found = [fingerprints(ids, hashes, n, starts)[1] for n in range(1, max_words + 1)]
-                prints, counts = np.unique(np.concatenate(found), return_counts=True)
-                part = (prints >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(prints), np.int64)
-                cuts = np.flatnonzero(np.diff(part, prepend=-1))
-                for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(part)]):
-                    for k, v in (("lang", lang), ("part", int(part[a])), ("chunk", chunk), ("prints", pack(_gaps(prints[a:b]))), ("counts", pack(counts[a:b]))):
-                        out[k].append(v)
+                for n in range(1, max_words + 1):
+                    prints, counts = np.unique(fingerprints(ids, hashes, n, starts)[1], return_counts=True)
+                    for part, a, b in _ranges(prints, bits):
+                        for k, v in (("lang", lang), ("part", part), ("chunk", chunk), ("prints", pack(_gaps(prints[a:b]))), ("counts", pack(counts[a:b]))):
+                            out[k].append(v)
             return out
 
         return step
@@ -233,10 +251,8 @@ def _answer(min_count: int):
     return make
 
 
-def verified(ids: np.ndarray, words: list[bytes], starts: int, max_words: int, frequent: np.ndarray, hashes: np.ndarray | None = None) -> Iterator[tuple[bytes, int, int]]:
-    """Phrase, its words and occurrences, of all n-grams whose fingerprint is in ``frequent`` (sorted)."""
-    if not len(frequent):
-        return
+def verified(ids: np.ndarray, words: list[bytes], starts: int, max_words: int, frequent: np.ndarray, hashes: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, list[bytes], np.ndarray]]:
+    """Fingerprints (sorted), phrases and occurrences of all n-grams whose fingerprint is in ``frequent`` (sorted), for each n."""
     hashes = word_hashes(words) if hashes is None else hashes
     mask = np.uint64((1 << 22) - 1)  # a quick first look; the search decides
     look = np.zeros(1 << 22, bool)
@@ -245,27 +261,34 @@ def verified(ids: np.ndarray, words: list[bytes], starts: int, max_words: int, f
         at, fp = fingerprints(ids, hashes, n, starts)
         maybe = look[(fp & mask).astype(np.int64)]
         at, fp = at[maybe], fp[maybe]
-        at = at[frequent[np.minimum(np.searchsorted(frequent, fp), len(frequent) - 1)] == fp]
+        there = frequent[np.minimum(np.searchsorted(frequent, fp), len(frequent) - 1)] == fp
+        at, fp = at[there], fp[there]
         if not len(at):
             continue
         code = ids[at].astype(np.int64)
         for j in range(1, n):  # equal codes are equal words
             code = np.unique(code, return_inverse=True)[1] * np.int64(len(words)) + ids[at + j]
         _, first, counts = np.unique(code, return_index=True, return_counts=True)
-        for row, c in zip(np.stack([ids[at[first] + j] for j in range(n)], 1).tolist(), counts.tolist()):
-            yield b" ".join([words[i] for i in row]), n, c
+        order = np.argsort(fp[first], kind="stable")
+        first, counts = first[order], counts[order]
+        yield fp[first], [b" ".join([words[i] for i in row]) for row in np.stack([ids[at[first] + j] for j in range(n)], 1).tolist()], counts
 
 
-def _verify(max_words: int):
+def _verify(max_words: int, bits: int):
+    """Step for ``map_batches``: a chunk's frequent phrases and their occurrences, packed by range of the fingerprint."""
+
     def make():
         def step(cols):
-            out = {k: [] for k in ("lang", "phrase", "k", "n")}
+            out = {k: [] for k in ("lang", "part", "phrases", "counts")}
             for lang, ids, vocabulary, starts, answers in zip(cols["lang"], cols["ids"], cols["vocabulary"], cols["starts"], cols["answers"]):
                 ids, words = _read(ids, vocabulary)
                 frequent = np.sort(np.concatenate([np.cumsum(unpack(a)) for a in answers]))
-                for phrase, k, n in verified(ids, words, starts, max_words, frequent):
-                    for name, v in (("lang", lang), ("phrase", phrase.decode("utf-8")), ("k", k), ("n", n)):
-                        out[name].append(v)
+                for prints, phrases, counts in verified(ids, words, starts, max_words, frequent):
+                    counts = counts.tolist()
+                    for part, a, b in _ranges(prints, bits):
+                        some = sorted(zip(phrases[a:b], counts[a:b]))  # neighbours share beginnings
+                        for k, v in (("lang", lang), ("part", part), ("phrases", _squeeze(b"\n".join([p for p, _ in some]))), ("counts", pack(np.array([c for _, c in some], np.uint64)))):
+                            out[k].append(v)
             return out
 
         return step
@@ -273,6 +296,35 @@ def _verify(max_words: int):
     return make
 
 
+def _add(min_count: int):
+    """Step for ``map_batches`` over rows sorted by lang and part: phrases that are frequent by their words."""
+
+    def make():
+        sums: Counter = Counter()
+        now = [None]
+
+        def rows():
+            found = [(p, n) for p, n in sums.items() if n >= min_count]
+            sums.clear()
+            return {"lang": [now[0] and now[0][0]] * len(found), "phrase": [p.decode("utf-8") for p, _ in found],
+                    "k": [p.count(b" ") + 1 for p, _ in found], "f": [n for _, n in found]}
+
+        def step(cols):
+            done: dict = {k: [] for k in ("lang", "phrase", "k", "f")}
+            for lang, part, phrases, counts in zip(cols["lang"], cols["part"], cols["phrases"], cols["counts"]):
+                if now[0] != (lang, part):
+                    done = {k: done[k] + v for k, v in rows().items()}
+                    now[0] = lang, part
+                for p, n in zip(_loose(phrases).split(b"\n"), unpack(counts).tolist()):
+                    sums[p] += n
+            return done
+
+        step.rest = lambda: [rows()]
+        return step
+
+    return make
+
+
 def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, chunk: int = CHUNK, range_size: int = RANGE) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, k, f): all phrases of k <= max_words words with f >= min_count, exactly; and (lang, n): all words."""
     chunks = written(map_batches(docs.select("lang", "text"), _chunks(max_words, chunk),
@@ -285,9 +337,10 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int
     answers = map_batches(sent.repartition("lang", "part").sortWithinPartitions("lang", "part"), _answer(min_count), "chunk string, prints binary", rows=64)
     answers = answers.groupBy("chunk").agg(F.collect_list("prints").alias("answers"))
     asked = chunks.select("lang", "chunk", "ids", "vocabulary", "starts").join(answers, "chunk")
-    found = map_batches(asked.select("lang", "ids", "vocabulary", "starts", "answers"), _verify(max_words), "lang string, phrase string, k int, n long", rows=1)
-    counted = found.groupBy("lang", "phrase").agg(F.max("k").alias("k"), F.sum("n").alias("f"))
-    return written(counted.filter(F.col("f") >= min_count)), totals
+    found = map_batches(asked.select("lang", "ids", "vocabulary", "starts", "answers"), _verify(max_words, bits),
+                        "lang string, part long, phrases binary, counts binary", rows=1)
+    phrases = map_batches(found.repartition("lang", "part").sortWithinPartitions("lang", "part"), _add(min_count), "lang string, phrase string, k int, f long", rows=64)
+    return written(phrases), totals
 
 
 def _cut(words: str, k, rest: bool):

@@ -125,22 +125,28 @@ class Tree:
         self.nodes = 0
 
     def close(self, depth: int) -> None:
-        """Nodes below ``depth`` are complete: each corrects the pairs with its ancestors, with all its terms."""
-        while len(self.path) > depth:
-            k = len(self.path) - 1
-            if k:
-                p, b, up, down = self.p[k], self.b[k], self.p[:k], self.b[:k]
-                change = np.abs(p - up) - np.abs(p - down) - np.abs(b - up) + np.abs(b - down)
+        """Nodes from ``depth`` on are complete: each corrects the pairs with its ancestors, with all its terms."""
+        n = len(self.path)
+        if n <= depth:
+            return
+        below = np.cumsum(self.m[depth:n][::-1])[::-1]
+        some = max(1, HELD_CELLS // n)
+        for at in range(depth, n, some):
+            end = min(at + some, n)
+            p, b, up, low = self.p[at:end, None], self.b[at:end, None], self.p[:n], self.b[:n]
+            change = below[at - depth:end - depth, None] * (np.abs(p - up) - np.abs(p - low) - np.abs(b - up) + np.abs(b - low))
+            for k in range(max(at, 1), end):
                 row = self.sums.get(int(self.at[k]))
                 if row is None or len(row) < len(self.number):
                     grown = np.zeros(2 * len(self.number), np.int64)
                     if row is not None:
                         grown[: len(row)] = row
                     row = self.sums[int(self.at[k])] = grown
-                row[self.at[:k]] += self.m[k] * change
-                self.m[k - 1] += self.m[k]
-            self.path.pop()
-            self.nodes += 1
+                row[self.at[:k]] += change[k - at, :k]
+        if depth:
+            self.m[depth - 1] += below[0]
+        self.nodes += n - depth
+        del self.path[depth:]
 
     def add(self, row: list[dict], m: int) -> None:
         """A row of {source, p, b} in source order, ``m`` times."""
@@ -227,7 +233,8 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP_TERMS) -> Da
     # rows of the tree: equal rows of shares are one row; a source alone in its row corrects no pair
     rows = each.groupBy("lang", "term").agg(F.array_sort(F.collect_list(F.struct("source", "p", "b"))).alias("path"))
     paths = rows.filter(F.size("path") > 1).groupBy("lang", "path").agg(F.count(F.lit(1)).alias("m"))
-    walk = paths.repartitionByRange("lang", "path").sortWithinPartitions("lang", "path")
+    # ranges are chosen from a sample of the paths' beginnings, which stay small however many sources there are
+    walk = paths.repartitionByRange("lang", F.slice("path", 1, 4)).sortWithinPartitions("lang", "path")
     both = map_batches(walk, _walk, "lang string, a string, b string, value long", rows=4096)
 
     shares = each.groupBy("lang", "source", "p").agg(F.count(F.lit(1)).alias("m"))

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from essayspark.operators.quantiles import quantiles_of_counts, value_counts
+
 
 
 
@@ -87,22 +89,19 @@ def box_stats(df: DataFrame, by: str, value: str) -> DataFrame:
     """Quartiles (linear interpolation, exact), whiskers within 1.5 IQR and
     outlier counts per group.
 
-    ``percentile`` keeps a value->count map per group, so its memory is the
-    number of distinct values (a handful for grades).  Whiskers need the
-    quartiles, so the rows are joined back to the per-group table, which
-    has one row per group."""
-    v = F.col(value)
-    q = (df.filter(v.isNotNull()).groupBy(by)
-         .agg(F.percentile(v, 0.25).alias("q1"), F.percentile(v, 0.5).alias("median"),
-              F.percentile(v, 0.75).alias("q3"), F.count(v).alias("n")))
+    All of it comes from the table of distinct values and their numbers, quartiles by radix
+    selection, so no group's values are held in one place.  Groups are joined to their quartiles, one row each."""
+    counts = value_counts(df, [by], value)
+    q = quantiles_of_counts(counts, [by], [0.25, 0.5, 0.75]).select(
+        by, F.col("quantiles")[0].alias("q1"), F.col("quantiles")[1].alias("median"), F.col("quantiles")[2].alias("q3"), "n")
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")) \
          .withColumn("lo_fence", F.col("q1") - 1.5 * F.col("iqr")) \
          .withColumn("hi_fence", F.col("q3") + 1.5 * F.col("iqr"))
-    rows = df.filter(v.isNotNull()).select(by, value).join(q, by)
-    inside = (v >= F.col("lo_fence")) & (v <= F.col("hi_fence"))
+    rows = counts.withColumnRenamed("n", "__n").join(q, by)
+    inside = (F.col("v") >= F.col("lo_fence")) & (F.col("v") <= F.col("hi_fence"))
     w = (rows.groupBy(by)
-         .agg(F.min(F.when(inside, v)).alias("whisker_lo"), F.max(F.when(inside, v)).alias("whisker_hi"),
-              F.count_if(~inside).alias("n_outliers")))
+         .agg(F.min(F.when(inside, F.col("v"))).alias("whisker_lo"), F.max(F.when(inside, F.col("v"))).alias("whisker_hi"),
+              F.sum(F.when(inside, 0).otherwise(F.col("__n"))).cast("bigint").alias("n_outliers")))
     return q.join(w, by)
 
 

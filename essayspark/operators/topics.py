@@ -1,55 +1,29 @@
 """Topic model and its summaries (ML9-ML12, A5, A16, O3).
 
-The model is ``pyspark.ml.clustering.LDA`` (online variational Bayes with
-bootstrap samples of the corpus' size per step) over count vectors built
-from an explicit, bounded vocabulary.  Everything around it is DataFrame
+The model is batch variational Bayes over a bounded vocabulary (``operators/lda``).  Everything around it is DataFrame
 work: topic-word weights become a long (topic, term, weight) table that
 is normalised per topic with a window over one topic's terms (bounded by
 the vocabulary), top terms per topic use ``row_number() <= n``, document
-shares are exploded from ``topicDistribution`` and summarised per group.
+shares are exploded and summarised per group.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import LDA, LDAModel
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from essayspark.operators import lda
+from essayspark.operators.quantiles import exact_quantiles
 
-def fit_lda(docs: DataFrame, k: int, features: str = "features", max_iter: int = 30,
-            seed: int = 7) -> LDAModel:
-    """ML9: symmetric priors 1/k as the original's defaults, no prior learning.
 
-    Spark's online optimiser draws each step's documents with replacement; at rate 1.0 a
-    step sees as many documents as the corpus has, but leaves out about 37% of them and repeats others.
-    That is its documented sampling, not the original's batch update; over ``max_iter`` = 30
-    steps every document is all but sure to be read.  The EM optimiser reads
-    every document in every step but needs priors above 1."""
-    lda = LDA(k=k, maxIter=max_iter, optimizer="online", subsamplingRate=1.0,
-              learningOffset=10.0, learningDecay=0.7,
-              optimizeDocConcentration=False, docConcentration=[1.0 / k],
-              topicConcentration=1.0 / k, seed=seed, featuresCol=features)
-    return lda.fit(docs)
+def fit_lda(docs: DataFrame, k: int, terms: int, max_iter: int = 30, seed: int = 7) -> lda.TopicModel:
+    """ML9: priors 1/k as the original's defaults, batch updates, perplexity looked at every fifth step."""
+    return lda.fit(docs, k, terms, max_iter, seed, check_every=5, tolerance=0.01)
 
 
-def log_perplexity(model: LDAModel, docs: DataFrame) -> float:
-    """ML9: the upper bound of the log perplexity per token (lower is better)."""
-    return model.logPerplexity(docs)
-
-
-def topic_terms(model: LDAModel, vocab: list[str], spark: SparkSession) -> DataFrame:
-    """ML10 + A16: (topic, term, weight) with each topic's weights summing to 1.
-
-    ``describeTopics`` returns the topic rows as a DataFrame; the term index
-    is mapped through the vocabulary (a bounded literal array)."""
-    n = len(vocab)
-    d = model.describeTopics(maxTermsPerTopic=n)
-    terms = F.array(*[F.lit(t) for t in vocab])
-    long = (d.select("topic", F.explode(F.arrays_zip("termIndices", "termWeights")).alias("z"))
-            .select("topic", F.element_at(terms, F.col("z.termIndices") + 1).alias("term"),
-                    F.col("z.termWeights").alias("w")))
-    return normalise_rows(long, "topic", "w", "weight")
+def topic_terms(model: lda.TopicModel, vocab: list[str], spark: SparkSession) -> DataFrame:
+    """ML10 + A16: (topic, term, weight) with each topic's weights summing to 1."""
+    return normalise_rows(model.topic_terms(spark, vocab), "topic", "w", "weight")
 
 
 def normalise_rows(df: DataFrame, row: str, value: str, out: str) -> DataFrame:
@@ -65,35 +39,14 @@ def top_terms(tt: DataFrame, n: int = 15, topic: str = "topic", term: str = "ter
     return tt.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
 
-def document_topics(model: LDAModel, docs: DataFrame, keys: list[str]) -> DataFrame:
-    """ML11 + J7: (keys..., topic, p) from ``transform``; keys ride along."""
-    t = model.transform(docs)
-    return t.select(*keys, F.posexplode(vector_to_array("topicDistribution")).alias("topic", "p"))
-
-
-MEDIAN_BUCKETS = 4096
-
+def document_topics(model: lda.TopicModel, docs: DataFrame, keys: list[str]) -> DataFrame:
+    """ML11 + J7: (keys..., topic, p) of every document; keys ride along."""
+    return lda.shares_long(model.transform(docs, keys), keys)
 
-def exact_medians(df: DataFrame, by: list[str], value: str, buckets: int = MEDIAN_BUCKETS) -> DataFrame:
-    """(by..., median_p) of values from 0 to 1: exact, without one buffer per group.
 
-    Counts per bucket of the value tell in which bucket each middle rank lies; only the rows of those
-    buckets are ranked."""
-    v = F.col(value)
-    rows = df.filter(v.isNotNull()).withColumn("__b", F.least(F.floor(v * buckets), F.lit(buckets - 1)).cast("int"))
-    counts = rows.groupBy(*by, "__b").agg(F.count(F.lit(1)).alias("__n"))
-    whole = Window.partitionBy(*by)  # at most ``buckets`` rows per group
-    counts = (counts.withColumn("__all", F.sum("__n").over(whole))
-              .withColumn("__before", F.sum("__n").over(whole.orderBy("__b")) - F.col("__n")))
-    ranks = F.array_distinct(F.array(F.floor((F.col("__all") - 1) / 2), F.floor(F.col("__all") / 2)))
-    inside = F.filter(ranks, lambda r: (r >= F.col("__before")) & (r < F.col("__before") + F.col("__n")))
-    middle = (counts.withColumn("__ranks", F.transform(inside, lambda r: r - F.col("__before")))
-              .filter(F.size("__ranks") > 0).select(*by, "__b", "__ranks"))
-    w = Window.partitionBy(*by, "__b").orderBy(value)
-    return (rows.join(middle, [*by, "__b"])
-            .withColumn("__r", F.row_number().over(w) - 1)
-            .filter(F.array_contains("__ranks", F.col("__r").cast("bigint")))
-            .groupBy(*by).agg(F.avg(value).alias("median_p")))
+def exact_medians(df: DataFrame, by: list[str], value: str) -> DataFrame:
+    """(by..., median_p): exact, by radix selection over counts of equal values."""
+    return exact_quantiles(df, by, value, [0.5]).select(*by, F.col("quantiles")[0].alias("median_p"))
 
 
 def group_topic_medians(dt: DataFrame, group: str, topic: str = "topic", p: str = "p") -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from essayspark.functions import text as T
 from essayspark.functions.fixed_values import ENGLISH_STOP_WORDS
+from essayspark.session import checkpointed
 
 
 def vectorizer_terms(text: str | Column, stops=None, n_max: int = 1) -> Column:
@@ -59,6 +60,72 @@ def bounded_vocabulary(stats: DataFrame, n_docs: int, max_terms: int,
     return kept.orderBy(F.desc("tf"), F.asc("term")).limit(max_terms)
 
 
+#: A level's frequent terms are told to the scans if they are no more than so many times the vocabulary's size.
+TOLD = 16
+
+
+def _cut_classes(tf: DataFrame, by: list[str], max_terms: int) -> DataFrame:
+    """(by..., __c): the count classes (one per doubling) that the ``max_terms`` most frequent terms can lie in."""
+    classes = tf.groupBy(*by, "__c").agg(F.count(F.lit(1)).alias("__n"))  # at most 63 rows per group
+    above = Window.partitionBy(*by).orderBy(F.desc("__c")).rowsBetween(Window.unboundedPreceding, -1)
+    return (classes.withColumn("__above", F.coalesce(F.sum("__n").over(above), F.lit(0)))
+            .filter(F.col("__above") < max_terms).select(*by, "__c"))
+
+
+class NgramVocabulary:
+    """The ``max_terms`` most frequent 1..n_max-grams of each group, counted level by level (T23, O4, ML1).
+
+    An n-gram occurs no more often than any part of it.  So after the words are counted, a count that the cut
+    cannot fall below is known (from a histogram of the counts, one class per doubling), and only pairs of two words that reach it are
+    formed, counted and shuffled; likewise triples of two such pairs, and so on.  The result is exact.  The sets of
+    frequent parts are told to the scans as literals while they are at most ``TOLD`` times the vocabulary; a larger set
+    (very flat counts) prunes nothing at its level and changes no result.
+
+    ``docs``: the keys and ``toks``, a written table: it is read once per level."""
+
+    def __init__(self, docs: DataFrame, toks: str, n_max: int, max_terms: int, by: list[str] = ()):
+        self.docs, self.by, self.max_terms = docs, list(by), max_terms
+        groups = [F.col(c) for c in self.by] or [F.lit(0).alias("__all")]
+        self.keys = self.by or ["__all"]
+        rows = docs.filter(F.col(self.by[0]).isNotNull()) if self.by else docs
+        self.levels: list[Column] = []  # each document's n-grams of two frequent parts, null elsewhere
+        counted, parts = None, F.col(toks)
+        for n in range(1, n_max + 1):
+            if n > 1:
+                size = F.greatest(F.size(toks), F.lit(1))
+                both = F.arrays_zip(parts.alias("g0"), F.slice(parts, 2, size).alias("g1"), F.slice(toks, n, size).alias("t"))
+                parts = F.transform(both, lambda s: F.when(s["g0"].isNotNull() & s["g1"].isNotNull(), F.concat_ws(" ", s["g0"], s["t"])))
+            self.levels.append(parts)
+            grams = rows.select(*groups, F.explode(F.filter(parts, lambda g: g.isNotNull())).alias("term"))
+            tf = grams.groupBy(*self.keys, "term").agg(F.count(F.lit(1)).alias("tf")).withColumn("__c", F.floor(F.log2("tf")))
+            tf = checkpointed(tf if counted is None else counted.unionByName(tf))
+            # only what the cut can still reach goes on
+            counted = tf.join(_cut_classes(tf, self.keys, max_terms), [*self.keys, "__c"])
+            if n < n_max:
+                low = _cut_classes(tf, self.keys, max_terms).groupBy(*self.keys).agg(F.min("__c").alias("__low"))
+                reach = tf.join(low, self.keys).filter(F.col("__c") >= F.col("__low")).filter(F.size(F.split("term", " ")) == n)
+                frequent = [r["term"] for r in reach.select("term").distinct().limit(TOLD * max_terms + 1).collect()]
+                if len(frequent) <= TOLD * max_terms:
+                    parts = F.transform(parts, lambda g: F.when(g.isin(frequent), g))
+        w = Window.partitionBy(*self.keys).orderBy(F.desc("tf"), F.asc("term"))
+        first = checkpointed(counted.drop("__c"))
+        if self.by:
+            self.vocabulary = first.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= max_terms).select(*self.by, "term", "tf")
+        else:
+            self.vocabulary = first.orderBy(F.desc("tf"), F.asc("term")).limit(max_terms).select("term", "tf")
+
+    def counts(self, keys: list[str]) -> DataFrame:
+        """Long sparse matrix (keys, term, n) of the documents over the vocabulary; ``keys`` hold the groups' columns."""
+        every = F.concat(*self.levels)
+        if self.by:
+            rows = self.docs.select(*keys, F.explode(F.filter(every, lambda g: g.isNotNull())).alias("term"))
+            rows = rows.join(self.vocabulary.select(*self.by, "term"), [*self.by, "term"])
+        else:
+            known = [r["term"] for r in self.vocabulary.collect()]  # at most max_terms
+            rows = self.docs.select(*keys, F.explode(F.filter(every, lambda g: g.isin(known))).alias("term"))
+        return rows.groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("n"))
+
+
 def vocabulary_by_group(df: DataFrame, group: str, terms: Column, max_terms: int) -> DataFrame:
     """(group, term, tf): the ``max_terms`` most frequent terms of each group
     (a vectorizer fitted per group).
@@ -70,12 +137,8 @@ def vocabulary_by_group(df: DataFrame, group: str, terms: Column, max_terms: int
     tf = (df.select(group, F.explode(terms).alias("term")).filter(F.col(group).isNotNull())
           .groupBy(group, "term").agg(F.count(F.lit(1)).alias("tf"))
           .withColumn("__c", F.floor(F.log2("tf"))))
-    classes = tf.groupBy(group, "__c").agg(F.count(F.lit(1)).alias("__n"))  # at most 63 rows per group
-    above = Window.partitionBy(group).orderBy(F.desc("__c")).rowsBetween(Window.unboundedPreceding, -1)
-    wanted = (classes.withColumn("__above", F.coalesce(F.sum("__n").over(above), F.lit(0)))
-              .filter(F.col("__above") < max_terms).select(group, "__c"))
     w = Window.partitionBy(group).orderBy(F.desc("tf"), F.asc("term"))
-    return (tf.join(wanted, [group, "__c"]).drop("__c")
+    return (tf.join(_cut_classes(tf, [group], max_terms), [group, "__c"]).drop("__c")
             .withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= max_terms).drop("__r"))
 
 

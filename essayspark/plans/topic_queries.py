@@ -1,6 +1,6 @@
 """Driver queries for the topic model (ML9-ML12, O3, A5, A16, J7, V6).
 
-The four LDA queries share one fitted model per (session, scale, k); the
+The LDA queries share one fitted model per (session, texts, k); the
 fixed-matrix queries exercise A16, O3 and A5 against DuckDB on a
 topic-term table derived from ``embeddings`` (label as topic)."""
 
@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from essayspark.operators import features as FT
+from essayspark.operators import lda
 from essayspark.operators import split as S
 from essayspark.operators import topics as TP
 from essayspark.operators import vocab as V
@@ -45,22 +46,24 @@ def lda_fit(spark, sf, k: int = K_TOPICS, test_fraction: float | None = None):
     training texts only, and every text (``part`` = train / test) is
     vectorised with that vocabulary (defect D8: the original refits both on
     the test texts)."""
-    key = (spark.sparkContext.applicationId, sf, k, test_fraction)
+    source = essay_texts(spark, sf)
+    # the run's texts, not their path, name the model: a table that changed is fitted anew
+    content = source.agg(F.count(F.lit(1)), F.sum(F.xxhash64("essay_id", "essay_set", "essay").cast("decimal(38,0)"))).first()
+    key = (spark.sparkContext.applicationId, *content, k, test_fraction)
     if key not in _MODELS:
         texts = lemmatised_texts(spark, sf)
         vocab = _vocab(texts, test_fraction)
         terms = [r["term"] for r in vocab.orderBy(F.desc("tf"), F.asc("term")).collect()]
         docs = texts.select("essay_id", "essay_set", V.vectorizer_terms("lemmatised", STOPS).alias("terms"))
-        cols = ["essay_id", "essay_set", "features"]
+        cols = ["essay_id", "essay_set"]
         if test_fraction is not None:
             docs = docs.withColumn("part", F.when(S.in_test("essay_id", test_fraction, TRAIN_SALT), "test")
                                    .otherwise("train"))
             cols.append("part")
         # written once to the shared folder: every step of the fit reads these rows, nothing stays pinned in memory
-        docs = checkpointed(V.count_vector_model(terms, "terms", "features").transform(docs).select(*cols))
+        docs = checkpointed(lda.count_rows(docs, "terms", terms, cols))
         fit_on = docs if test_fraction is None else docs.filter(F.col("part") == "train")
-        model = TP.fit_lda(fit_on, k)
-        _MODELS[key] = (terms, docs, model)
+        _MODELS[key] = (terms, docs, TP.fit_lda(fit_on, k, len(terms)))
     return _MODELS[key]
 
 
@@ -89,7 +92,7 @@ def topic_top15_k2(spark, sf):
 def topic_perplexity(spark, sf):
     """ML9: log perplexity bound per token of the models with 8, 5 and 2 topics."""
     fits = [(k, lda_fit(spark, sf, k)) for k in (8, 5, 2)]
-    rows = [(k, float(TP.log_perplexity(model, docs.select("features")))) for k, (_, docs, model) in fits]
+    rows = [(k, float(model.log_perplexity())) for k, (_, _, model) in fits]
     return spark.createDataFrame(rows, "k int, log_perplexity double").select("k", r6("log_perplexity", "log_perplexity"))
 
 

@@ -79,7 +79,7 @@ def test_collisions_come_apart():
     words, same = list(numbers), np.full(len(numbers), 9, np.uint64)
     frequent = np.unique(np.concatenate([C.fingerprints(ids, same, n, len(ids))[1] for n in (1, 2, 3)]))
     assert len(frequent) == 3
-    got = {p.decode(): n for p, _, n in C.verified(ids, words, len(ids), 3, frequent, same)}
+    got = {p.decode(): n for _, phrases, counts in C.verified(ids, words, len(ids), 3, frequent, same) for p, n in zip(phrases, counts.tolist())}
     assert got == {"a": 3, "b": 3, "c": 3, "a b": 2, "b a": 1, "c c": 2, "c c c": 1}
 
 
