@@ -61,7 +61,7 @@ def bounded_vocabulary(stats: DataFrame, n_docs: int, max_terms: int,
 
 
 #: A level's frequent terms are told to the scans if they are no more than so many times the vocabulary's size.
-TOLD = 16
+TOLD = 2
 
 
 def _cut_classes(tf: DataFrame, by: list[str], max_terms: int) -> DataFrame:
