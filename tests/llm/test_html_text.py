@@ -1,5 +1,8 @@
 """Operator 10 on hand-made pages."""
 
+import random
+import time
+
 from essayspark.llm.html_text import extract, host, main_text
 
 ARTICLE = "<article><h1>Title &amp; more</h1><p>One <b>bo</b>ld<br>line<p>Two &lt;x&gt; &eacute;<div class='ad'>Buy</div><ul><li>a<li>b</ul></article>"
@@ -25,7 +28,7 @@ def test_malformed_pages():
     assert text("<p>a</div><p>b</span> c<table><tr><td>d<td>e</table>f") == "a\nb c\nd\ne\nf"
     assert text("<article><p>unclosed <b>x") == "unclosed x"
     assert text("<article><p>a < b && c</p><script>never closed") == "a < b && c"
-    assert extract(None) == extract("") == ([], [], [])
+    assert extract(None) == extract("") == ([], [], [], [])
     assert extract("just text")[0] == ["just text"]
 
 
@@ -57,3 +60,70 @@ def test_copies_are_no_recurrence_and_large_hosts_have_templates(spark):
 def test_host():
     assert host("https://User@Www.Example.com:80/a?b#c") == "www.example.com"
     assert host(None) is host("") is host("no url") is None
+
+
+def test_tags_end_as_in_html():
+    assert text("<p class=it's>hello</p>") == "hello"
+    assert text("<p title=\"a > b\" x='>'>c</p><p a=/x/>d") == "c\nd"
+    assert text("<!--><p>a<!-- <p>b --><![x[<p>c]]>d<?y?></p>") == "ac]]>d"
+    assert text("<SCRIPT>'</scripty>' < 1</SCRIPT >xİ<style>İ</STYLE><p>y") == "xİ\ny"
+    assert text("<b><div>one</b> two</div>") == "one two"
+    assert extract("<p>a<p b='c")[0] == ["a"]
+
+
+def test_time_is_linear_on_hostile_pages():
+    n = 60_000
+    hostile = ["<a b=\"x ' " * n, "<b " * n, "<!" * n, "<a x='>' " * n, "<div><b>" * n + "</i>" * n, "<p><b>" + "<b>" * n + "</i></u>" * n,
+               "<li><div>" + "<b>" * n + "<li>" * n, "<thead>" * n + "<li>" * n, "<div>x" * n, "<script>" * n, "<!--" * n,
+               "<p " + "a " * n + " " * n + ">z", "<option><dt>" * n]
+    for p in hostile:
+        started = time.process_time()
+        extract(p)
+        assert time.process_time() - started < 10, p[:40]
+
+
+def test_only_whole_class_words_mark_an_element():
+    for word in ("site no-sidebar", "page has-sidebar", "header-fixed", "adverse", "commentary"):
+        assert text(f"<div class='{word}'><h1>Title</h1><p>main text</p></div>") == "Title\nmain text", word
+    for word in ("ad", "x sidebar", "site-footer", "main_nav", "comment-list", "cookie-banner", "Newsletter"):
+        assert text(f"<div class='{word}'><p>not this</p></div><p>main text</p>") == "main text", word
+    assert text("<article><p class='notice'>kept</p><p class='ad'>not this</p><div class='notice'>nor this</div></article>") == "kept"
+
+
+def test_main_element_needs_half_of_the_text(spark):
+    teaser = "<div class=box><article><p>teaser</p></article></div>"
+    story = "".join(f"<p>long main text {i}</p>" for i in range(9))
+    rows = [(1, "http://a.org/1", page(f"<div id=story>{story}</div>{teaser}")), (2, "http://a.org/2", page(f"<article>{story}</article><p>aside</p>")),
+            (3, None, page(f"<article>{story}</article><div>aside</div>"))]
+    # text outside that recurs is template and counts for nothing
+    rows += [(10 + i, f"http://b.org/{i}", page(f"<article><p>own {i}</p></article><div>{story}</div>")) for i in range(5)]
+    got = {r.page_id: r.text for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    lines = "\n".join(f"long main text {i}" for i in range(9))
+    assert got == {1: lines + "\nteaser", 2: lines, 3: lines} | {10 + i: f"own {i}" for i in range(5)}
+
+
+def brute(pages, min_pages=5):
+    """Texts by counting, for every element that holds a block, the different pages of its host that contain it."""
+    parsed = [(u and host(u), extract(h)) for u, h in pages]
+    out = []
+    for name, (blocks, holders, inside, _) in parsed:
+        others = {tuple(p[3]) for n, p in parsed if name is not None and n == name}
+        left = [(b, i) for b, h, i in zip(blocks, holders, inside) if sum(h in o for o in others) < min_pages or h is None]
+        main = [b for b, i in left if i]
+        out.append("\n".join(main if 2 * sum(map(len, main)) >= sum(len(b) for b, _ in left) else [b for b, _ in left]))
+    return out
+
+
+def test_equals_brute_force(spark):
+    draw = random.Random(3)
+    pieces = ["<div><p>menu {0}</p></div>", "<article><p>text {1}</p><div>box {0}</div></article>", "<p>line {0}</p>", "<ul><li>{1}<li>{0}</ul>",
+              "<section><div>{0}<p>{1}</p></div></section>"]
+    pages = []
+    for i in range(120):
+        body = "".join(draw.choice(pieces).format(draw.randrange(3), f"own {draw.randrange(60)}") for _ in range(draw.randrange(6)))
+        pages.append((draw.choice(["http://a.org/x", "http://b.org/y", None]), page(body)))
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pages)], "page_id long, url string, html string").repartition(4)
+    got = dict((r.page_id, r.text) for r in main_text(df).collect())
+    want = brute(pages)
+    assert got == dict(enumerate(want))
+    assert want != brute(pages, 10**6)  # recurrence decides
