@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 from essayspark.llm.common import written
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """``edges``: columns a, b (long).  Returns v, root for every vertex of a link to
+def components(edges: DataFrame) -> DataFrame:
+    """``edges``: columns a, b (long); rounds go on until none changes an edge.  Returns v, root for every vertex of a link to
     another one: root is the smallest vertex of its component."""
     u, v = F.col("u"), F.col("v")
     state = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter(u != v).distinct())
     before = None
-    for _ in range(max_rounds):
+    while True:
         now = state.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before or not now[0]:
             break

@@ -3,8 +3,8 @@
 Voters are lexicons and patterns: whole words and word beginnings.  Those that go
 with the toxic label are found by counting, over the labelled training rows,
 how many documents of either class hold each word or beginning; a general list of
-insults is one more voter.  The found entries are dealt to ``voters`` lexicons, so no
-voter rests on one word.
+insults is one more voter.  Entries that a surer beginning covers are left out, the ``entries`` surest of the others
+(the model's size) are dealt to ``voters`` lexicons, so no voter rests on one word.
 
 Each voter fires or not on every document of the corpus.  Spark counts the
 patterns of votes (at most 2^voters rows) over all documents, and a generative
@@ -106,15 +106,24 @@ def choose_voters(docs: DataFrame, labels: DataFrame, voters: int = VOTERS, entr
     odds = F.log((a + 0.5) / (totals["a"] + 1)) - F.log((b + 0.5) / (totals["b"] + 1))
     # the lower end of the log odds: a surely toxic entry is frequent as well
     sure = odds - 2 * F.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
-    found = (entry_counts(docs, labels).filter(a >= min_support).withColumn("sure", sure).filter(F.col("sure") > MIN_LOG_ODDS)
-             .orderBy(F.desc("sure"), "entry").limit(entries).collect())
-    kept: list[str] = []
-    for r in found:  # a word that a chosen beginning covers is no further witness
-        if not any(k.endswith("*") and r["entry"].startswith(k[:-1]) for k in kept):
-            kept.append(r["entry"])
+    found = written(entry_counts(docs, labels).filter(a >= min_support).withColumn("sure", sure).filter(F.col("sure") > MIN_LOG_ODDS)
+                    .select("entry", "sure"))
+    kept = [r["entry"] for r in uncovered(found).orderBy(F.desc("sure"), "entry").limit(entries).collect()]
     return [kept[k::voters] for k in range(voters) if kept[k::voters]] + [list(INSULTS)]
 
 
+def uncovered(found: DataFrame) -> DataFrame:
+    """Of ``found`` (entry, sure) the entries that no surer beginning covers (equally sure: the first in order): a word
+    that a chosen beginning finds is no further witness."""
+    begins = found.filter(F.col("entry").endswith("*")).select(F.expr("left(entry, length(entry) - 1)").alias("beginning"), F.col("sure").alias("s"),
+                                                              F.col("entry").alias("e"))
+    bare = F.rtrim(F.col("entry"), F.lit("*"))
+    beginnings = F.filter(F.array(*[F.when(F.length(bare) >= k, F.substring(bare, 1, k)) for k in BEGINNINGS]), lambda x: x.isNotNull())
+    covered = (found.select("entry", "sure", F.explode(beginnings).alias("beginning")).join(begins, "beginning")
+               .filter((F.col("s") > F.col("sure")) | ((F.col("s") == F.col("sure")) & (F.col("e") < F.col("entry")))).select("entry").distinct())
+    return found.join(covered, "entry", "left_anti")
+
+
 class Hits:
     """Counts the words of a text that each lexicon holds (a word counts once per lexicon)."""
 
@@ -231,8 +240,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, column: str = "toxic", max_
     votes = F.transform("hits", lambda h: (h > 0).cast("int"))
     # at most 2^voters patterns, counted with a partial count in every task
     table = got.groupBy(votes.alias("v")).count().collect()
-    # at most max_labelled ids; repeated rows of an id teach once
-    one = F.first(F.struct("n_words", "hits")).alias("h")
+    # at most max_labelled ids; repeated rows of an id teach once, by the text with fewest words, then hits
+    one = F.min(F.struct("n_words", "hits")).alias("h")
     taught = got.join(F.broadcast(train), "doc_id").groupBy("doc_id", "y").agg(one).select("h.*", "y").toPandas()
     w = np.zeros(2 * len(lexicons) + 3)
     w[-1], w[-2] = -3.0, 6.0

@@ -1,6 +1,7 @@
 """Operators 4, 6, 7 and 8: exact parts against brute force, learnt parts on held-out rows."""
 
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from essayspark.llm import lm, quality_model, quality_rules, toxicity
 from essayspark.llm.common import remainder, table
+from essayspark.llm.toxicity import BEGINNINGS, uncovered
 
 SF01 = "/root/testdata/sf0.01"
 SF1 = "/root/testdata/sf0.1"
@@ -162,3 +164,16 @@ def test_harmless_rows_stay_with_all_columns(frame, spark):
     kept = toxicity.keep_harmless(docs, labels)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == sorted([*range(40), 7])
+
+def test_covered_entries_go_before_the_bound(spark):
+    """The same entries as going through them by certainty, one by one."""
+    draw = random.Random(5)
+    words = ["".join(draw.choice("ab") for _ in range(draw.randrange(3, 11))) for _ in range(150)]
+    entries = sorted({w for w in words} | {w[:k] + "*" for w in words for k in BEGINNINGS if len(w) > k})
+    sure = {e: float(draw.randrange(4)) for e in entries}
+    kept = []
+    for e in sorted(entries, key=lambda e: (-sure[e], e)):
+        if not any(k.endswith("*") and e.startswith(k[:-1]) for k in kept):
+            kept.append(e)
+    got = uncovered(spark.createDataFrame(list(sure.items()), "entry string, sure double").repartition(3))
+    assert sorted(r.entry for r in got.collect()) == sorted(kept)
