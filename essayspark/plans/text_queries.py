@@ -10,8 +10,11 @@ from essayspark.functions import patterns as P
 from essayspark.functions import text as T
 from essayspark.functions.patterns import sql_str as q
 from essayspark.operators import features as FT
+from essayspark.operators import edits as ED
 from essayspark.operators import grammar as G
+from essayspark.operators import lemmas as LM
 from essayspark.plans.registry import r6, r6_sql, register
+from essayspark.session import checkpointed
 from essayspark.sources.tables import ESSAYS_SQL, attach_scores, essay_texts, essays, table
 
 E = "essay"
@@ -181,6 +184,33 @@ def grammar_rules(spark, sf):
     return G.check(essay_texts(spark, sf).select("essay_id", E)).drop(E)
 
 
+# ------------------------------------------------------------------ grammar_edits
+_PIECES = ED.pieces_sql(ESSAYS_SQL)
+
+
+@register("grammar_edits", f"""
+SELECT essay_id, CAST(start AS BIGINT) AS "offset",
+       CAST(CASE rule WHEN 'double_word' THEN length(w) + length(after) WHEN 'sentence_start' THEN 1 ELSE length(w) END AS BIGINT) AS "length",
+       replacement, rule
+FROM ({_PIECES}) WHERE rule <> 'removed'
+""")
+def grammar_edits(spark, sf):
+    """Every correction as a span and its replacement."""
+    return ED.edits(essay_texts(spark, sf))
+
+
+@register("grammar_corrected", f"""
+SELECT e.essay_id, CAST(coalesce(n, 0) AS BIGINT) AS n_edits, CASE WHEN e.essay IS NOT NULL THEN coalesce(t, '') END AS corrected
+FROM {ESSAYS_SQL} e LEFT JOIN (
+  SELECT essay_id, count(*) FILTER (WHERE rule <> 'removed') AS n,
+         string_agg(CASE WHEN rule IS NULL THEN w WHEN rule = 'sentence_start' THEN replacement || substr(w, 2) ELSE replacement END, '' ORDER BY i) AS t
+  FROM ({_PIECES}) GROUP BY essay_id) c ON c.essay_id = e.essay_id
+""")
+def grammar_corrected(spark, sf):
+    """Texts with all edits applied, doubled words and sentence starts included."""
+    return ED.corrected(essay_texts(spark, sf))
+
+
 # ------------------------------------------------------------------ dictionary + spelling
 _DICT_SQL = (f"SELECT word, CAST(count(*) AS BIGINT) AS n FROM "
              f"(SELECT unnest(regexp_extract_all(lower(text), {q(P.ALPHA_TOKEN)}, 1)) AS word FROM benchmark) "
@@ -276,6 +306,45 @@ def lemmatised_text(spark, sf):
     return FT.with_pos_lemmas(essay_texts(spark, sf).select("essay_id", E), E, ["lemmatised"]).drop(E)
 
 
+# ------------------------------------------------------------------ attested lemmas
+_ATTESTED = LM.lemma_table_sql(f"SELECT unnest({T.alnum_tokens_sql(E)}) AS t FROM {ESSAYS_SQL} e", _DICT_SQL)
+_ATTESTED_TOKENS = f"""
+SELECT t.essay_id, t.i, a.lemma
+FROM (SELECT essay_id, lower(unnest(ts)) AS word, generate_subscripts(ts, 1) AS i
+      FROM (SELECT essay_id, {T.alnum_tokens_sql(E)} AS ts FROM {ESSAYS_SQL} e)) t JOIN ({_ATTESTED}) a ON a.word = t.word
+"""
+
+
+def _attested(spark, sf):
+    texts = essay_texts(spark, sf).select("essay_id", E)
+    return texts, checkpointed(LM.lemma_table(texts, FT.dictionary_counts(table(spark, sf, "benchmark"), "text"), E))
+
+
+@register("attested_lemmas", _ATTESTED)
+def attested_lemmas(spark, sf):
+    """T8 + S4: every word's tag and lemma; a lemma is a word of the dictionary, or the word itself."""
+    texts = essay_texts(spark, sf).select("essay_id", E)
+    return LM.lemma_table(texts, FT.dictionary_counts(table(spark, sf, "benchmark"), "text"), E)
+
+
+@register("attested_lemma_count", f"""
+SELECT e.essay_id, CAST(count(DISTINCT a.lemma) AS BIGINT) AS lemma_count
+FROM {ESSAYS_SQL} e LEFT JOIN ({_ATTESTED_TOKENS}) a ON a.essay_id = e.essay_id GROUP BY e.essay_id
+""")
+def attested_lemma_count(spark, sf):
+    """T8 + A10: distinct attested lemmas per essay."""
+    return LM.lemma_counts(*_attested(spark, sf))
+
+
+@register("attested_lemmatised_text", f"""
+SELECT e.essay_id, coalesce(string_agg(a.lemma, ' ' ORDER BY a.i), '') AS lemmatised
+FROM {ESSAYS_SQL} e LEFT JOIN ({_ATTESTED_TOKENS}) a ON a.essay_id = e.essay_id GROUP BY e.essay_id
+""")
+def attested_lemmatised_text(spark, sf):
+    """Each token replaced by its attested lemma."""
+    return LM.lemmatised(*_attested(spark, sf))
+
+
 # ------------------------------------------------------------------ ten_features
 _TEN_SQL = f"""
 WITH {_tagged_sql()},
