@@ -14,7 +14,7 @@ from essayspark.operators import edits as ED
 from essayspark.operators import grammar as G
 from essayspark.operators import lemmas as LM
 from essayspark.plans.registry import r6, r6_sql, register
-from essayspark.session import checkpointed
+from essayspark.session import written
 from essayspark.sources.tables import ESSAYS_SQL, attach_scores, essay_texts, essays, table
 
 E = "essay"
@@ -317,7 +317,7 @@ FROM (SELECT essay_id, lower(unnest(ts)) AS word, generate_subscripts(ts, 1) AS
 
 def _attested(spark, sf):
     texts = essay_texts(spark, sf).select("essay_id", E)
-    return texts, checkpointed(LM.lemma_table(texts, FT.dictionary_counts(table(spark, sf, "benchmark"), "text"), E))
+    return texts, written(LM.lemma_table(texts, FT.dictionary_counts(table(spark, sf, "benchmark"), "text"), E))
 
 
 @register("attested_lemmas", _ATTESTED)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -95,3 +96,11 @@ def checkpointed(df):
     instead of recomputing what produced them)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df):
+    """As ``checkpointed``, but as a Parquet table in that folder: its size in bytes is the files', so the planner
+    broadcasts it in a join only while it is small."""
+    path = scratch_path(df.sparkSession, f"rows-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
