@@ -19,6 +19,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,8 @@ from essayspark.operators.tree_sum import n_tasks, tree_sum
 
 #: Term entries of the documents that are updated together.
 SLICE = 200_000
+#: Numbers (documents x terms x topics) of a block that is updated by one product; 2 MB.
+BLOCK = 1 << 18
 INNER_STEPS, INNER_CHANGE = 200, 1e-5
 _SHIFT = 8
 
@@ -34,10 +37,13 @@ _SHIFT = 8
 def digamma(x: np.ndarray) -> np.ndarray:
     """Derivative of log gamma for positive numbers: the recurrence up to 8, then the asymptotic series."""
     x = np.asarray(x, np.float64)
-    low = sum(1.0 / (x + i) for i in range(_SHIFT))
+    # the eight terms 1 / (x + i) in pairs of i and 7 - i, by u = x (x + 7), and these in pairs again
+    u = x * (x + 7)
+    low = (2 * x + 7) * ((2 * u + 12) / (u * (u + 12)) + (2 * u + 16) / ((u + 6) * (u + 10)))
     y = x + _SHIFT
-    z = 1.0 / (y * y)
-    return np.log(y) - 0.5 / y - z * (1 / 12 - z * (1 / 120 - z * (1 / 252 - z * (1 / 240 - z * (1 / 132 - z * 691 / 32760))))) - low
+    r = 1.0 / y
+    z = r * r
+    return np.log(y) - 0.5 * r - z * (1 / 12 - z * (1 / 120 - z * (1 / 252 - z * (1 / 240 - z * (1 / 132 - z * 691 / 32760))))) - low
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -54,45 +60,62 @@ def expected_log(weights: np.ndarray) -> np.ndarray:
     return digamma(weights) - digamma(weights.sum(-1, keepdims=True))
 
 
-def infer(idx: list, cnt: list, exp_beta: np.ndarray, alpha: float, steps: int = INNER_STEPS, change: float = INNER_CHANGE):
-    """Topic weights of some documents, and for each (document, term) entry: document, term, count, and the
-    inverse of its normaliser."""
-    k = exp_beta.shape[0]
-    n = len(idx)
-    lens = np.array([len(i) for i in idx], np.int64)
-    term = np.concatenate([np.asarray(i, np.int64) for i in idx]) if lens.sum() else np.zeros(0, np.int64)
-    count = np.concatenate([np.asarray(c, np.float64) for c in cnt]) if lens.sum() else np.zeros(0)
-    doc = np.repeat(np.arange(n), lens)
-    beta = exp_beta.T[term]  # entries x topics
+def infer(lens: np.ndarray, term: np.ndarray, count: np.ndarray, exp_beta: np.ndarray, alpha: float, steps: int = INNER_STEPS,
+          change: float = INNER_CHANGE) -> tuple[np.ndarray, np.ndarray]:
+    """Topic weights of some documents, and the exponents of their expected logarithms.
+
+    ``lens``: terms of each document; ``term`` and ``count`` hold them one document after the other.  Documents of like length are
+    laid side by side in blocks of about ``BLOCK`` numbers, which stay in the processor's cache and need two
+    batched products a step.  A settled document's weights are final whatever its block goes on with."""
+    k, n = exp_beta.shape[0], len(lens)
     gamma = np.ones((n, k))
     gamma[lens == 0] = alpha
     theta = np.exp(expected_log(gamma))
-    open_ = lens > 0
-    at, entry_doc, entry_count, entry_beta = np.flatnonzero(open_), doc, count, beta
-    for _ in range(steps):
-        if not len(at):
-            break
-        place = np.cumsum(open_) - 1  # document -> its place among the open ones
-        norm = np.einsum("ek,ek->e", theta[entry_doc], entry_beta) + 1e-100
-        first = np.flatnonzero(np.diff(place[entry_doc], prepend=-1))
-        new = alpha + theta[at] * np.add.reduceat(entry_beta * (entry_count / norm)[:, None], first)
-        moved = np.abs(new - gamma[at]).mean(1)
-        gamma[at] = new
-        theta[at] = np.exp(expected_log(new))
-        still = moved >= change
-        if not still.all():
-            open_[at[~still]] = False
-            keep = open_[entry_doc]
-            at, entry_doc, entry_count, entry_beta = at[still], entry_doc[keep], entry_count[keep], entry_beta[keep]
-    norm = np.einsum("ek,ek->e", theta[doc], beta) + 1e-100
-    return gamma, theta, (doc, term, count, norm)
-
-
-def _slices(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
-    size = batch["idx"].map(len).to_numpy()
-    group = np.cumsum(size) // SLICE
-    for g in np.unique(group):
-        yield batch[group == g]
+    first = np.cumsum(lens) - lens
+    order = np.argsort(lens, kind="stable")
+    order = order[lens[order] > 0]
+    size, beta, at = lens[order], np.ascontiguousarray(exp_beta.T), 0
+    while at < len(order):
+        longest = max(size[at] + 16, size[at] * 3 // 2)  # padding costs less than many small blocks
+        end = min(int(np.searchsorted(size, longest, "right")), at + max(1, BLOCK // int(longest * k)))
+        some, at = order[at:end], end
+        places = np.arange(int(lens[some].max()))
+        pos = first[some][:, None] + places
+        real = places < lens[some][:, None]
+        pos[~real] = 0
+        c, b = np.where(real, count[pos], 0.0), beta[term[pos]]  # documents x places, documents x places x topics
+        g, t = gamma[some], theta[some]
+        live = np.ones(len(some), bool)
+        for _ in range(steps):
+            norm = (b @ t[:, :, None])[:, :, 0] + 1e-100
+            new = alpha + t * ((c / norm)[:, None, :] @ b)[:, 0]
+            moved = np.abs(new - g).mean(1)
+            g, t = new, np.exp(expected_log(new))
+            settled = live & (moved < change)
+            if settled.any():
+                gamma[some[settled]], theta[some[settled]] = g[settled], t[settled]
+                live &= ~settled
+                left = int(live.sum())
+                if not left:
+                    break
+                if left <= 0.8 * len(live):
+                    some, c, b, g, t = some[live], c[live], b[live], g[live], t[live]
+                    live = np.ones(left, bool)
+        gamma[some[live]], theta[some[live]] = g[live], t[live]
+    return gamma, theta
+
+
+def _slices(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Runs of a batch's documents of about ``SLICE`` entries: first and next document, lengths, terms, counts."""
+    idx, cnt = batch.column("idx"), batch.column("cnt")
+    lens = np.diff(idx.offsets.to_numpy()).astype(np.int64)
+    term, count = idx.flatten().to_numpy(), cnt.flatten().to_numpy()  # no document's idx or cnt is null
+    ends = np.cumsum(lens)
+    cuts = np.flatnonzero(np.diff(ends // SLICE)) + 1
+    for a, b in zip([0, *cuts], [*cuts, len(lens)]):
+        if b > a:
+            at = slice(int(ends[a] - lens[a]), int(ends[b - 1]))
+            yield int(a), int(b), lens[a:b], term[at], count[at]
 
 
 @dataclass
@@ -121,14 +144,15 @@ class TopicModel:
         """keys and ``shares``: the topic shares of every document."""
         exp_beta, alpha = self.exp_beta, self.alpha
 
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for some in _slices(batch):
-                    gamma, *_ = infer(list(some["idx"]), list(some["cnt"]), exp_beta, alpha)
-                    yield some[keys].assign(shares=list(gamma / gamma.sum(1, keepdims=True)))
+                for a, b, lens, term, count in _slices(batch):
+                    gamma, _ = infer(lens, term, count, exp_beta, alpha)
+                    shares = pa.array(list(gamma / gamma.sum(1, keepdims=True)), pa.list_(pa.float64()))
+                    yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in keys), shares], [*keys, "shares"])
 
         kinds = dict(docs.dtypes)
-        return docs.select(*keys, "idx", "cnt").mapInPandas(run, ", ".join(f"`{c}` {kinds[c]}" for c in keys) + ", shares array<double>")
+        return docs.select(*keys, "idx", "cnt").mapInArrow(run, ", ".join(f"`{c}` {kinds[c]}" for c in keys) + ", shares array<double>")
 
     def topic_terms(self, spark: SparkSession, vocabulary: list[str]) -> DataFrame:
         """(topic, term, w): the weights, a table of topics x terms rows."""
@@ -148,12 +172,15 @@ def topic_bound(weights: np.ndarray, eta: float) -> float:
                  + (log_gamma(np.array(eta * terms)) - log_gamma(weights.sum(1))).sum())
 
 
-def step_message(idx: list, cnt: list, exp_beta: np.ndarray, alpha: float) -> np.ndarray:
+def step_message(lens: np.ndarray, term: np.ndarray, count: np.ndarray, exp_beta: np.ndarray, alpha: float) -> np.ndarray:
     """Of some documents: topics x terms statistics, then the bound's part and the tokens."""
     k, terms = exp_beta.shape
-    gamma, theta, (doc, term, count, norm) = infer(idx, cnt, exp_beta, alpha)
+    gamma, theta = infer(lens, term, count, exp_beta, alpha)
+    doc = np.repeat(np.arange(len(lens)), lens)
+    spread = [theta[doc, t] for t in range(k)]
+    norm = sum(spread[t] * exp_beta[t, term] for t in range(k)) + 1e-100
     share = count / norm
-    stats = np.stack([np.bincount(term, theta[doc, t] * share, terms) for t in range(k)]) * exp_beta
+    stats = np.stack([np.bincount(term, spread[t] * share, terms) for t in range(k)]) * exp_beta
     e = expected_log(gamma)
     bound = (count * np.log(norm)).sum() + ((alpha - gamma) * e).sum() + (log_gamma(gamma) - log_gamma(np.array(alpha))).sum() \
         + (log_gamma(np.array(alpha * k)) - log_gamma(gamma.sum(1))).sum()
@@ -177,16 +204,17 @@ def fit(docs: DataFrame, k: int, terms: int, max_iter: int = 30, seed: int = 7,
     for step in range(1, max_iter + 1):
         exp_beta = model.exp_beta
 
-        def run(batches: Iterator[pd.DataFrame], exp_beta=exp_beta) -> Iterator[pd.DataFrame]:
+        def run(batches: Iterator[pa.RecordBatch], exp_beta=exp_beta) -> Iterator[pa.RecordBatch]:
             total = None
             for batch in batches:
-                for some in _slices(batch):
-                    new = step_message(list(some["idx"]), list(some["cnt"]), exp_beta, alpha)
+                for _, _, *some in _slices(batch):
+                    new = step_message(*some, exp_beta, alpha)
                     total = new if total is None else total + new
             if total is not None:
-                yield pd.DataFrame({"one": [0], "node": [TaskContext.get().partitionId()], "sums": [total.tobytes()]})
+                yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([TaskContext.get().partitionId()], pa.int32()),
+                                                  pa.array([total.tobytes()], pa.binary())], ["one", "node", "sums"])
 
-        sums = tree_sum(rows.mapInPandas(run, "one int, node int, sums binary"), ["one"], add, tasks).collect()
+        sums = tree_sum(rows.mapInArrow(run, "one int, node int, sums binary"), ["one"], add, tasks).collect()
         total = sum((np.frombuffer(r["sums"]) for r in sums), np.zeros(k * terms + 2))
         model.bounds.append(float(total[-2]) + topic_bound(model.weights, eta))
         model.tokens = float(total[-1])

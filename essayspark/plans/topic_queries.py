@@ -19,6 +19,7 @@ from essayspark.session import checkpointed
 from essayspark.sources.tables import essay_texts
 
 K_TOPICS = 8
+_VECTORS: dict = {}
 _MODELS: dict = {}
 
 
@@ -31,11 +32,25 @@ def lemmatised_texts(spark, sf):
     return FT.with_pos_lemmas(texts, "essay", ["lemmatised"]).drop("essay")
 
 
-def _vocab(texts, test_fraction: float | None):
+def _vocab(docs, test_fraction: float | None):
     """The bounded vocabulary of all texts, or of the training texts only."""
     if test_fraction is not None:
-        texts = S.train_test(texts, "essay_id", test_fraction, TRAIN_SALT)[0]
-    return V.bounded_vocabulary(V.term_stats(texts, V.vectorizer_terms("lemmatised", STOPS)), texts.count(), TOPIC_VOCAB, MIN_DF, MAX_DF)
+        docs = S.train_test(docs, "essay_id", test_fraction, TRAIN_SALT)[0]
+    return V.bounded_vocabulary(V.term_stats(docs, F.col("terms")), docs.count(), TOPIC_VOCAB, MIN_DF, MAX_DF)
+
+
+def _vectors(spark, sf, test_fraction: float | None):
+    """The vocabulary's terms and the count vectors of every text, which do not depend on the number of topics."""
+    # the terms are written once: the vocabulary, its number of texts and the vectors read them, and no text is lemmatised twice
+    texts = checkpointed(lemmatised_texts(spark, sf).select("essay_id", "essay_set", V.vectorizer_terms("lemmatised", STOPS).alias("terms")))
+    terms = [r["term"] for r in _vocab(texts, test_fraction).orderBy(F.desc("tf"), F.asc("term")).collect()]
+    cols = ["essay_id", "essay_set"]
+    if test_fraction is not None:
+        texts = texts.withColumn("part", F.when(S.in_test("essay_id", test_fraction, TRAIN_SALT), "test")
+                                 .otherwise("train"))
+        cols.append("part")
+    # written once to the shared folder: every step of the fit reads these rows, nothing stays pinned in memory
+    return terms, checkpointed(lda.count_rows(texts, "terms", terms, cols))
 
 
 def lda_fit(spark, sf, k: int = K_TOPICS, test_fraction: float | None = None):
@@ -49,22 +64,14 @@ def lda_fit(spark, sf, k: int = K_TOPICS, test_fraction: float | None = None):
     source = essay_texts(spark, sf)
     # the run's texts, not their path, name the model: a table that changed is fitted anew
     content = source.agg(F.count(F.lit(1)), F.sum(F.xxhash64("essay_id", "essay_set", "essay").cast("decimal(38,0)"))).first()
-    key = (spark.sparkContext.applicationId, *content, k, test_fraction)
-    if key not in _MODELS:
-        texts = lemmatised_texts(spark, sf)
-        vocab = _vocab(texts, test_fraction)
-        terms = [r["term"] for r in vocab.orderBy(F.desc("tf"), F.asc("term")).collect()]
-        docs = texts.select("essay_id", "essay_set", V.vectorizer_terms("lemmatised", STOPS).alias("terms"))
-        cols = ["essay_id", "essay_set"]
-        if test_fraction is not None:
-            docs = docs.withColumn("part", F.when(S.in_test("essay_id", test_fraction, TRAIN_SALT), "test")
-                                   .otherwise("train"))
-            cols.append("part")
-        # written once to the shared folder: every step of the fit reads these rows, nothing stays pinned in memory
-        docs = checkpointed(lda.count_rows(docs, "terms", terms, cols))
+    key = (spark.sparkContext.applicationId, *content, test_fraction)
+    if key not in _VECTORS:
+        _VECTORS[key] = _vectors(spark, sf, test_fraction)
+    terms, docs = _VECTORS[key]
+    if (key, k) not in _MODELS:
         fit_on = docs if test_fraction is None else docs.filter(F.col("part") == "train")
-        _MODELS[key] = (terms, docs, TP.fit_lda(fit_on, k, len(terms)))
-    return _MODELS[key]
+        _MODELS[key, k] = TP.fit_lda(fit_on, k, len(terms))
+    return terms, docs, _MODELS[key, k]
 
 
 @register("topic_words")
