@@ -37,6 +37,8 @@ ROWS_PER_BLOCK = 4096
 BLOCK_VALUES = 1 << 23
 # Values of either side that the exact re-ranking of candidates copies at a time (8 MB).
 SLICE_VALUES = 1 << 20
+# Distances of a block pair that are held at a time (8 MB); their temporaries are as large.
+PAIRS = 1 << 20
 
 
 def rows_per_block_for(dim: int) -> int:
@@ -91,32 +93,36 @@ def _block_topk(k: int, qkey: str, tkey: str, vec: str, label: str, keys: list[s
             return pd.DataFrame(empty)[cols]
         Q = _matrix(qp, vec, sparse)
         T = _matrix(tp, vec, sparse)
-        # fast approximate distances (BLAS), used only to find candidates
-        approx = (np.einsum("ij,ij->i", Q, Q)[:, None] + np.einsum("ij,ij->i", T, T)[None, :]
-                  - 2.0 * (Q @ T.T))
-        if qfold is not None:
-            same = qp[qfold].to_numpy()[:, None] == tp[tfold].to_numpy()[None, :]
-            approx = np.where(same, np.inf, approx)
-        kk = min(k, T.shape[0])
-        kth = np.partition(approx, kk - 1, axis=1)[:, kk - 1]
-        scale = np.einsum("ij,ij->i", Q, Q)[:, None] + np.einsum("ij,ij->i", T, T)[None, :]
-        margin = 1e-9 * (scale + 1.0)
-        qi, ti = np.nonzero((approx <= kth[:, None] + margin) & np.isfinite(approx))
-        # candidates are re-ranked in slices: many ties must not copy all their vectors at once
-        step = max(1, SLICE_VALUES // Q.shape[1])
-        exact = np.concatenate([_exact_sq(Q[qi[a:a + step]], T[ti[a:a + step]])
-                                for a in range(0, max(len(qi), 1), step)])
-        tk = tp[tkey].to_numpy()[ti]
-        # keep the k smallest (exact distance, training key) per query
-        order = np.lexsort((tk, exact, qi))
-        qi, ti, exact, tk = qi[order], ti[order], exact[order], tk[order]
-        first = np.r_[0, np.flatnonzero(np.diff(qi)) + 1]
-        pos = np.arange(len(qi)) - np.repeat(first, np.diff(np.r_[first, len(qi)]))
-        keep = pos < k
-        qi, ti, exact = qi[keep], ti[keep], exact[keep]
+        q_sq, t_sq = np.einsum("ij,ij->i", Q, Q), np.einsum("ij,ij->i", T, T)
+        kk, t_keys = min(k, T.shape[0]), tp[tkey].to_numpy()
+        found = []
+        # queries take turns, so the distances to a whole block are held for a few of them only
+        turn = max(1, PAIRS // T.shape[0])
+        for at in range(0, Q.shape[0], turn):
+            # fast approximate distances (BLAS), used only to find candidates
+            scale = q_sq[at:at + turn, None] + t_sq[None, :]
+            approx = scale - 2.0 * (Q[at:at + turn] @ T.T)
+            if qfold is not None:
+                approx[qp[qfold].to_numpy()[at:at + turn, None] == tp[tfold].to_numpy()[None, :]] = np.inf
+            kth = np.partition(approx, kk - 1, axis=1)[:, kk - 1]
+            margin = 1e-9 * (scale + 1.0)
+            qi, ti = np.nonzero((approx <= kth[:, None] + margin) & np.isfinite(approx))
+            qi += at
+            # candidates are re-ranked in slices: many ties must not copy all their vectors at once
+            step = max(1, SLICE_VALUES // Q.shape[1])
+            exact = np.concatenate([_exact_sq(Q[qi[a:a + step]], T[ti[a:a + step]])
+                                    for a in range(0, max(len(qi), 1), step)])
+            # keep the k smallest (exact distance, training key) per query
+            order = np.lexsort((t_keys[ti], exact, qi))
+            qi, ti, exact = qi[order], ti[order], exact[order]
+            first = np.r_[0, np.flatnonzero(np.diff(qi)) + 1]
+            pos = np.arange(len(qi)) - np.repeat(first, np.diff(np.r_[first, len(qi)]))
+            keep = pos < k
+            found.append((qi[keep], ti[keep], exact[keep]))
+        qi, ti, exact = (np.concatenate([f[i] for f in found]) for i in range(3))
         out = {c: qp[c].to_numpy()[qi] for c in keys}
         out[qkey] = qp[qkey].to_numpy()[qi]
-        out[tkey] = tp[tkey].to_numpy()[ti]
+        out[tkey] = t_keys[ti]
         out["dist"] = exact
         out[label] = tp[label].to_numpy()[ti]
         return pd.DataFrame(out)[cols]
