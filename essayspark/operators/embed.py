@@ -1,20 +1,24 @@
 """Word vectors and mean vector per text (S3 stand-in, J2, A12, P8).
 
-Token rows are pre-aggregated to (key, word, n) before the lookup join, so
-a word repeated in a text costs one row; the mean is a weighted
-``Summarizer.mean`` per key (a JVM aggregate with partial aggregation), so
-no group's rows are collected anywhere.  Texts without any known word get
+Texts are dealt to blocks of a bounded number, and a word's vector goes once to every block that has the
+word, not once to every text: what is shuffled is the texts' words and one vector per (block, distinct word).
+A block's task averages its texts' vectors with numpy.  Texts without any known word get
 no row (the original's NaN rows, dropped).
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from essayspark.session import ensure_checkpoint_dir
+from essayspark.session import ensure_checkpoint_dir, written
+
+#: Texts whose means one task makes at a time.
+TEXTS_PER_BLOCK = 2048
 
 
 def ranked_words(words: DataFrame, word: str, n_top: int) -> DataFrame:
@@ -57,12 +61,33 @@ def word_vectors(words: DataFrame, word: str, vectors: DataFrame, vec_id: str, v
 def mean_vectors(df: DataFrame, key: str, words: Column, vectors: DataFrame) -> DataFrame:
     """(key, n_known, mean) with ``mean`` a ml Vector: the average of the
     vectors of the text's known words, repeats counted each time."""
-    toks = (df.select(key, F.explode(words).alias("word"))
-            .groupBy(key, "word").agg(F.count(F.lit(1)).alias("__n")))
-    known = toks.join(vectors, "word")
-    return (known.groupBy(key)
-            .agg(F.sum("__n").alias("n_known"),
-                 Summarizer.mean(array_to_vector(F.col("vec")), F.col("__n").cast("double")).alias("mean")))
+    blocks = -(-max(df.count(), 1) // TEXTS_PER_BLOCK)
+    # written once: the texts' words go to their block, and so do those words' vectors
+    texts = written(df.select(F.col(key).alias("key"), words.alias("words"), F.pmod(F.xxhash64(F.col(key), words), F.lit(blocks)).alias("block")))
+    needed = texts.select(F.col("block").alias("at"), F.explode("words").alias("word")).distinct().join(vectors.select("word", "vec"), "word")
+
+    def run(some: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        out: list = []
+        if len(some) and len(known):
+            names, place = np.unique(known["word"].to_numpy().astype(str), return_inverse=True)
+            vec = np.stack(known["vec"].to_numpy()).astype(np.float64)
+            total, times = np.zeros((len(names), vec.shape[1])), np.bincount(place)
+            np.add.at(total, place, vec)  # a word with several vectors counts with each
+            index = pd.Index(names)
+            for k, w in zip(some["key"], some["words"]):
+                at = index.get_indexer(w) if w is not None and len(w) else np.zeros(0, int)
+                at = at[at >= 0]
+                if len(at):
+                    n = int(times[at].sum())
+                    out.append((k, n, total[at].sum(0) / n))
+        return pd.DataFrame(out, columns=["key", "n", "mean"])
+
+    kind = dict(texts.dtypes)["key"]
+    means = texts.groupBy("block").cogroup(needed.groupBy("at")).applyInPandas(run, f"key {kind}, n bigint, mean array<double>")
+    # a key that several texts share has one mean of all their words
+    return (means.groupBy(F.col("key").alias(key))
+            .agg(F.sum("n").alias("n_known"),
+                 Summarizer.mean(array_to_vector(F.col("mean")), F.col("n").cast("double")).alias("mean")))
 
 
 def finite_rows(df: DataFrame, vec: str = "mean") -> DataFrame:

@@ -16,6 +16,7 @@ from essayspark.operators import split as S
 from essayspark.operators import vocab as V
 from essayspark.plans.registry import r6, r6_sql, register
 from essayspark.plans.model_queries import _lineitem_xy
+from essayspark.session import checkpointed
 from essayspark.sources.tables import ESSAYS_SQL, attach_scores, essay_texts, table
 
 STOPS = V.english_stops()
@@ -68,8 +69,8 @@ def vector_regression(spark, sf):
         .filter(F.col("score_norm").isNotNull())
     data = mv.join(scored.select("essay_id", F.col("score_norm").alias("label")), "essay_id") \
              .withColumnRenamed("mean", "features")
+    data = checkpointed(data)  # one narrow row per essay, read by the fit, the predictions and the counts
     tr, te = S.train_test(data, "essay_id", FV.VALIDATION_FRACTION, VALID_SALT)
-    tr = tr.persist()
     model = LN.vector_regressor("label", "features").fit(tr)
     pred = model.transform(te).select("essay_id", "label",
                                       F.greatest(F.col("prediction"), F.lit(0.0)).alias("yhat"))
@@ -79,7 +80,6 @@ def vector_regression(spark, sf):
     summ = pairs.agg(F.count(F.lit(1)).alias("n_test"), M.mse("y", "yhat").alias("mse"),
                      M.mae("y", "yhat").alias("mae"))
     n_train = tr.count()
-    tr.unpersist()
     kv = kappa.collect()[0]["kappa"]  # one number
     return summ.select(F.lit(n_train).cast("bigint").alias("n_train"), "n_test", r6("mse", "mse"),
                       r6("mae", "mae"), r6(F.lit(kv).cast("double"), "kappa"))
