@@ -15,7 +15,7 @@ batches.  Row-local, no shuffle, linear in the text.  A null text has no edits a
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
@@ -32,10 +32,17 @@ NO_BLANK_BEFORE = [",", ".", ";", ":", "!", "?"]
 SENTENCE_ENDS = [".", "!", "?"]
 
 
-@F.pandas_udf(ArrayType(LongType()))
-def _starts(lengths: pd.Series) -> pd.Series:
-    """Running sums that begin with 0."""
-    return lengths.map(lambda n: None if n is None else np.concatenate([[0], np.cumsum(n)])[:-1].astype(np.int64))
+@F.arrow_udf(ArrayType(LongType()))
+def _starts(lengths: pa.Array) -> pa.Array:
+    """Running sums that begin with 0, over a batch's flat values: no Python object per text or piece."""
+    n = lengths.flatten().to_numpy(zero_copy_only=False)  # without those under a null
+    sizes = lengths.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.cumsum(sizes)
+    starts = np.cumsum(n, dtype=np.int64)
+    starts -= n
+    if len(n):
+        starts -= np.repeat(starts[np.minimum(ends - sizes, len(n) - 1)], sizes)
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(starts), mask=lengths.is_null())
 
 
 def _is_word(piece: Column) -> Column:
@@ -51,12 +58,14 @@ def _rule(x: Column) -> Column:
     w, before, before2, after = x["w"], x["b1"], x["b2"], F.coalesce(x["a1"], F.lit(""))
     blank = w.startswith(" ")
     start = (w >= "a") & (w < "{") & ((before == "") | (before.startswith(" ") & before2.isin(*SENTENCE_ENDS)))
-    return (F.when(blank & _same(before, after), F.lit("double_word"))
-            .when(blank & after.isin(*NO_BLANK_BEFORE), F.lit("space_before_punct"))
-            .when(blank & (F.length(w) > 1), F.lit("double_space"))
-            .when(~blank & before.startswith(" ") & _same(before2, w), F.lit("removed"))
-            .when(w == "i", F.lit("lone_i"))
-            .when(start, F.lit("sentence_start")))
+    # a piece is either kind: its first character is looked at once
+    blanks = (F.when(_same(before, after), F.lit("double_word"))
+              .when(after.isin(*NO_BLANK_BEFORE), F.lit("space_before_punct"))
+              .when(F.length(w) > 1, F.lit("double_space")))
+    words = (F.when(before.startswith(" ") & _same(before2, w), F.lit("removed"))
+             .when(w == "i", F.lit("lone_i"))
+             .when(start, F.lit("sentence_start")))
+    return F.when(blank, blanks).otherwise(words)
 
 
 def _replacement(x: Column) -> Column:
