@@ -114,8 +114,16 @@ def pos_tag(word: Column) -> Column:
     # cheap tests first: only a token that starts with a digit sorts before "a", and a suffix
     # is compared before the characters are counted
     rule = rule.when((word < "a") & word.rlike("^[0-9]+$"), F.lit("O"))
-    for suf, tag in SUFFIX_TAGS:
-        rule = rule.when(word.endswith(suf) & (F.length(word) > len(suf) + 2), F.lit(tag))
+    # rules at the end of the list that give the default tag change nothing; the others are tried by the word's last
+    # letter, which keeps their order among those that one word can meet
+    last = max(i for i, (_, tag) in enumerate(SUFFIX_TAGS) if tag != DEFAULT_TAG) + 1
+    by_letter: dict[str, Column] = {}
+    for suf, tag in SUFFIX_TAGS[:last]:
+        cond = word.endswith(suf) & (F.length(word) > len(suf) + 2)
+        got = by_letter.get(suf[-1])
+        by_letter[suf[-1]] = F.when(cond, F.lit(tag)) if got is None else got.when(cond, F.lit(tag))
+    for letter, some in by_letter.items():
+        rule = rule.when(word.endswith(letter), some.otherwise(F.lit(DEFAULT_TAG)))
     return rule.otherwise(F.lit(DEFAULT_TAG))
 
 
@@ -130,16 +138,17 @@ def pos_tag_sql(word: str) -> str:
 def lemma(word: Column, tag: Column) -> Column:
     """Lemma of one lower-cased token given its tag."""
     ntag = F.when(tag.isin("N", "V"), tag).otherwise(F.lit("N"))
-    rule = None
+    rule = ruled = None
     for t, suf, rep, min_len in LEMMA_RULES:
         cond = word.endswith(suf) & (ntag == t) & (F.length(word) >= min_len)
         val = F.concat(word.substr(F.lit(1), F.length(word) - len(suf)), F.lit(rep))
         rule = F.when(cond, val) if rule is None else rule.when(cond, val)
-    rule = rule.otherwise(word)
+    for letter in sorted({suf[-1] for _, suf, _, _ in LEMMA_RULES}):  # a word with another last letter meets no rule
+        ruled = word.endswith(letter) if ruled is None else ruled | word.endswith(letter)
     irregular = {w: lem for w, lem in LEX_LEMMA.items() if lem != w}
-    lexical = F.when(word.isin(*sorted(LEX_LEMMA)),
-                     F.coalesce(F.try_element_at(_map_lit(irregular), word), word))
-    return F.coalesce(lexical, rule)
+    # a map literal's lookup scans its keys: only for words that it holds
+    return (F.when(word.isin(*sorted(irregular)), F.try_element_at(_map_lit(irregular), word))
+            .when(word.isin(*sorted(LEX_LEMMA)), word).when(ruled, rule.otherwise(word)).otherwise(word))
 
 
 def lemma_sql(word: str, tag: str) -> str:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from essayspark.operators.quantiles import quantiles_of_counts, value_counts
+from essayspark.session import checkpointed
 
 
 
@@ -144,8 +145,9 @@ def feature_bins(df: DataFrame, by: str, features: list[str], target: str, key:
                  n_bins: int = 10) -> DataFrame:
     """Binned point cloud of (feature, target) per group: counts by
     (group, feature, bin, target).  Ranges come from a partial aggregate
-    joined back, never from a window over a group."""
-    long = df.select(key, by, F.col(target).cast("double").alias("target"),
+    joined back, never from a window over a group.  The narrow rows are read twice, so they are written once:
+    the features are not computed again."""
+    long = checkpointed(df.select(key, by, target, *features)).select(key, by, F.col(target).cast("double").alias("target"),
                      F.explode(F.array(*[F.struct(F.lit(f).alias("feature"),
                                                   F.col(f).cast("double").alias("value"))
                                          for f in features])).alias("fv")) \
