@@ -151,6 +151,24 @@ def lemma(word: Column, tag: Column) -> Column:
             .when(word.isin(*sorted(LEX_LEMMA)), word).when(ruled, rule.otherwise(word)).otherwise(word))
 
 
+def tag_word(word: str) -> str:
+    """As ``pos_tag``, of one word in Python."""
+    if word in LEX_TAG:
+        return LEX_TAG[word]
+    if word and not word.strip("0123456789"):
+        return "O"
+    return next((tag for suf, tag in SUFFIX_TAGS if word.endswith(suf) and len(word) > len(suf) + 2), DEFAULT_TAG)
+
+
+def lemma_word(word: str, tag: str) -> str:
+    """As ``lemma``, of one word in Python."""
+    if word in LEX_LEMMA:
+        return LEX_LEMMA[word]
+    kind = tag if tag in ("N", "V") else "N"
+    return next((word[: len(word) - len(suf)] + rep for t, suf, rep, least in LEMMA_RULES
+                 if t == kind and word.endswith(suf) and len(word) >= least), word)
+
+
 def lemma_sql(word: str, tag: str) -> str:
     ntag = f"(CASE WHEN {tag} IN ('N', 'V') THEN {tag} ELSE 'N' END)"
     parts = []

@@ -1,20 +1,25 @@
 """Text features per essay.
 
-Everything except the spelling check is a row-local expression over the
-essay column: no shuffle, one pass, inside whole-stage codegen.  The
+Everything except the spelling check is row-local over the essay column: no shuffle, one pass, inside
+whole-stage codegen but for tags and lemmas, which go by Arrow batches.  The
 spelling check needs the dictionary built from a corpus (the planner decides by its size
 in bytes whether it is broadcast).
 """
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T_
 
 from essayspark.functions import lexicon as L
 from essayspark.functions import patterns as P
 from essayspark.functions import text as T
-from essayspark.session import checkpointed
+from essayspark.session import checkpointed, ship_package
 
 
 def basic_features(df: DataFrame, text: str = "essay") -> DataFrame:
@@ -39,34 +44,65 @@ def lower_tokens(text: str | Column) -> Column:
 POS_LEMMA = ["noun_count", "adj_count", "verb_count", "adv_count", "lemma_count", "lemmatised"]
 
 
+#: A token's lower-case letters and digits; all other bytes, those of letters beyond ASCII too, part tokens.
+_LOWER = bytes(ord(chr(i).lower()) if chr(i).isalnum() and i < 128 else 32 for i in range(256))
+#: Texts that are taken as lists of tokens at a time, and distinct words whose tags and lemmas a task remembers.
+TEXTS, REMEMBERED = 256, 1_000_000
+
+
+class _Words(dict):
+    """token -> (tag, lemma), each worked out once."""
+
+    def __missing__(self, token: bytes) -> tuple[str, bytes]:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        word = token.decode()
+        tag = L.tag_word(word)
+        self[token] = found = (tag, L.lemma_word(word, tag).encode())
+        return found
+
+
 def with_pos_lemmas(df: DataFrame, text: str = "essay", keep: list[str] | None = None) -> DataFrame:
     """Noun/adjective/verb/adverb counts, distinct-lemma count and the
     lemmatised text (T7, T8, T20, A10, A11), all row-local.
 
-    The tagged token array is projected once; the counts read it in a
-    second projection (the optimizer keeps an expensive expression that is
-    used several times in its own projection instead of inlining it)."""
-    tagged = F.transform(lower_tokens(text),
-                         lambda w: F.struct(w.alias("w"), L.pos_tag(w).alias("t")))
+    Arrow batches: the rules (``lexicon.tag_word``, ``lemma_word``) see each distinct word of a task once, and counts go by a
+    text's distinct words.  Tokens are runs of ASCII letters and digits, so the texts' bytes are split as they are.  A null
+    text gives nulls."""
     wanted = keep or POS_LEMMA
-    if {"lemma_count", "lemmatised"} & set(wanted):  # lemmas only when they are asked for
-        tagged = F.transform(tagged, lambda s: F.struct(s["t"].alias("t"), L.lemma(s["w"], s["t"]).alias("l")))
-    base = df.select("*", tagged.alias("__tl"))
-    tl = F.col("__tl")
-
-    def n_tag(t: str) -> Column:
-        return F.size(F.filter(tl, lambda x: x["t"] == t)).cast("bigint")
-
-    lemmas = F.transform(tl, lambda x: x["l"])
-    cols = {
-        "noun_count": n_tag("N"),
-        "adj_count": n_tag("J"),
-        "verb_count": n_tag("V"),
-        "adv_count": n_tag("R"),
-        "lemma_count": F.size(F.array_distinct(lemmas)).cast("bigint"),
-        "lemmatised": F.array_join(lemmas, " "),
-    }
-    return base.select(*[c for c in df.columns], *[cols[k].alias(k) for k in wanted])
+    names = df.columns
+    schema = T_.StructType([*df.schema.fields, *(T_.StructField(k, T_.StringType() if k == "lemmatised" else T_.LongType()) for k in wanted)])
+    at, tags = names.index(text), {"N": "noun_count", "J": "adj_count", "V": "verb_count", "R": "adv_count"}
+    ship_package(df.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = _Words()
+
+        def features(data: bytes | None) -> dict:
+            if data is None:
+                return {}
+            tokens = data.translate(_LOWER).split()
+            out = dict.fromkeys(tags.values(), 0)
+            if wanted != ["lemmatised"]:
+                lemmas = set()
+                for w, n in Counter(tokens).items():
+                    tag, lemma = words[w]
+                    lemmas.add(lemma)
+                    if tag in tags:
+                        out[tags[tag]] += n
+                out["lemma_count"] = len(lemmas)
+            if "lemmatised" in wanted:
+                out["lemmatised"] = b" ".join([words[w][1] for w in tokens]).decode()
+            return out
+
+        for batch in batches:
+            for a in range(0, batch.num_rows, TEXTS):
+                some = batch.slice(a, TEXTS)
+                rows = [features(x) for x in some.column(at).cast(pa.binary()).to_pylist()]
+                new = [pa.array([r.get(k) for r in rows], pa.string() if k == "lemmatised" else pa.int64()) for k in wanted]
+                yield pa.RecordBatch.from_arrays([*some.columns, *new], [*names, *wanted])
+
+    return df.mapInArrow(run, schema)
 
 
 def pos_lemma_features(df: DataFrame, text: str = "essay") -> DataFrame:

@@ -25,11 +25,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from essayspark.operators.tree_sum import n_tasks, tree_sum
+from essayspark.operators.vocab import encoded_terms
+from essayspark.session import ship_package
 
 #: Term entries of the documents that are updated together.
-SLICE = 200_000
+SLICE = 500_000
 #: Numbers (documents x terms x topics) of a block that is updated by one product; 2 MB.
 BLOCK = 1 << 18
+#: Inner steps after which the documents that still move are laid out anew.
+RUN = 64
 INNER_STEPS, INNER_CHANGE = 200, 1e-5
 _SHIFT = 8
 
@@ -60,49 +64,87 @@ def expected_log(weights: np.ndarray) -> np.ndarray:
     return digamma(weights) - digamma(weights.sum(-1, keepdims=True))
 
 
+def exp_digamma(x: np.ndarray) -> np.ndarray:
+    """exp(digamma(x)) for positive numbers: as ``digamma``, but without a logarithm, in few temporaries."""
+    u = x * (x + 7)
+    first, second = 2 * u, (u + 6) * (u + 10)
+    low, more = first + 12, (first + 16) / second
+    low /= u * (u + 12)
+    low += more
+    low *= 2 * x + 7
+    y = x + _SHIFT
+    r = 1.0 / y
+    z = r * r
+    s = z * (-691 / 32760)
+    s += 1 / 132
+    for c in (1 / 240, 1 / 252, 1 / 120, 1 / 12):
+        s *= z
+        np.subtract(c, s, out=s)
+    s *= z
+    s += low
+    r *= 0.5
+    s += r
+    np.negative(s, out=s)
+    np.exp(s, out=s)
+    s *= y
+    return s
+
+
 def infer(lens: np.ndarray, term: np.ndarray, count: np.ndarray, exp_beta: np.ndarray, alpha: float, steps: int = INNER_STEPS,
           change: float = INNER_CHANGE) -> tuple[np.ndarray, np.ndarray]:
     """Topic weights of some documents, and the exponents of their expected logarithms.
 
     ``lens``: terms of each document; ``term`` and ``count`` hold them one document after the other.  Documents of like length are
     laid side by side in blocks of about ``BLOCK`` numbers, which stay in the processor's cache and need two
-    batched products a step.  A settled document's weights are final whatever its block goes on with."""
+    batched products a step.  A settled document's weights are final whatever its block goes on with; after ``RUN`` steps
+    the documents that are left are laid out in blocks anew.  An update does not depend on the scale of a document's
+    exponents, so they are divided by that of the sum only at the end."""
     k, n = exp_beta.shape[0], len(lens)
     gamma = np.ones((n, k))
     gamma[lens == 0] = alpha
-    theta = np.exp(expected_log(gamma))
     first = np.cumsum(lens) - lens
     order = np.argsort(lens, kind="stable")
     order = order[lens[order] > 0]
-    size, beta, at = lens[order], np.ascontiguousarray(exp_beta.T), 0
-    while at < len(order):
-        longest = max(size[at] + 16, size[at] * 3 // 2)  # padding costs less than many small blocks
-        end = min(int(np.searchsorted(size, longest, "right")), at + max(1, BLOCK // int(longest * k)))
-        some, at = order[at:end], end
-        places = np.arange(int(lens[some].max()))
-        pos = first[some][:, None] + places
-        real = places < lens[some][:, None]
-        pos[~real] = 0
-        c, b = np.where(real, count[pos], 0.0), beta[term[pos]]  # documents x places, documents x places x topics
-        g, t = gamma[some], theta[some]
-        live = np.ones(len(some), bool)
-        for _ in range(steps):
-            norm = (b @ t[:, :, None])[:, :, 0] + 1e-100
-            new = alpha + t * ((c / norm)[:, None, :] @ b)[:, 0]
-            moved = np.abs(new - g).mean(1)
-            g, t = new, np.exp(expected_log(new))
-            settled = live & (moved < change)
-            if settled.any():
-                gamma[some[settled]], theta[some[settled]] = g[settled], t[settled]
-                live &= ~settled
-                left = int(live.sum())
-                if not left:
-                    break
-                if left <= 0.8 * len(live):
-                    some, c, b, g, t = some[live], c[live], b[live], g[live], t[live]
-                    live = np.ones(left, bool)
-        gamma[some[live]], theta[some[live]] = g[live], t[live]
-    return gamma, theta
+    for done in range(0, steps, RUN):
+        size, at, moving = lens[order], 0, []
+        while at < len(order):
+            longest = max(size[at] + 16, size[at] * 3 // 2)  # padding costs less than many small blocks
+            end = min(int(np.searchsorted(size, longest, "right")), at + max(1, BLOCK // int(longest * k)))
+            some, at = order[at:end], end
+            places = np.arange(int(lens[some].max()))
+            pos = first[some][:, None] + places
+            real = places < lens[some][:, None]
+            pos[~real] = 0
+            # documents x places, documents x topics x places
+            c, b = np.where(real, count[pos], 0.0), np.ascontiguousarray(exp_beta[:, term[pos]].transpose(1, 0, 2))
+            g = gamma[some]
+            t, live = exp_digamma(g), np.ones(len(some), bool)
+            for _ in range(min(RUN, steps - done)):
+                share = (b.transpose(0, 2, 1) @ t[:, :, None])[:, :, 0]
+                share += 1e-100
+                np.divide(c, share, out=share)
+                new = (b @ share[:, :, None])[:, :, 0]
+                new *= t
+                new += alpha
+                g -= new
+                settled = live & (np.abs(g, out=g).sum(1) < change * k)
+                g = new
+                if settled.any():
+                    gamma[some[settled]] = g[settled]
+                    live &= ~settled
+                    left = int(live.sum())
+                    if not left:
+                        break
+                    if left <= 0.8 * len(live):
+                        some, c, b, g = some[live], c[live], b[live], g[live]
+                        live = np.ones(left, bool)
+                t = exp_digamma(g)
+            gamma[some[live]] = g[live]
+            moving.append(some[live])
+        order = np.concatenate(moving) if moving else order[:0]
+        if not len(order):
+            break
+    return gamma, np.exp(expected_log(gamma))
 
 
 def _slices(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -148,7 +190,8 @@ class TopicModel:
             for batch in batches:
                 for a, b, lens, term, count in _slices(batch):
                     gamma, _ = infer(lens, term, count, exp_beta, alpha)
-                    shares = pa.array(list(gamma / gamma.sum(1, keepdims=True)), pa.list_(pa.float64()))
+                    shares = pa.ListArray.from_arrays(np.arange(0, gamma.size + 1, gamma.shape[1], dtype=np.int32),
+                                                      pa.array((gamma / gamma.sum(1, keepdims=True)).ravel()))
                     yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in keys), shares], [*keys, "shares"])
 
         kinds = dict(docs.dtypes)
@@ -176,11 +219,10 @@ def step_message(lens: np.ndarray, term: np.ndarray, count: np.ndarray, exp_beta
     """Of some documents: topics x terms statistics, then the bound's part and the tokens."""
     k, terms = exp_beta.shape
     gamma, theta = infer(lens, term, count, exp_beta, alpha)
-    doc = np.repeat(np.arange(len(lens)), lens)
-    spread = [theta[doc, t] for t in range(k)]
-    norm = sum(spread[t] * exp_beta[t, term] for t in range(k)) + 1e-100
-    share = count / norm
-    stats = np.stack([np.bincount(term, spread[t] * share, terms) for t in range(k)]) * exp_beta
+    each = np.repeat(theta, lens, 0)
+    norm = np.einsum("ek,ek->e", each, np.ascontiguousarray(exp_beta.T)[term]) + 1e-100
+    each *= (count / norm)[:, None]
+    stats = np.stack([np.bincount(term, each[:, t], terms) for t in range(k)]) * exp_beta
     e = expected_log(gamma)
     bound = (count * np.log(norm)).sum() + ((alpha - gamma) * e).sum() + (log_gamma(gamma) - log_gamma(np.array(alpha))).sum() \
         + (log_gamma(np.array(alpha * k)) - log_gamma(gamma.sum(1))).sum()
@@ -229,15 +271,20 @@ def fit(docs: DataFrame, k: int, terms: int, max_iter: int = 30, seed: int = 7,
 
 def count_rows(docs: DataFrame, terms: str, vocabulary: list[str], keys: list[str]) -> DataFrame:
     """keys, idx (sorted places in the vocabulary), cnt: counts of a document's known terms."""
-    place = {t: i for i, t in enumerate(vocabulary)}
+    place, n = {t: i for i, t in enumerate(vocabulary)}, max(1, len(vocabulary))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [np.unique(np.array([place[t] for t in row if t in place] if row is not None else [], np.int32), return_counts=True) for row in batch[terms]]
-            yield batch[keys].assign(idx=[i for i, _ in found], cnt=[c.astype(np.float64) for _, c in found])
-
+            for a, b, text, number, distinct in encoded_terms(batch, terms):
+                at = np.array([place.get(t, -1) for t in distinct.to_pylist()] or [-1], np.int64)[number]
+                found, count = np.unique((text * n + at)[at >= 0], return_counts=True)
+                ends = np.searchsorted(found, np.arange(b - a + 1) * n).astype(np.int32)
+                rows = [pa.ListArray.from_arrays(ends, x) for x in (pa.array((found % n).astype(np.int32)), pa.array(count.astype(np.float64)))]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in keys), *rows], [*keys, "idx", "cnt"])
+
+    ship_package(docs.sparkSession)
     kinds = dict(docs.dtypes)
-    return docs.select(*keys, terms).mapInPandas(run, ", ".join(f"`{c}` {kinds[c]}" for c in keys) + ", idx array<int>, cnt array<double>")
+    return docs.select(*keys, terms).mapInArrow(run, ", ".join(f"`{c}` {kinds[c]}" for c in keys) + ", idx array<int>, cnt array<double>")
 
 
 def shares_long(shares: DataFrame, keys: list[str]) -> DataFrame:

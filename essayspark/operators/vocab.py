@@ -1,7 +1,7 @@
 """Term counting and vocabularies (A7-A9, O2, O4, T23, T24, ML1, ML2).
 
-Terms are exploded row-locally and counted by term in one aggregation with
-map-side combine (all occurrences for tf, a text's distinct terms for df), so a
+Terms are counted in each batch (all occurrences for tf, a text's distinct terms for df) and
+by term in one aggregation with map-side combine, so a
 term that is a third of the corpus is combined inside every task and no
 (document, term) row is shuffled.  Count vectors come after the cut: only
 occurrences of vocabulary terms are counted per document.  The vocabulary cut is ``orderBy(tf desc, term).limit(N)``, which
@@ -12,13 +12,18 @@ broadcast back without a further check.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from essayspark.functions import text as T
 from essayspark.functions.fixed_values import ENGLISH_STOP_WORDS
-from essayspark.session import checkpointed, written
+from essayspark.session import checkpointed, ship_package, written
 
 
 def vectorizer_terms(text: str | Column, stops=None, n_max: int = 1) -> Column:
@@ -30,15 +35,40 @@ def vectorizer_terms(text: str | Column, stops=None, n_max: int = 1) -> Column:
     return toks if n_max == 1 else T.ngrams_upto(toks, n_max)
 
 
+#: Terms of a batch that are counted at a time.
+COUNTED = 500_000
+
+
+def encoded_terms(batch: pa.RecordBatch, terms: str) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, pa.Array]]:
+    """Runs of a batch's texts of about ``COUNTED`` terms: first and next text, each term's text (from 0) and number, and the distinct terms.
+    A null list has no terms."""
+    column = batch.column(terms)
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    cuts = np.flatnonzero(np.diff(ends // COUNTED)) + 1
+    for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(ends)]):
+        if b > a:
+            flat = column.slice(a, b - a).flatten().dictionary_encode(null_encoding="encode")
+            lens = np.diff(ends[a:b], prepend=ends[a - 1] if a else 0)
+            yield a, b, np.repeat(np.arange(b - a), lens), flat.indices.to_numpy(zero_copy_only=False).astype(np.int64), flat.dictionary
+
+
 def term_stats(df: DataFrame, terms: Column) -> DataFrame:
     """(term, df, tf): document frequency and corpus term frequency.
 
-    A text gives its terms and, marked, its distinct terms; one aggregation by
-    term counts both."""
-    every = F.transform(F.col("__t"), lambda t: F.struct(t.alias("term"), F.lit(0).alias("first")))
-    distinct = F.transform(F.array_distinct("__t"), lambda t: F.struct(t.alias("term"), F.lit(1).alias("first")))
-    rows = df.select(terms.alias("__t")).select(F.inline(F.concat(every, distinct)))
-    return rows.groupBy("term").agg(F.sum("first").alias("df"), F.sum(1 - F.col("first")).alias("tf"))
+    Arrow batches count their texts' terms and distinct terms; one aggregation by term adds them up."""
+    ship_package(df.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, text, number, distinct in encoded_terms(batch, "__t"):
+                n = len(distinct)
+                if n:
+                    once = np.unique(text * n + number) % n
+                    yield pa.RecordBatch.from_arrays([distinct, pa.array(np.bincount(once, minlength=n)), pa.array(np.bincount(number, minlength=n))],
+                                                     ["term", "df", "tf"])
+
+    found = df.select(terms.alias("__t")).mapInArrow(run, "term string, df long, tf long")
+    return found.groupBy("term").agg(F.sum("df").alias("df"), F.sum("tf").alias("tf"))
 
 
 def vocabulary_counts(df: DataFrame, keys: list[str], terms: Column, vocab: DataFrame,
