@@ -79,10 +79,29 @@ def _matrix(pdf: pd.DataFrame, vec: str, sparse: tuple[str, str, str] | None) ->
     return np.hstack([m, sp])
 
 
+def _whole_counts(q: pd.DataFrame, t: pd.DataFrame, sparse: tuple[str, str, str]) -> tuple | None:
+    """Both sides' sparse parts as float32 matrices with their sums of squares, if every dot product of them is exact in float32: whole numbers
+    from 0 and, by Cauchy and Schwarz, products and their sums under 2^24."""
+    ic, vc, dc = sparse
+    out = []
+    for pdf in (q, t):
+        lens = pdf[ic].map(len).to_numpy()
+        rows = np.repeat(np.arange(len(pdf)), lens)
+        val = np.concatenate([np.asarray(x, np.float64) for x in pdf[vc]]) if lens.sum() else np.zeros(0)
+        at = np.concatenate([np.asarray(x, np.int64) for x in pdf[ic]]) if lens.sum() else np.zeros(0, np.int64)
+        if not ((val >= 0) & (val == np.floor(val))).all():
+            return None
+        m = np.zeros((len(pdf), int(pdf[dc].iloc[0])), np.float32)
+        m[rows, at] = val
+        out.append((m, np.bincount(rows, val * val, len(pdf))))
+    (qm, qs), (tm, ts) = out
+    return (qm, qs, tm, ts) if qs.max() * ts.max() < 2.0**48 and max(qs.max(), ts.max()) < 2.0**48 else None
+
+
 def _block_topk(k: int, qkey: str, tkey: str, vec: str, label: str, keys: list[str],
-                qfold: str | None, tfold: str | None, sparse: tuple[str, str, str] | None = None):
+                qfold: str | None, tfold: str | None, sparse: tuple[str, str, str] | None = None, every: bool = False):
     def fn(qp: pd.DataFrame, tp: pd.DataFrame) -> pd.DataFrame:
-        cols = keys + [qkey, tkey, "dist", label]
+        cols = keys + [qkey, tkey, "dist", label] + ["across"] * every
         if len(qp) == 0 or len(tp) == 0:
             # typed empty frame (a group present on one side only)
             empty = {c: qp[c].iloc[:0].reset_index(drop=True) for c in keys}
@@ -90,9 +109,12 @@ def _block_topk(k: int, qkey: str, tkey: str, vec: str, label: str, keys: list[s
             empty[tkey] = tp[tkey].iloc[:0].reset_index(drop=True)
             empty["dist"] = pd.Series([], dtype="float64")
             empty[label] = tp[label].iloc[:0].reset_index(drop=True)
+            empty["across"] = pd.Series([], dtype="bool")
             return pd.DataFrame(empty)[cols]
-        Q = _matrix(qp, vec, sparse)
-        T = _matrix(tp, vec, sparse)
+        # whole counts: their part of every distance comes out of one float32 product, exact
+        whole = _whole_counts(qp, tp, sparse) if sparse else None
+        Q = _matrix(qp, vec, None if whole else sparse)
+        T = _matrix(tp, vec, None if whole else sparse)
         q_sq, t_sq = np.einsum("ij,ij->i", Q, Q), np.einsum("ij,ij->i", T, T)
         kk, t_keys = min(k, T.shape[0]), tp[tkey].to_numpy()
         found = []
@@ -101,30 +123,44 @@ def _block_topk(k: int, qkey: str, tkey: str, vec: str, label: str, keys: list[s
         for at in range(0, Q.shape[0], turn):
             # fast approximate distances (BLAS), used only to find candidates
             scale = q_sq[at:at + turn, None] + t_sq[None, :]
-            approx = scale - 2.0 * (Q[at:at + turn] @ T.T)
-            if qfold is not None:
-                approx[qp[qfold].to_numpy()[at:at + turn, None] == tp[tfold].to_numpy()[None, :]] = np.inf
-            kth = np.partition(approx, kk - 1, axis=1)[:, kk - 1]
+            every_one = scale - 2.0 * (Q[at:at + turn] @ T.T)
+            counted = None
+            if whole:
+                qm, qs, tm, ts = whole
+                counted = (qm[at:at + turn] @ tm.T).astype(np.float64)
+                counted *= -2.0
+                counted += qs[at:at + turn, None]
+                counted += ts
+                every_one += counted
+                scale += qs[at:at + turn, None] + ts
             margin = 1e-9 * (scale + 1.0)
-            qi, ti = np.nonzero((approx <= kth[:, None] + margin) & np.isfinite(approx))
-            qi += at
-            # candidates are re-ranked in slices: many ties must not copy all their vectors at once
-            step = max(1, SLICE_VALUES // Q.shape[1])
-            exact = np.concatenate([_exact_sq(Q[qi[a:a + step]], T[ti[a:a + step]])
-                                    for a in range(0, max(len(qi), 1), step)])
-            # keep the k smallest (exact distance, training key) per query
-            order = np.lexsort((t_keys[ti], exact, qi))
-            qi, ti, exact = qi[order], ti[order], exact[order]
-            first = np.r_[0, np.flatnonzero(np.diff(qi)) + 1]
-            pos = np.arange(len(qi)) - np.repeat(first, np.diff(np.r_[first, len(qi)]))
-            keep = pos < k
-            found.append((qi[keep], ti[keep], exact[keep]))
-        qi, ti, exact = (np.concatenate([f[i] for f in found]) for i in range(3))
+            for across in (True, False) if every else (qfold is not None,):
+                approx = every_one
+                if across:
+                    approx = np.where(qp[qfold].to_numpy()[at:at + turn, None] == tp[tfold].to_numpy()[None, :], np.inf, every_one)
+                kth = np.partition(approx, kk - 1, axis=1)[:, kk - 1]
+                qi, ti = np.nonzero((approx <= kth[:, None] + margin) & np.isfinite(approx))
+                # candidates are re-ranked in slices: many ties must not copy all their vectors at once
+                step = max(1, SLICE_VALUES // Q.shape[1])
+                exact = np.concatenate([_exact_sq(Q[at + qi[a:a + step]], T[ti[a:a + step]])
+                                        for a in range(0, max(len(qi), 1), step)])
+                if whole:
+                    exact += counted[qi, ti]
+                qi += at
+                # keep the k smallest (exact distance, training key) per query
+                order = np.lexsort((t_keys[ti], exact, qi))
+                qi, ti, exact = qi[order], ti[order], exact[order]
+                first = np.r_[0, np.flatnonzero(np.diff(qi)) + 1]
+                pos = np.arange(len(qi)) - np.repeat(first, np.diff(np.r_[first, len(qi)]))
+                keep = pos < k
+                found.append((qi[keep], ti[keep], exact[keep], np.full(int(keep.sum()), across)))
+        qi, ti, exact, across = (np.concatenate([f[i] for f in found]) for i in range(4))
         out = {c: qp[c].to_numpy()[qi] for c in keys}
         out[qkey] = qp[qkey].to_numpy()[qi]
         out[tkey] = t_keys[ti]
         out["dist"] = exact
         out[label] = tp[label].to_numpy()[ti]
+        out["across"] = across
         return pd.DataFrame(out)[cols]
 
     return fn
@@ -132,7 +168,7 @@ def _block_topk(k: int, qkey: str, tkey: str, vec: str, label: str, keys: list[s
 
 def neighbours(queries: DataFrame, train: DataFrame, k: int, *, qkey: str, tkey: str,
                vec: str, label: str, group: str | None = None, fold: str | None = None,
-               rows_per_block: int = ROWS_PER_BLOCK, sparse: tuple[str, str, str] | None = None) -> DataFrame:
+               rows_per_block: int = ROWS_PER_BLOCK, sparse: tuple[str, str, str] | None = None, every: bool = False) -> DataFrame:
     """(group?, qkey, tkey, dist, label, rank) for the k nearest training
     rows of every query (squared Euclidean distance, no scaling).
 
@@ -142,7 +178,9 @@ def neighbours(queries: DataFrame, train: DataFrame, k: int, *, qkey: str, tkey:
     (cross-validation with one ranking for all folds).
     ``sparse``: (indices, values, width) columns of a sparse part appended
     to ``vec``; rows travel sparse and each block is made dense in its task
-    (with ``group``, so every block pair has one width)."""
+    (with ``group``, so every block pair has one width).
+    ``every``, with ``fold``: both rankings from one pass over the block pairs; a column ``across`` is true for the nearest rows of
+    other folds and false for those of all rows."""
     keys = [group] if group else []
     bq, bt = _n_blocks(queries, rows_per_block, group), _n_blocks(train, rows_per_block, group)
     extra = list(sparse) if sparse else []
@@ -166,10 +204,10 @@ def neighbours(queries: DataFrame, train: DataFrame, k: int, *, qkey: str, tkey:
     tfields = {f.name: f.dataType.simpleString() for f in train.schema.fields}
     schema = ", ".join([f"{c} {fields[c]}" for c in keys]
                        + [f"{qkey} {fields[qkey]}", f"{tkey} {tfields[tkey]}", "dist double",
-                          f"{label} {tfields[label]}"])
-    fn = _block_topk(k, qkey, tkey, vec, label, keys, fold, "__tfold" if fold else None, sparse)
+                          f"{label} {tfields[label]}"] + ["across boolean"] * every)
+    fn = _block_topk(k, qkey, tkey, vec, label, keys, fold, "__tfold" if fold else None, sparse, every)
     cand = q.groupBy(*gkeys).cogroup(t.groupBy(*gkeys)).applyInPandas(fn, schema)
-    w = Window.partitionBy(qkey).orderBy("dist", tkey)
+    w = Window.partitionBy(qkey, *["across"] * every).orderBy("dist", tkey)
     return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
@@ -192,17 +230,18 @@ def predict(queries: DataFrame, train: DataFrame, k: int, *, qkey: str, tkey: st
 
 def grid_search(train: DataFrame, ks: list[int], *, key: str, vec: str, label: str, fold: str,
                 group: str | None = None, rows_per_block: int = ROWS_PER_BLOCK,
-                sparse: tuple[str, str, str] | None = None) -> DataFrame:
+                sparse: tuple[str, str, str] | None = None, ranked: DataFrame | None = None) -> DataFrame:
     """ML6 + O7: (group?, k, mean_accuracy, is_best) over the folds.
 
     Each training row is ranked once against the rows of the other folds
     (of its own group), up to the largest k; every k of the grid then votes
-    from the same ranking (a neighbour of rank r serves all k >= r)."""
+    from the same ranking (a neighbour of rank r serves all k >= r).
+    ``ranked``: that ranking with the queries' key as ``__qid``, if it is there already."""
     gcols = [group] if group else []
     extra = list(sparse) if sparse else []
     q = train.select(F.col(key).alias("__qid"), *gcols, vec, *extra, fold, F.col(label).alias("__true"))
     t = train.select(key, *gcols, vec, *extra, label, fold)
-    nb = neighbours(q.select("__qid", *gcols, vec, *extra, fold), t, max(ks), qkey="__qid", tkey=key, vec=vec,
+    nb = ranked if ranked is not None else neighbours(q.select("__qid", *gcols, vec, *extra, fold), t, max(ks), qkey="__qid", tkey=key, vec=vec,
                     label=label, fold=fold, group=group, rows_per_block=rows_per_block, sparse=sparse)
     grid = F.array(*[F.lit(k) for k in ks])
     per_k = nb.withColumn("k", F.explode(F.filter(grid, lambda g: g >= F.col("rank"))))
